@@ -259,7 +259,7 @@ def pack_batches(
     def numbered(it: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         return number(it)
 
-    udf = F.pandas_udf(numbered, "long", F.PandasUDFType.SCALAR_ITER).asNondeterministic()
+    udf = F.pandas_udf("long")(numbered).asNondeterministic()
     out = rows.withColumn("batch_no", udf(F.col(ROW), F.col(_DEST), F.col(_SIZE)))
     return out.select(*[col(c) for c in msgs.columns], "batch_no")
 

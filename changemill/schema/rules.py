@@ -98,10 +98,18 @@ def _add(cols: Column, r: Column, left_out: list[str]) -> Column:
     return F.when(skip, cols).otherwise(F.concat(cols, F.array(new)))
 
 
-def _rule_array(rules_df: DataFrame) -> Column:
-    """All rules as one array value, by a scalar subquery: no join with the tables."""
+def _with_rules(tables: DataFrame, rules_df: DataFrame, context: str | None) -> DataFrame:
+    """Each table with the array of its rules in order.
+
+    The rule list is configuration; it reaches the tables as one scalar value, so there is
+    no join on a pattern.
+    """
     rule = F.struct(*[F.col(c) for c in RULE_FIELDS])
-    return rules_df.agg(F.array_sort(F.collect_list(rule)).alias("rules")).scalar()
+    every = rules_df.agg(F.array_sort(F.collect_list(rule)).alias("rules")).scalar()
+    return tables.withColumn("__mill_every", every).withColumn(
+        "__mill_rules",
+        F.filter("__mill_every", lambda r: _applies(r, F.col("tbl_name"), context)),
+    )
 
 
 def _applies(r: Column, table: Column, context: str | None) -> Column:
@@ -113,8 +121,8 @@ def _applies(r: Column, table: Column, context: str | None) -> Column:
 
 def rules_for(rules_df: DataFrame, tables: DataFrame, context: str | None = None) -> DataFrame:
     """The rules of each table: ``tbl_name`` and the rule's fields."""
-    mine = F.filter(_rule_array(rules_df), lambda r: _applies(r, F.col("tbl_name"), context))
-    return tables.select("tbl_name", F.explode(mine).alias("r")).select(
+    mine = _with_rules(tables.select("tbl_name"), rules_df, context)
+    return mine.select("tbl_name", F.explode("__mill_rules").alias("r")).select(
         "tbl_name", *[F.col("r")[c].alias(c) for c in RULE_FIELDS]
     )
 
@@ -144,8 +152,10 @@ def apply_rules(
             .otherwise(_modify(cols, r))
         )
 
-    mine = F.filter(_rule_array(rules_df), lambda r: _applies(r, F.col("tbl_name"), context))
-    done = tables.select("tbl_name", F.explode(F.aggregate(mine, F.col("cols"), step)).alias("c"))
+    mine = _with_rules(tables, rules_df, context)
+    done = mine.select(
+        "tbl_name", F.explode(F.aggregate("__mill_rules", F.col("cols"), step)).alias("c")
+    )
     return done.select("tbl_name", *[F.col("c")[f].alias(f) for f in COLUMN_FIELDS])
 
 
