@@ -124,14 +124,14 @@ SELECT concat(CAST(event_id AS VARCHAR(20)), '-', event_type, '.csv') AS file_na
        length(props) + user_id AS size_bytes FROM {events}
 """
 
-#: A dictionary with one table per brand and type, one column per part.
+#: A dictionary with one column per part; at most fifty columns make a table.
 _TYPES = """CASE WHEN p_size <= 4 THEN 'integer identity' WHEN p_size <= 8 THEN 'varchar2' WHEN p_size <= 16 THEN 'number'
  WHEN p_size <= 20 THEN 'date' WHEN p_size <= 24 THEN 'date (mysql)' WHEN p_size <= 28 THEN 'money' WHEN p_size <= 32 THEN 'bit'
  WHEN p_size <= 36 THEN 'blob' WHEN p_size <= 40 THEN 'float8' WHEN p_size <= 44 THEN 'bigint unsigned' ELSE 'time2' END"""
 _LENGTHS = """CASE WHEN p_size <= 8 THEN '20' WHEN p_size = 9 THEN '0' WHEN p_size = 10 THEN '8' WHEN p_size = 11 THEN '8,0'
  WHEN p_size = 12 THEN '10,-2' WHEN p_size = 13 THEN '2,6' WHEN p_size = 14 THEN '40,2' WHEN p_size = 15 THEN '18,4' WHEN p_size = 16 THEN '6' ELSE '0' END"""
 DICTIONARY = f"""
-SELECT concat(p_brand, '_', p_type) AS tbl_name, CAST(p_partkey AS INT) AS col_sequence,
+SELECT concat(p_brand, '_', p_type, '_', CAST(CAST(floor(p_partkey / 50.0) AS INT) AS VARCHAR(20))) AS tbl_name, CAST(p_partkey AS INT) AS col_sequence,
        concat('c', CAST(p_partkey AS VARCHAR(20))) AS col_name, concat('c', CAST(p_partkey AS VARCHAR(20))) AS base_name,
        CASE WHEN p_size = 1 THEN 1 ELSE 0 END AS col_key,
        {_TYPES} AS col_datatype, {_LENGTHS} AS col_length, 0 AS col_nullable

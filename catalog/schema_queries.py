@@ -10,7 +10,7 @@ from catalog.registry import query
 from changemill.operators import merge, quality
 from changemill.operators.changes import order_columns
 from changemill.plans.integrate import integrate
-from changemill.plans.refresh import empty_target
+from changemill.plans.refresh import create_target, empty_target
 from changemill.schema import evolve, rules, types
 from changemill.sinks import files as sink_files
 from changemill.sinks.snapshots import SnapshotTable, slice_state, slices_done
@@ -59,7 +59,7 @@ SELECT CAST(n * 10 AS INT) AS rule_seq, concat(brand, '_*') AS tbl_pattern, CAST
        CAST(NULL AS INT) AS precision, CAST(NULL AS INT) AS scale, true AS nullable, false AS is_key FROM ({_BRANDS}) b
 UNION ALL SELECT CAST(n * 10 + 1 AS INT), concat(brand, '_*'), NULL, concat('c', CAST(first_key AS VARCHAR(20))), NULL, false, true, NULL, NULL, NULL, NULL, NULL, false, false FROM ({_BRANDS}) b
 UNION ALL SELECT CAST(n * 10 + 2 AS INT), concat(brand, '_*'), 'dw', 'op_val', 'change_code', false, false, NULL, NULL, NULL, NULL, NULL, false, true FROM ({_BRANDS}) b
-UNION ALL SELECT CAST(n * 10 + 3 AS INT), concat(brand, '_ECONOMY'), NULL, NULL, NULL, false, false, 'bigint', 'number[prec<=8 && scale=0]', NULL, NULL, NULL, true, false FROM ({_BRANDS}) b
+UNION ALL SELECT CAST(n * 10 + 3 AS INT), concat(brand, '_ECONOMY_*'), NULL, NULL, NULL, false, false, 'bigint', 'number[prec<=8 && scale=0]', NULL, NULL, NULL, true, false FROM ({_BRANDS}) b
 UNION ALL SELECT CAST(n * 10 + 4 AS INT), concat('!', brand, '*'), 'other', NULL, NULL, false, false, 'varchar2', 'float8', '99', NULL, NULL, false, false FROM ({_BRANDS}) b
 """
 _D_FIELDS = "tbl_name, col_name, base_name, col_key, col_datatype, col_length, col_nullable"
@@ -67,7 +67,7 @@ _RULED = ctes(d=DICTIONARY, f=_BRANDS) + """,
 b AS (SELECT d.*, split_part(tbl_name, '_', 1) AS brand FROM d),
 k AS (SELECT b.* FROM b JOIN f ON f.brand = b.brand WHERE col_name <> concat('c', CAST(first_key AS VARCHAR))),
 m AS (SELECT tbl_name, col_name, base_name, col_key, CAST(col_nullable AS INTEGER) AS nul, col_datatype, col_length,
-        tbl_name LIKE '%_ECONOMY' AND col_datatype = 'number' AND col_length IN ('0', '8', '6') AS hit FROM k)
+        tbl_name LIKE '%_ECONOMY_%' AND col_datatype = 'number' AND col_length IN ('0', '8', '6') AS hit FROM k)
 """
 _RULED_SQL = _RULED + """SELECT tbl_name, col_name, base_name, col_key, CASE WHEN hit THEN 'bigint' ELSE col_datatype END AS col_datatype,
   CASE WHEN hit THEN '' ELSE col_length END AS col_length, CASE WHEN hit THEN 1 ELSE nul END AS col_nullable FROM m
@@ -100,42 +100,44 @@ def apply_absent(spark, sf):
 
 @query("apply_modify", ctes(d=DICTIONARY) + """
 SELECT tbl_name, col_name, CASE WHEN hit THEN 'bigint' ELSE col_datatype END AS col_datatype, CASE WHEN hit THEN '' ELSE col_length END AS col_length
-FROM (SELECT *, tbl_name LIKE '%_ECONOMY' AND col_datatype = 'number' AND col_length IN ('0', '8', '6') AS hit FROM d) x""")
+FROM (SELECT *, tbl_name LIKE '%_ECONOMY_%' AND col_datatype = 'number' AND col_length IN ('0', '8', '6') AS hit FROM d) x""")
 def apply_modify(spark, sf):
     out = rules.apply_modify(frame(spark, sf, DICTIONARY), frame(spark, sf, RULES), context="dw")
     return out.select("tbl_name", "col_name", "col_datatype", "col_length")
 
 
 @query("rules_for", ctes(d=DICTIONARY, r=RULES) + """
-SELECT DISTINCT d.tbl_name, r.rule_seq, r.name FROM d JOIN r ON r.tbl_pattern IN (concat(split_part(d.tbl_name, '_', 1), '_*'), d.tbl_name)
+SELECT DISTINCT d.tbl_name, r.rule_seq, r.name FROM d JOIN r ON r.tbl_pattern IN (concat(split_part(d.tbl_name, '_', 1), '_*'), concat(split_part(d.tbl_name, '_', 1), '_', split_part(d.tbl_name, '_', 2), '_*'))
 WHERE r.context IS NULL OR r.context = 'dw'""")
 def rules_for(spark, sf):
     tables = frame(spark, sf, DICTIONARY).select("tbl_name").distinct()
     return rules.rules_for(frame(spark, sf, RULES), tables, "dw").select("tbl_name", "rule_seq", "name")
 
 
+def _customer_dictionary(spark, sf):
+    """Four columns of one table, made from the region table's first row."""
+    rows = table(spark, sf, "region").limit(1).selectExpr("""stack(4, 1, 'id', 'bigint', '0', 2, 'name', 'varchar', '25',
+        3, 'nation', 'smallint', '0', 4, 'note', 'clob', '0') AS (col_sequence, base_name, col_datatype, col_length)""")
+    return rows.withColumns({"tbl_name": F.lit("customer"), "col_nullable": F.lit(1)})
+
+
 @query("conform", plain("""SELECT CAST(c_custkey AS BIGINT) AS id, c_name AS name, CAST(c_nationkey AS SMALLINT) AS nation, CAST(NULL AS VARCHAR) AS note FROM {customer}"""))
 def conform(spark, sf):
     """Schema from a dictionary, rows cast to it."""
-    dictionary = table(spark, sf, "region").limit(1).selectExpr("""stack(4, 1, 'id', 'bigint', '0', 2, 'name', 'varchar', '25',
-        3, 'nation', 'smallint', '0', 4, 'note', 'clob', '0') AS (col_sequence, base_name, col_datatype, col_length)""")
-    dictionary = dictionary.withColumns({"tbl_name": F.lit("customer"), "col_nullable": F.lit(1)})
-    schema = types.struct_type(types.map_types(dictionary), "customer")
+    schema = types.struct_type(types.map_types(_customer_dictionary(spark, sf)), "customer")
     text = table(spark, sf, "customer").selectExpr(
         "CAST(c_custkey AS STRING) AS id", "c_name AS name", "CAST(c_nationkey AS STRING) AS nation")
     return types.conform(text, schema)
 
 
 @query("create_target", plain("SELECT c_custkey AS id, c_name AS name FROM {customer}"))
-def create_target(spark, sf):
+def create_target_query(spark, sf):
     """Create from a dictionary, then load: an empty version, then the rows."""
-    from pyspark.sql import types as T
-
-    schema = T.StructType.fromDDL("id bigint, name string")
+    rows = table(spark, sf, "customer").selectExpr("c_custkey AS id", "c_name AS name")
     target = SnapshotTable(spark, scratch(spark, "create"))
-    target.commit(empty_target(spark, schema), "create")
-    target.commit(types.conform(table(spark, sf, "customer").selectExpr("c_custkey AS id", "c_name AS name"), target.schema()), "load")
-    return target.read()
+    schema = create_target(target, types.map_types(_customer_dictionary(spark, sf)), "customer")
+    target.commit(types.conform(rows, schema), "load")
+    return target.read().select("id", "name")
 
 
 _WIDER = f"SELECT {COLS}, op_type, is_deleted, o_orderstatus AS channel FROM ({CHANGES}) c"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changemill.functions.columns import col, order_value
@@ -11,6 +11,9 @@ from changemill.spec import CONTROL_OPS, FLAG_COL, OP_COL, Op
 
 _ORD = "__mill_ord"
 
+#: Parts into which the rows under one partial-key delete are spread.
+SALTS = 16
+
 
 def drop_burst_only(
     df: DataFrame, target_columns: list[str], op_col: str = OP_COL, flag_col: str = FLAG_COL
@@ -67,8 +70,6 @@ def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     A rank filter is pre-limited in each task before the shuffle, so a key with a third of
     all rows sends one row per task.
     """
-    from pyspark.sql import Window
-
     w = Window.partitionBy(*[col(k) for k in keys]).orderBy(*[col(c).desc() for c in order])
     return df.withColumn(_ORD, F.row_number().over(w)).filter(F.col(_ORD) == 1).drop(_ORD)
 
@@ -100,15 +101,21 @@ def coalesce_changes(
 
     partial = [k for k in keys if k not in unused_keys]
     if unused_keys:
+        # salted: a used key may cover a third of the rows, and the aggregate that follows
+        # would otherwise have to keep them together
         covers = (
             control.filter(col(op_col) == Op.PARTIAL_DELETE)
             .groupBy(*[col(k).alias(f"__mill_p{i}") for i, k in enumerate(partial)])
             .agg(F.max(order_value(order)).alias("__mill_cut"))
+            .withColumn("__mill_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         )
+        salt = F.pmod(F.xxhash64(*[col(c) for c in [*keys, *order]]), F.lit(SALTS)).cast("int")
         on = [col(k) == F.col(f"__mill_p{i}") for i, k in enumerate(partial)]
-        data = data.join(covers, on, "left").filter(
-            F.coalesce(order_value(order) > F.col("__mill_cut"), F.lit(True))
-        ).select(*[col(c) for c in b.columns])
+        data = data.withColumn("__mill_d", salt).join(
+            covers, [*on, F.col("__mill_d") == F.col("__mill_s")], "left"
+        )
+        later = F.coalesce(order_value(order) > F.col("__mill_cut"), F.lit(True))
+        data = data.filter(later).select(*[col(c) for c in b.columns])
 
     rest = [c for c in b.columns if c not in keys]
     body = F.struct(*[col(c).alias(f"f{i}") for i, c in enumerate(rest)])

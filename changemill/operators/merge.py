@@ -32,20 +32,22 @@ def _shared(t: DataFrame, b: DataFrame) -> list[str]:
     return [c for c in t.columns if c in b.columns]
 
 
-def _upsert(t, live, gone, keys, null_safe, unique_keys):
-    """Delete the keys of ``gone`` and write the rows of ``live``.
+def _replaces(t: DataFrame, b: DataFrame, unique_keys: bool) -> bool:
+    """May a matched row simply be replaced? Yes with unique target keys and no column that
+    only the target has: then one anti join does, and the target is read once."""
+    return unique_keys and len(_shared(t, b)) == len(t.columns)
 
-    With unique target keys and no target-only column a matched row is simply replaced:
-    one anti join, the target is read once. Otherwise every matched target row is updated
-    in place and only unknown keys are added.
-    """
-    cols = _shared(t, live)
-    if unique_keys and len(cols) == len(t.columns):
-        changed = [x.select(*[col(k) for k in keys]) for x in (live, gone) if x is not None]
-        return append(without(t, reduce(DataFrame.unionAll, changed), keys, null_safe), live)
-    if gone is not None:
-        t = without(t, gone, keys, null_safe)
-    return append(update_from(t, live, keys, cols, null_safe), missing(live, t, keys, null_safe))
+
+def _keys_of(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.select(*[col(k) for k in keys])
+
+
+def _upsert(t, live, keys, null_safe, unique_keys):
+    """Write the rows of ``live`` over the rows with their key."""
+    if _replaces(t, live, unique_keys):
+        return append(without(t, live, keys, null_safe), live)
+    kept = update_from(t, live, keys, _shared(t, live), null_safe)
+    return append(kept, missing(live, t, keys, null_safe))
 
 
 def merge_hard(
@@ -65,7 +67,7 @@ def merge_hard(
     """
     rows = row_changes(b, op_col).filter(col(op_col).isNotNull())
     live = rows.filter(col(op_col) != Op.DELETE)
-    if unique_keys and len(_shared(t, b)) == len(t.columns):
+    if _replaces(t, b, unique_keys):
         out = append(without(t, rows, keys, null_safe), live)
     else:
         kept = update_from(t, rows, keys, _shared(t, b), null_safe, drop=col(op_col) == Op.DELETE)
@@ -96,18 +98,30 @@ def merge_key_change(
     if null_safe:
         # a delete with a NULL in its key counts only while no target row is ambiguous
         twice = duplicate_changes(rows, keys, op_col)
-        ambiguous = matching(t.select(*[col(k) for k in keys]), twice, keys, True).exists()
+        ambiguous = matching(_keys_of(t, keys), twice, keys, True).exists()
         known = reduce(lambda a, c: a & c, [col(k).isNotNull() for k in keys])
         gone = gone.filter(known | ~ambiguous)
-    left = without(t, gone, keys, null_safe)
-    out = _upsert(left, live, None, keys, null_safe, unique_keys)
+    if _replaces(t, b, unique_keys):
+        changed = _keys_of(live, keys).unionAll(_keys_of(gone, keys))
+        out = append(without(t, changed, keys, null_safe), live)
+    else:
+        # one join with the target: the deletes of a key come before its other rows
+        first = _first_op(live.unionByName(gone), keys, op_col)
+        kept = update_from(t, first, keys, _shared(t, b), null_safe, drop=col(op_col) == Op.DELETE)
+        held = without(matching(_keys_of(t, keys), live, keys, null_safe).distinct(), gone, keys, null_safe)
+        out = append(kept, without(live, held, keys, null_safe))
     if check:
         twice = duplicate_changes(live, keys, op_col)
-        bad = matching(left.select(*[col(k) for k in keys]), twice, keys, null_safe)
-        out = fail_if(out, bad, "several change rows match one target row")
+        left = without(matching(_keys_of(t, keys), twice, keys, null_safe), gone, keys, null_safe)
+        out = fail_if(out, left, "several change rows match one target row")
     return out
 
 
+def _first_op(rows: DataFrame, keys: list[str], op_col: str) -> DataFrame:
+    """The row with the lowest code of each key: a delete if there is one."""
+    return latest(rows.withColumn("__mill_low", -col(op_col)), keys, ["__mill_low"]).drop("__mill_low")
+
+
 def merge_then_insert(
     t: DataFrame, b: DataFrame, keys: list[str], op_col: str = OP_COL, null_safe: bool = True
 ) -> DataFrame:
@@ -137,7 +151,13 @@ def merge_soft(
     cols = _shared(t, b)
     dead = rows.filter(col(flag_col) == 1)
     live = rows.filter(col(flag_col) == 0)
-    return _upsert(update_from(t, dead, keys, cols, null_safe), live, None, keys, null_safe, unique_keys)
+    if _replaces(t, b, unique_keys):
+        return append(without(update_from(t, dead, keys, cols, null_safe), live, keys, null_safe), live)
+    # one join with the target, so that a key it repeats often can be split: the live row
+    # of a key hides its flagged one
+    last = latest(dead.unionByName(live).withColumn("__mill_low", -col(flag_col)), keys, ["__mill_low"])
+    kept = update_from(t, last, keys, cols, null_safe)
+    return append(kept, missing(live, t, keys, null_safe))
 
 
 def merge_soft_nokey(
@@ -173,7 +193,7 @@ def merge_plain(
     ``insert_unmatched_deletes=True`` also writes a delete that matches nothing.
     """
     if soft:
-        return _upsert(t, row_changes(b, op_col), None, keys, False, unique_keys)
+        return _upsert(t, row_changes(b, op_col), keys, False, unique_keys)
     out = merge_hard(t, b, keys, op_col, null_safe=False, unique_keys=unique_keys)
     if insert_unmatched_deletes:
         gone = b.filter(col(op_col) == Op.DELETE)
@@ -183,10 +203,13 @@ def merge_plain(
 
 def apply_three_step(t: DataFrame, b: DataFrame, keys: list[str], op_col: str = OP_COL) -> DataFrame:
     """Delete by code 0, set the non-key columns by code 2, append code 1, in this order."""
-    left = without(t, b.filter(col(op_col) == Op.DELETE), keys, null_safe=False)
     cols = [c for c in _shared(t, b) if c not in keys and c != op_col]
+    steps = b.filter(col(op_col).isin(Op.DELETE, Op.UPDATE))
     if cols:
-        left = update_from(left, b.filter(col(op_col) == Op.UPDATE), keys, cols, null_safe=False)
+        first = _first_op(steps, keys, op_col)
+        left = update_from(t, first, keys, cols, null_safe=False, drop=col(op_col) == Op.DELETE)
+    else:
+        left = without(t, steps.filter(col(op_col) == Op.DELETE), keys, null_safe=False)
     return append(left, b.filter(col(op_col) == Op.INSERT))
 
 
@@ -229,9 +252,9 @@ def apply_files_in_order(
 
 def insert_strict(t: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """Append; a key that exists in the target or occurs twice in the set fails the job."""
-    have = matching(t.select(*[col(k) for k in keys]), b, keys)
+    have = matching(_keys_of(t, keys), b, keys)
     twice = b.groupBy(*[col(k) for k in keys]).count().filter("count > 1")
-    bad = have.unionAll(twice.select(*[col(k) for k in keys]))
+    bad = have.unionAll(_keys_of(twice, keys))
     return fail_if(append(t, b), bad, "insert of a key that exists")
 
 

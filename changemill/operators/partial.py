@@ -10,6 +10,19 @@ from changemill.operators.joins import one_row_per_key, update_from, without
 from changemill.spec import FLAG_COL, OP_COL, Op
 
 
+#: Tables known to send deletes with an incomplete key, and the key column these leave out
+#: (fixed values).
+KNOWN_UNUSED = {"bseg": ["pageno"], "bset": ["pageno"], "bsem": ["pageno"]}
+
+
+def unused_keys(table: str, configured: dict[str, list[str]] = {}) -> list[str]:
+    """Key columns that a partial-key delete of this table leaves out; none for most tables.
+
+    A configured entry replaces the known one.
+    """
+    return list(configured.get(table, KNOWN_UNUSED.get(table, [])))
+
+
 def _used(keys: list[str], unused: list[str]) -> list[str]:
     used = [k for k in keys if k not in unused]
     if not used:

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from changemill.functions.columns import col
 from changemill.operators.joins import align, append
 from changemill.operators.merge import merge_plain
+from changemill.schema.types import struct_type
 from changemill.spec import OP_COL, Op
 
 
@@ -45,3 +46,10 @@ def refresh_inserts_only(b: DataFrame, op_col: str = OP_COL) -> DataFrame:
 def empty_target(spark, schema: T.StructType) -> DataFrame:
     """A table of the given schema without rows."""
     return spark.createDataFrame([], schema)
+
+
+def create_target(target, mapped: DataFrame, table: str, lower: bool = False) -> T.StructType:
+    """Create or recreate a snapshot table, empty, from the typed dictionary rows of a table."""
+    schema = struct_type(mapped, table, lower)
+    target.commit(empty_target(mapped.sparkSession, schema), "create")
+    return schema

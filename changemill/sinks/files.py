@@ -45,6 +45,16 @@ def write_messages(msgs: DataFrame, path: str, dest: list[str], order: list[str]
     out.write.mode("append").partitionBy(*dest).json(path)
 
 
+def publish(msgs: DataFrame, send, dest: list[str], order: list[str]) -> None:
+    """Hand the messages in order to ``send(rows)``, called once per task on the executors.
+
+    Each task holds one contiguous range of the order; a large destination spans several.
+    A task may run again after a failure: the receiver has to accept repeats.
+    """
+    by = [col(c) for c in [*dest, *order]]
+    msgs.repartitionByRange(*by).sortWithinPartitions(*by).foreachPartition(send)
+
+
 def journal(msgs: DataFrame, path: str, channel: str, location: str, batch_id: int, by: list[str] = ("partition_id",), value_col: str = "value") -> None:
     """Keep the messages of a batch: one folder per channel, location, cycle and partition.
 

@@ -198,7 +198,7 @@ def read_or_quarantine(
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     wide = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    parse = {"json": F.from_json, "csv": lambda c, s, o: F.from_csv(c, s.simpleString()[7:-1].replace(":", " "), o)}
+    parse = {"json": F.from_json, "csv": lambda c, s, o: F.from_csv(c, s.simpleString(), o)}
     if fmt not in parse:
         raise ValueError("fmt must be 'json' or 'csv'")
     how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", **options}
