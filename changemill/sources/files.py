@@ -117,18 +117,36 @@ def read_whole_files(spark: SparkSession, paths) -> DataFrame:
     )
 
 
-def list_files(spark: SparkSession, paths, pattern: str = "*", recursive: bool = True) -> DataFrame:
-    """Listing of staged files without reading them: ``file_path, file_name, size_bytes, modified``."""
-    r = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-    if recursive:
-        r = r.option("recursiveFileLookup", True)
-    df = r.load(_paths(paths))
-    return df.select(
-        F.col("path").alias("file_path"),
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.col("length").alias("size_bytes"),
-        F.col("modificationTime").alias("modified"),
+def list_files(spark: SparkSession, folder: str, pattern: str = "*", include_empty: bool = True) -> DataFrame:
+    """Listing of a staging folder without reading it: ``file_path, file_name, size_bytes``.
+
+    Spark's own listing runs on the cluster but leaves out files without content; with
+    ``include_empty`` the names of empty files are added from the file system's listing.
+    """
+    df = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
+        .load(folder)
+        .select(
+            F.col("path").alias("file_path"),
+            F.element_at(F.split("path", "/"), -1).alias("file_name"),
+            F.col("length").alias("size_bytes"),
+        )
     )
+    if not include_empty:
+        return df
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, empty = fs.listFiles(path, True), []
+    glob = jvm.org.apache.hadoop.fs.GlobFilter(pattern)
+    while found.hasNext():
+        status = found.next()
+        name = status.getPath().getName()
+        if status.getLen() == 0 and name[0] not in "._" and glob.accept(status.getPath()):
+            empty.append((status.getPath().toString(), name, 0))
+    return df.unionAll(spark.createDataFrame(empty, df.schema)) if empty else df
 
 
 def read_staged(spark: SparkSession, paths, fmt: str = "parquet", schema=None, logical_types: bool = True) -> DataFrame:
