@@ -150,12 +150,18 @@ def plain(sql: str) -> str:
 
 def frame(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """The fixture as a DataFrame over the Parquet tables."""
-    args = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables_in(sql)}
-    return spark.sql(sql, **args)
+    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in tables_in(sql)})
+
+
+_SCHEMAS: dict = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is looked up once per path."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def scratch(spark: SparkSession, what: str) -> str:

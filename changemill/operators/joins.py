@@ -20,11 +20,13 @@ _VALUE = "__mill_v{}"
 _HIT = "__mill_hit"
 
 
-def _side(rows: DataFrame, keys: list[str]) -> list[Column]:
+def key_side(rows: DataFrame, keys: list[str]) -> list[Column]:
+    """The key columns of the right side under names that clash with nothing."""
     return [col(k).alias(_KEY.format(i)) for i, k in enumerate(keys)]
 
 
-def _on(keys: list[str], null_safe: bool) -> Column:
+def key_test(keys: list[str], null_safe: bool) -> Column:
+    """Join condition of a left side with the columns of ``key_side``."""
     pairs = [(col(k), F.col(_KEY.format(i))) for i, k in enumerate(keys)]
     tests = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
     return reduce(lambda a, b: a & b, tests)
@@ -38,13 +40,13 @@ def _need(keys: list[str]) -> None:
 def matching(t: DataFrame, rows: DataFrame, keys: list[str], null_safe: bool = True) -> DataFrame:
     """Rows of ``t`` that have a row with the same key in ``rows``."""
     _need(keys)
-    return t.join(rows.select(*_side(rows, keys)), _on(keys, null_safe), "left_semi")
+    return t.join(rows.select(*key_side(rows, keys)), key_test(keys, null_safe), "left_semi")
 
 
 def without(t: DataFrame, rows: DataFrame, keys: list[str], null_safe: bool = True) -> DataFrame:
     """Rows of ``t`` that have no row with the same key in ``rows``."""
     _need(keys)
-    return t.join(rows.select(*_side(rows, keys)), _on(keys, null_safe), "left_anti")
+    return t.join(rows.select(*key_side(rows, keys)), key_test(keys, null_safe), "left_anti")
 
 
 def update_from(
@@ -66,11 +68,11 @@ def update_from(
     cols = [c for c in cols if c not in keys]
     hit = F.lit(1) if drop is None else F.when(drop, 2).otherwise(1)
     side = rows.select(
-        *_side(rows, keys),
+        *key_side(rows, keys),
         *[col(c).alias(_VALUE.format(i)) for i, c in enumerate(cols)],
         hit.alias(_HIT),
     )
-    joined = t.join(side, _on(keys, null_safe), "left")
+    joined = t.join(side, key_test(keys, null_safe), "left")
     if drop is not None:
         joined = joined.filter(F.coalesce(F.col(_HIT), F.lit(1)) != 2)
     types = {f.name: f.dataType for f in t.schema.fields}

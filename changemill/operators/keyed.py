@@ -23,7 +23,12 @@ def to_struct_key(df: DataFrame, keys: list[str], key_col: str = "row_key", text
 
 
 def upsert_lww(
-    t: DataFrame, b: DataFrame, keys: list[str], order: list[str], flag_col: str | None = FLAG_COL
+    t: DataFrame,
+    b: DataFrame,
+    keys: list[str],
+    order: list[str],
+    flag_col: str | None = FLAG_COL,
+    null_safe: bool = True,
 ) -> DataFrame:
     """The last row of each key replaces the stored row.
 
@@ -34,10 +39,12 @@ def upsert_lww(
     live = last
     if flag_col is not None:
         live = last.filter(~F.coalesce(col(flag_col).cast("int") == 1, F.lit(False)))
-    return append(without(t, last, keys), live)
+    return append(without(t, last, keys, null_safe), live)
 
 
-def upsert_partial(t: DataFrame, b: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def upsert_partial(
+    t: DataFrame, b: DataFrame, keys: list[str], order: list[str], null_safe: bool = True
+) -> DataFrame:
     """Empty values of a change are absent: a stored value stays, a new row gets NULL.
 
     Several changes of a key are folded column by column: the last non-empty value wins,
@@ -52,8 +59,8 @@ def upsert_partial(t: DataFrame, b: DataFrame, keys: list[str], order: list[str]
         return F.max_by(col(c), F.when(filled, ordv)).alias(c)
 
     folded = b.groupBy(*[col(k) for k in keys]).agg(*[last_filled(c) for c in cols])
-    kept = update_from(t, folded, keys, cols, value=lambda new, old: F.coalesce(new, old))
-    return append(kept, missing(folded, t, keys))
+    kept = update_from(t, folded, keys, cols, null_safe, value=lambda new, old: F.coalesce(new, old))
+    return append(kept, missing(folded, t, keys, null_safe))
 
 
 def with_id(df: DataFrame, keys: list[str], sep: str = "", id_col: str = "_id") -> DataFrame:

@@ -19,6 +19,8 @@ from changemill.operators.joins import (
     align,
     append,
     fail_if,
+    key_side,
+    key_test,
     matching,
     missing,
     one_row_per_key,
@@ -95,12 +97,10 @@ def merge_key_change(
     rows = row_changes(b, op_col).filter(col(op_col).isNotNull())
     live = rows.filter(col(op_col) != Op.DELETE)
     gone = rows.filter(col(op_col) == Op.DELETE)
+    facts = _ambiguity(t, rows, keys, op_col, null_safe).scalar() if null_safe or check else None
     if null_safe:
         # a delete with a NULL in its key counts only while no target row is ambiguous
-        twice = duplicate_changes(rows, keys, op_col)
-        ambiguous = matching(_keys_of(t, keys), twice, keys, True).exists()
-        known = reduce(lambda a, c: a & c, [col(k).isNotNull() for k in keys])
-        gone = gone.filter(known | ~ambiguous)
+        gone = gone.filter(_known(keys) | ~F.coalesce(facts["ambiguous"], F.lit(False)))
     if _replaces(t, b, unique_keys):
         changed = _keys_of(live, keys).unionAll(_keys_of(gone, keys))
         out = append(without(t, changed, keys, null_safe), live)
@@ -111,12 +111,31 @@ def merge_key_change(
         held = without(matching(_keys_of(t, keys), live, keys, null_safe).distinct(), gone, keys, null_safe)
         out = append(kept, without(live, held, keys, null_safe))
     if check:
-        twice = duplicate_changes(live, keys, op_col)
-        left = without(matching(_keys_of(t, keys), twice, keys, null_safe), gone, keys, null_safe)
-        out = fail_if(out, left, "several change rows match one target row")
+        stop = F.raise_error(F.lit("several change rows match one target row")).cast("boolean")
+        out = out.filter(F.when(F.coalesce(facts["clash"], F.lit(False)), stop).otherwise(F.lit(True)))
     return out
 
 
+def _known(keys: list[str]):
+    return reduce(lambda a, c: a & c, [col(k).isNotNull() for k in keys])
+
+
+def _ambiguity(t, rows, keys, op_col, null_safe) -> DataFrame:
+    """One row: does a target row meet several change rows (``ambiguous``), and does one
+    survive the deletes and still meet several (``clash``)? Usually no key repeats in the
+    change set; the join with the target's keys is then empty at run time."""
+    n = F.count(F.lit(1))
+    n_live = F.count(F.when(col(op_col) != Op.DELETE, 1))
+    twice = (
+        rows.groupBy(*[col(k) for k in keys])
+        .agg(n.alias("n"), ((n_live > 1) & (~_known(keys) | (n == n_live))).alias("clash"))
+        .filter("n > 1")
+    )
+    side = twice.select(*key_side(twice, keys), F.col("clash").alias("__mill_clash"))
+    met = _keys_of(t, keys).join(side, key_test(keys, null_safe), "inner")
+    return met.agg(F.struct((n > 0).alias("ambiguous"), F.max("__mill_clash").alias("clash")).alias("facts"))
+
+
 def _first_op(rows: DataFrame, keys: list[str], op_col: str) -> DataFrame:
     """The row with the lowest code of each key: a delete if there is one."""
     return latest(rows.withColumn("__mill_low", -col(op_col)), keys, ["__mill_low"]).drop("__mill_low")
