@@ -92,12 +92,29 @@ def missing(rows: DataFrame, t: DataFrame, keys: list[str], null_safe: bool = Tr
     The target's keys are first reduced to those that occur in ``rows``. A plain anti join
     would have to shuffle or build the whole target, while this way a small change set is
     broadcast to the target scan and the second join sees only keys of the change set. A
-    key repeated many times in the target is collapsed before it is shuffled.
+    key repeated many times in the target is collapsed before that second shuffle.
+
+    The first join is null-safe in any case (without NULL keys on the right that is plain
+    equality): its partitioning then differs from what ``distinct`` needs, the exchange in
+    between leaves AQE free to split a hot key of the target.
     """
-    hit = matching(t.select(*[col(k) for k in keys]), rows, keys, null_safe).distinct()
+    known = rows
+    if not null_safe:
+        known = rows.filter(reduce(lambda a, b: a & b, [col(k).isNotNull() for k in keys]))
+    hit = matching(t.select(*[col(k) for k in keys]), known, keys, True).distinct()
     return without(rows, hit, keys, null_safe)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Cut the tie between the partitioning of aggregated ``rows`` and a following join.
+
+    AQE splits a hot key of the target only if both sides of the join come straight from an
+    exchange. After an aggregate by the join's own keys Spark would save that exchange. It
+    is the reduced change set that is moved once more, not the target.
+    """
+    return rows.hint("rebalance")
+
+
 def align(rows: DataFrame, t: DataFrame) -> DataFrame:
     """``rows`` with exactly the target's columns, order and types; missing ones NULL."""
     have = {f.name: f.dataType for f in rows.schema.fields}

@@ -24,6 +24,7 @@ from changemill.operators.joins import (
     matching,
     missing,
     one_row_per_key,
+    spread,
     update_from,
     without,
 )
@@ -189,6 +190,7 @@ def merge_soft_nokey(
     """
     cols = _shared(t, b)
     dead = one_row_per_key(b.filter(col(op_col) == Op.DELETE), keys, cols)
+    dead = dead if null_safe else spread(dead)
     return append(update_from(t, dead, keys, cols, null_safe), b.filter(col(op_col) == Op.INSERT))
 
 
@@ -225,7 +227,7 @@ def apply_three_step(t: DataFrame, b: DataFrame, keys: list[str], op_col: str =
     cols = [c for c in _shared(t, b) if c not in keys and c != op_col]
     steps = b.filter(col(op_col).isin(Op.DELETE, Op.UPDATE))
     if cols:
-        first = _first_op(steps, keys, op_col)
+        first = spread(_first_op(steps, keys, op_col))
         left = update_from(t, first, keys, cols, null_safe=False, drop=col(op_col) == Op.DELETE)
     else:
         left = without(t, steps.filter(col(op_col) == Op.DELETE), keys, null_safe=False)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changemill.functions.columns import col
-from changemill.operators.joins import one_row_per_key, update_from, without
+from changemill.operators.joins import one_row_per_key, spread, update_from, without
 from changemill.spec import FLAG_COL, OP_COL, Op
 
 
@@ -36,7 +36,7 @@ def multi_delete_hard(
     """Remove every target row whose used key columns equal a partial-key delete."""
     used = _used(keys, unused)
     gone = b.filter(col(op_col) == Op.PARTIAL_DELETE).select(*[col(k) for k in used]).distinct()
-    return without(t, gone, used, null_safe=False)
+    return without(t, spread(gone), used, null_safe=False)
 
 
 def multi_delete_soft(
@@ -73,7 +73,7 @@ def multi_delete_flag(
     used = _used(keys, unused)
     rows = b.filter((col(op_col) == Op.DELETE) & (col(flag_col) == 1))
     rows = rows.select(*[col(k) for k in used], col(flag_col)).distinct()
-    return update_from(t, rows, used, [flag_col], null_safe=False)
+    return update_from(t, spread(rows), used, [flag_col], null_safe=False)
 
 
 def apply_truncate(t: DataFrame, b: DataFrame, listed: bool = True, op_col: str = OP_COL) -> DataFrame:
