@@ -58,14 +58,17 @@ def read_json_lines(spark, sf):
     return files.read_json_lines(spark, folder, "conv_id bigint, turn bigint, role string, text string")
 
 
-@query("read_json_array", plain("SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos FROM {conversations}"))
+@query("read_json_array", plain("SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY floor(conv_id / 20.0) ORDER BY conv_id, turn) - 1 AS pos FROM {conversations}"))
 def read_json_array(spark, sf):
     """Array files keep the position of every row."""
     from changemill.operators.messages import rows_to_file_messages
 
     folder = scratch(spark, "json")
-    rows = table(spark, sf, "conversations").withColumn("value", F.to_json(F.struct("conv_id", "turn", "role", "text")))
-    rows_to_file_messages(rows, ["conv_id"], ["turn"]).withColumnRenamed("conv_id", "c").write.partitionBy("c").text(folder)
+    rows = table(spark, sf, "conversations").withColumns({
+        "value": F.to_json(F.struct("conv_id", "turn", "role", "text")),
+        "file_no": F.floor(F.col("conv_id") / 20),
+    })
+    rows_to_file_messages(rows, ["file_no"], ["conv_id", "turn"]).write.partitionBy("file_no").text(folder)
     out = files.read_json_array(spark, folder, "conv_id bigint, turn bigint, role string, text string")
     return out.drop("file_name")
 

@@ -219,16 +219,23 @@ def batch_totals(spark, sf):
     return packing.batch_totals(packed, ["lang"], "text")
 
 
-@query("whole_file_messages", plain("SELECT conv_id, count(*) AS n_turns FROM {conversations} GROUP BY conv_id"))
+@query("whole_file_messages", plain("SELECT CAST(floor(conv_id / 20.0) AS BIGINT) AS file_no, count(*) AS n_turns, max(conv_id) AS last_conv FROM {conversations} GROUP BY ALL"))
 def whole_file_messages(spark, sf):
     """One message per file, the files written from the conversations."""
     folder = scratch(spark, "messages")
-    turns = table(spark, sf, "conversations").select("conv_id", "turn", F.to_json(F.struct("conv_id", "turn", "role")).alias("value"))
-    arrays = messages.rows_to_file_messages(turns, ["conv_id"], ["turn"])
-    arrays.write.partitionBy("conv_id").text(folder)
+    turns = table(spark, sf, "conversations").select(
+        F.floor(F.col("conv_id") / 20).alias("file_no"), "conv_id", "turn",
+        F.to_json(F.struct("conv_id", "turn", "role")).alias("value"),
+    )
+    arrays = messages.rows_to_file_messages(turns, ["file_no"], ["conv_id", "turn"])
+    arrays.write.partitionBy("file_no").text(folder)
     sent = messages.files_to_messages(read_whole_files(spark, folder))
     rows = F.from_json("value", "array<struct<conv_id:bigint,turn:bigint>>")
-    return sent.select(rows[0]["conv_id"].alias("conv_id"), F.size(rows).cast("long").alias("n_turns"))
+    return sent.withColumn("rows", rows).select(
+        F.floor(F.col("rows")[0]["conv_id"] / 20).alias("file_no"),
+        F.size("rows").cast("long").alias("n_turns"),
+        F.element_at("rows", -1)["conv_id"].alias("last_conv"),
+    )
 
 
 @query("journal", plain("SELECT lang, doc_id FROM {documents}"))

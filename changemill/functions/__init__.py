@@ -7,6 +7,8 @@ from changemill.functions.columns import (  # noqa: F401
     order_value,
     strip_schema,
     table_of,
+    matches_wildcard,
     template,
+    wildcard,
     wildcard_regex,
 )

@@ -6,7 +6,6 @@ import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def col(name: str) -> Column:
@@ -74,19 +73,28 @@ def table_of(name: Column) -> tuple[Column, Column]:
 
 def wildcard_regex(pattern: Column) -> Column:
     """A shell wildcard column (``*``, ``?``, ``[a-c]``, ``[!a-c]``) as a regex column."""
-    body = F.regexp_replace(pattern, r"^!", "")
-    escaped = F.regexp_replace(body, r"([\\.^$+(){}|])", r"\\$1")
+    escaped = F.regexp_replace(pattern, r"([\\.^$+(){}|])", r"\\$1")
     escaped = F.regexp_replace(escaped, r"\[!", "[^")
     escaped = F.regexp_replace(escaped, r"\*", ".*")
     escaped = F.regexp_replace(escaped, r"\?", ".")
     return F.concat(F.lit("(?s)^"), escaped, F.lit("$"))
 
 
-def matches_wildcard(name: Column, pattern: Column) -> Column:
-    """Wildcard test; a leading ``!`` turns the test round, ``*`` matches everything."""
-    hit = F.rlike(name, wildcard_regex(pattern))
-    return (pattern == "*") | F.when(pattern.startswith("!"), ~hit).otherwise(hit)
+def wildcard(pattern: Column) -> Column:
+    """A wildcard pattern taken apart once, for tests against many names.
 
+    ``negate``: it starts with ``!``; ``prefix``: the text before the first wildcard;
+    ``regex``: the whole test, NULL if the prefix alone decides.
+    """
+    body = F.regexp_replace(pattern, "^!", "")
+    prefix = F.regexp_extract(body, r"^[^*?\[]*", 0)
+    regex = F.when(body != F.concat(prefix, F.lit("*")), wildcard_regex(body))
+    return F.struct(pattern.startswith("!").alias("negate"), prefix.alias("prefix"), regex.alias("regex"))
+
+
+def matches_wildcard(name: Column, parts: Column) -> Column:
+    """Test a name against a taken-apart pattern; most names fail at the prefix already."""
+    starts = F.startswith(name, parts["prefix"])
+    hit = F.when(starts, F.when(parts["regex"].isNull(), True).otherwise(F.rlike(name, parts["regex"])))
+    return F.coalesce(hit, F.lit(False)) != parts["negate"]
 
-def is_text(dtype: T.DataType) -> bool:
-    return isinstance(dtype, T.StringType)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changemill.functions.columns import matches_wildcard
+from changemill.functions.columns import matches_wildcard, wildcard
 
 COLUMN_TYPE = (
     "struct<col_sequence:int,col_name:string,base_name:string,col_key:int,"
@@ -104,7 +104,7 @@ def _with_rules(tables: DataFrame, rules_df: DataFrame, context: str | None) ->
     The rule list is configuration; it reaches the tables as one scalar value, so there is
     no join on a pattern.
     """
-    rule = F.struct(*[F.col(c) for c in RULE_FIELDS])
+    rule = F.struct(*[F.col(c) for c in RULE_FIELDS], wildcard(F.col("tbl_pattern")).alias("wildcard"))
     every = rules_df.agg(F.array_sort(F.collect_list(rule)).alias("rules")).scalar()
     return tables.withColumn("__mill_every", every).withColumn(
         "__mill_rules",
@@ -113,7 +113,7 @@ def _with_rules(tables: DataFrame, rules_df: DataFrame, context: str | None) ->
 
 
 def _applies(r: Column, table: Column, context: str | None) -> Column:
-    here = matches_wildcard(table, r["tbl_pattern"])
+    here = matches_wildcard(table, r["wildcard"])
     if context is None:
         return here
     return here & (~_filled(r["context"]) | (r["context"] == context))

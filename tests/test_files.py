@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changemill import functions as fn
-from changemill.functions.columns import matches_wildcard
+from changemill.functions.columns import matches_wildcard, wildcard
 from changemill.operators import messages, quality
 from changemill.sources import files, routing
 
@@ -152,10 +152,11 @@ def test_file_size_limit(spark):
 @pytest.mark.parametrize("pattern,name,hit", [
     ("*", "x", True), ("a*", "abc", True), ("a*", "bc", False), ("!a*", "bc", True), ("!a*", "abc", False),
     ("a?c", "abc", True), ("a.c", "abc", False), ("[a-c]x", "bx", True), ("[!a-c]x", "bx", False), ("a+(b)", "a+(b)", True),
+    ("abc", "abc", True), ("abc", "abcd", False), ("!abc", "abc", False), ("a*c*", "abcd", True), ("", "", True),
 ])
 def test_wildcards(spark, pattern, name, hit):
     df = spark.createDataFrame([(name, pattern)], "n string, p string")
-    assert df.select(matches_wildcard(F.col("n"), F.col("p"))).first()[0] is hit
+    assert df.select(matches_wildcard(F.col("n"), wildcard(F.col("p")))).first()[0] is hit
 
 
 def test_checks(spark, rows):
