@@ -122,9 +122,9 @@ def _applies(r: Column, table: Column, context: str | None) -> Column:
 def rules_for(rules_df: DataFrame, tables: DataFrame, context: str | None = None) -> DataFrame:
     """The rules of each table: ``tbl_name`` and the rule's fields."""
     mine = _with_rules(tables.select("tbl_name"), rules_df, context)
-    return mine.select("tbl_name", F.explode("__mill_rules").alias("r")).select(
-        "tbl_name", *[F.col("r")[c].alias(c) for c in RULE_FIELDS]
-    )
+    # outer: a plain explode would make Spark compute the list once more to filter on its size
+    each = mine.select("tbl_name", F.explode_outer("__mill_rules").alias("r"))
+    return each.filter("r IS NOT NULL").select("tbl_name", *[F.col("r")[c].alias(c) for c in RULE_FIELDS])
 
 
 def apply_rules(
@@ -153,10 +153,11 @@ def apply_rules(
         )
 
     mine = _with_rules(tables, rules_df, context)
+    # outer: a plain explode would make Spark fold the rules once more to filter on the size
     done = mine.select(
-        "tbl_name", F.explode(F.aggregate("__mill_rules", F.col("cols"), step)).alias("c")
+        "tbl_name", F.explode_outer(F.aggregate("__mill_rules", F.col("cols"), step)).alias("c")
     )
-    return done.select("tbl_name", *[F.col("c")[f].alias(f) for f in COLUMN_FIELDS])
+    return done.filter("c IS NOT NULL").select("tbl_name", *[F.col("c")[f].alias(f) for f in COLUMN_FIELDS])
 
 
 def _kind(rules_df: DataFrame, kind: str) -> DataFrame:

@@ -96,7 +96,9 @@ def read_json_array(spark: SparkSession, paths, schema: str | T.StructType) -> D
     names = T.StructType.fromDDL(text).fieldNames()
     files = read_whole_files(spark, paths)
     rows = F.from_json("content", f"array<struct<{_ddl_fields(text)}>>", {"mode": "FAILFAST"})
-    return files.select("file_name", F.posexplode(rows).alias("pos", "r")).select(
+    # outer: a plain explode would make Spark parse the text twice to filter on the size
+    each = files.select("file_name", F.posexplode_outer(rows).alias("pos", "r"))
+    return each.filter("pos IS NOT NULL").select(
         "file_name", F.col("pos").cast("long").alias("pos"), *[F.col("r")[n].alias(n) for n in names]
     )
 
