@@ -13,6 +13,7 @@ from changemill.plans.integrate import integrate
 from changemill.plans.refresh import create_target, empty_target
 from changemill.schema import evolve, rules, types
 from changemill.sinks import files as sink_files
+from changemill.sinks.bucketed import BucketedTable
 from changemill.sinks.snapshots import SnapshotTable, slice_state, slices_done
 from changemill.sources.files import load_typed
 from changemill.spec import ApplySpec
@@ -229,6 +230,16 @@ def snapshot_touched(spark, sf):
     return target.read()
 
 
+@query("snapshot_bucketed", MERGE_HARD)
+def snapshot_bucketed(spark, sf):
+    """Only the change set is shuffled; the target stays in its buckets."""
+    t, b = _tb(spark, sf)
+    target = BucketedTable(spark, scratch(spark, "bucketed"), KEY, 8)
+    target.commit(t)
+    target.apply(lambda t, b: merge.merge_hard(t, b, KEY, null_safe=False), b, "cycle-1")
+    return target.read()
+
+
 @query("partitioned_target", plain("SELECT o_orderkey, o_totalprice, o_orderpriority, o_orderstatus FROM {orders}"))
 def partitioned_target(spark, sf):
     folder = scratch(spark, "parts")

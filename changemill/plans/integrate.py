@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from changemill.functions.columns import col
 from changemill.operators import merge, partial
 from changemill.operators.changes import by_op, coalesce_changes
 from changemill.operators.joins import append
+from changemill.schema.evolve import evolve_table, new_columns
 from changemill.spec import ApplySpec, Op
 
 
@@ -14,6 +17,9 @@ def coalesced(b: DataFrame, spec: ApplySpec) -> DataFrame:
     """The change set with one row per key, if the spec names an order."""
     if not spec.order:
         return b
+    if not spec.truncate:
+        # markers mean nothing to this table, so they must not cut its log either
+        b = b.filter(~col(spec.op_col).eqNullSafe(F.lit(Op.TRUNCATE)))
     return coalesce_changes(b, spec.merge_keys, list(spec.order), spec.op_col, list(spec.unused_keys))
 
 
@@ -27,8 +33,14 @@ def integrate(t: DataFrame, b: DataFrame, spec: ApplySpec) -> DataFrame:
 
     With ``spec.order`` the change set may hold any number of rows per key; without it the
     caller vouches for one row per key, except for the delete-and-insert pair of a key
-    change.
+    change. Columns the target lacks fail, are added, or are left out (``spec.new_columns``).
     """
+    fresh = new_columns(b.columns, t.columns, spec.order, (spec.op_col, spec.flag_col))
+    if fresh and spec.new_columns == "fail":
+        raise ValueError(f"columns not in the target: {fresh}")
+    if fresh and spec.new_columns == "add":
+        types = {f.name: f.dataType.simpleString() for f in b.schema.fields}
+        t = evolve_table(t, {c: types[c] for c in fresh})
     if spec.style == "history":
         return merge.merge_history(t, b, spec.merge_keys, spec.null_safe) if spec.merge_history else append_history(t, b)
 

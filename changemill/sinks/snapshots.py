@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changemill.functions.columns import col
+from changemill.operators.joins import align
+from changemill.spec import FLAG_COL, OP_COL
 
 _NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
@@ -166,8 +168,12 @@ class SnapshotTable:
         if state is None:
             return self.commit(df, tag)
         schema = T.StructType.fromJson(state["schema"])
+        lost = [c for c in df.columns if c not in schema.fieldNames() and c not in (OP_COL, FLAG_COL)]
+        if lost:
+            raise ValueError(f"columns not in the target: {lost}")
         version = self.version() + 1
-        self._write(df.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]), f"_v={version}/_add={version}")
+        rows = align(df, self.spark.createDataFrame([], schema))
+        self._write(rows, f"_v={version}/_add={version}")
         fresh = {f"_add={version}" + (f"/{p}" if p else ""): f"_v={version}"
                  for p in self._leaves(f"_v={version}/_add={version}", len(self.partition_by))}
         return self._commit(version, tag, schema, {**state["parts"], **fresh})

@@ -42,7 +42,8 @@ class ApplySpec:
     ``style`` is ``replicate`` (hard delete), ``soft_delete`` (flag column kept in the
     target) or ``history`` (append only). ``unused_keys`` are the key columns that a
     delete with an incomplete key leaves out. ``partition_cols`` join the merge keys; use
-    them only if a key never moves to another partition.
+    them only if a key never moves to another partition. ``new_columns`` says what happens to
+    columns of the change set that the target lacks: ``fail``, ``add`` or ``ignore``.
     """
 
     keys: tuple[str, ...]
@@ -58,8 +59,11 @@ class ApplySpec:
     keyless: bool = False
     split_inserts: bool = False
     merge_history: bool = False
+    new_columns: str = "fail"
 
     def __post_init__(self):
+        if self.new_columns not in ("fail", "add", "ignore"):
+            raise ValueError("new_columns must be 'fail', 'add' or 'ignore'")
         if self.style not in STYLES:
             raise ValueError(f"style must be one of {STYLES}, not {self.style!r}")
 

@@ -184,6 +184,22 @@ def test_truncate_only_for_listed_tables(spark, rows):
     assert rows(integrate(t, b, ApplySpec(keys=("k",)))) == [(1, "a"), (2, "b")]
 
 
+def test_markers_of_unlisted_tables_do_not_cut_the_log(spark, rows):
+    t, b = frames(spark, [(1, "a"), (2, "b")], [(1, "A", 2, 0), (None, None, 5, 0), (3, "c", 1, 0)])
+    b = b.withColumn("seq", F.when(F.col("k") == 1, 0).when(F.col("op_type") == 5, 1).otherwise(2))
+    assert rows(integrate(t, b, ApplySpec(keys=("k",), order=("seq",)))) == [(1, "A"), (2, "b"), (3, "c")]
+    assert rows(integrate(t, b, ApplySpec(keys=("k",), order=("seq",), truncate=True))) == [(3, "c")]
+
+
+def test_new_columns_fail_are_added_or_left_out(spark, rows):
+    t = spark.createDataFrame([(1, "a")], T)
+    b = spark.createDataFrame([(2, "b", 1, 0, 9)], B + ", extra int")
+    with pytest.raises(ValueError, match="extra"):
+        integrate(t, b, ApplySpec(keys=("k",)))
+    assert rows(integrate(t, b, ApplySpec(keys=("k",), new_columns="add"))) == [(1, "a", None), (2, "b", 9)]
+    assert rows(integrate(t, b, ApplySpec(keys=("k",), new_columns="ignore"))) == [(1, "a"), (2, "b")]
+
+
 def test_upsert_partial_keeps_stored_values(spark, rows):
     s = "k int, a string, b string"
     t = spark.createDataFrame([(1, "x", "y")], s)

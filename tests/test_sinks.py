@@ -10,6 +10,7 @@ from changemill.operators import merge
 from changemill.plans import refresh
 from changemill.plans.integrate import integrate
 from changemill.sinks import files as sink
+from changemill.sinks.bucketed import BucketedTable
 from changemill.sinks.snapshots import SnapshotTable, slice_state, slices_done
 from changemill.spec import ApplySpec
 from changemill.streaming import cycles
@@ -28,6 +29,10 @@ def test_versions_stay_readable(spark, tmp_path, rows):
     assert t.is_committed("x-1") and not t.is_committed("x-2")
     t.append(spark.createDataFrame([("d", 9)], "v string, k bigint"))
     assert rows(t.read()) == [(1, "b"), (2, "c"), (9, "d")]
+    with pytest.raises(ValueError, match="not in the target"):
+        t.append(spark.createDataFrame([(1, "a", 2)], "k int, v string, extra int"))
+    t.append(spark.createDataFrame([(4,)], "k int"))
+    assert rows(t.read().filter("v IS NULL")) == [(4, None)]
     t.commit(refresh.refresh_restrict(t.read(), spark.createDataFrame([(3, "z")], "k int, v string"), "k > 1"))
     assert rows(t.read()) == [(1, "b"), (3, "z")]
 
@@ -67,6 +72,33 @@ def test_second_writer_fails(spark, tmp_path):
         a._commit(1, "late", spark.range(1).schema, {})
 
 
+def test_bucketed_merge_moves_only_the_change_set(spark, tmp_path, rows):
+    root = str(tmp_path / "t")
+    t = BucketedTable(spark, root, ["k"], 4)
+    t.commit(spark.range(100).selectExpr("cast(id AS int) AS k", "cast(id AS string) AS v"))
+    b = spark.range(50, 150).selectExpr("cast(id AS int) AS k", "'n' AS v", "cast(if(id < 60, 0, 2) AS int) AS op_type")
+    fn = lambda t, b: merge.merge_hard(t, b, ["k"], null_safe=False)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = fn(t.read(), b.repartition(4, "k"))
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 2  # both over the change set
+        assert text.index("FileScan") < text.index("Exchange") and "Bucketed: true" in text
+        t.apply(fn, b, "one")
+        t.apply(fn, b, "two")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    want = sorted([(i, str(i)) for i in range(50)] + [(i, "n") for i in range(60, 150)], key=repr)
+    assert rows(t.read()) == want
+    for v in (1, 2, 3):  # another session knows the commits but not the catalog entries
+        spark.sql(f"DROP TABLE {t._table(f'_v={v}')}")
+    again = BucketedTable(spark, root, ["k"], 4)
+    assert rows(again.read()) == want and again.read(1).count() == 100
+    files = [n for n in os.listdir(f"{root}/_v=3") if n.endswith(".parquet")]
+    assert len(files) <= 8  # one file per bucket from the kept rows, one from the changes
+
+
 @pytest.mark.parametrize("parts", [[], ["v"]])
 def test_sliced_refresh(spark, tmp_path, rows, parts):
     t = SnapshotTable(spark, str(tmp_path / "t"), parts)
