@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changemill.functions.columns import col, join_keys, strip_schema, template
+from changemill.operators.joins import fail_if
 from changemill.sources.routing import file_elements
 
 META_COLS = ("op_type", "op_timestamp")
@@ -116,16 +117,23 @@ def files_to_messages(files: DataFrame, text_col: str = "content") -> DataFrame:
 
 
 def rows_to_file_messages(
-    df: DataFrame, file_cols: list[str], order: list[str], value_col: str = "value"
+    df: DataFrame,
+    file_cols: list[str],
+    order: list[str],
+    value_col: str = "value",
+    max_bytes: int = MESSAGE_LIMIT,
 ) -> DataFrame:
     """Reshaped rows back to one JSON array per file, in order.
 
-    A file is at most one message, so the group is bounded by the message limit that
-    ``check_message_size`` enforces.
+    A file is one message, so its rows have to fit the message limit. That is tested on
+    the sums of their lengths before any row is collected; a larger file fails the job.
     """
+    total = F.sum(message_size(value_col) + 1) + 1
+    large = df.groupBy(*[col(c) for c in file_cols]).agg(total.alias("n")).filter(F.col("n") > max_bytes)
     item = F.struct(F.struct(*[col(c) for c in order]).alias("o"), col(value_col).alias("v"))
     rows = F.transform(F.array_sort(F.collect_list(item)), lambda x: x["v"])
-    return df.groupBy(*[col(c) for c in file_cols]).agg(
+    checked = fail_if(df, large, f"a file exceeds {max_bytes} bytes as one message")
+    return checked.groupBy(*[col(c) for c in file_cols]).agg(
         F.concat(F.lit("["), F.array_join(rows, ","), F.lit("]")).alias(value_col)
     )
 

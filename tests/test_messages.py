@@ -146,6 +146,14 @@ def test_oversize_message_fails(spark):
         messages.check_message_size(df, 19).collect()
 
 
+def test_rows_back_to_file_messages(spark, rows):
+    df = spark.createDataFrame([("f", i, f'{{"a":{i}}}') for i in (2, 0, 1)], "f string, pos int, value string")
+    want = '[{"a":0},{"a":1},{"a":2}]'
+    assert rows(messages.rows_to_file_messages(df, ["f"], ["pos"], max_bytes=len(want))) == [("f", want)]
+    with pytest.raises(Exception, match="exceeds"):
+        messages.rows_to_file_messages(df, ["f"], ["pos"], max_bytes=len(want) - 1).collect()
+
+
 def greedy(sizes, limit):
     out, used, batch = [], 0, 0
     for i, s in enumerate(sizes):
