@@ -8,6 +8,7 @@ from catalog.fixtures import FILES, PAIRS, PAIRS_BROKEN, TX, ctes, frame, plain,
 from catalog.registry import query
 from changemill.operators import images, messages, packing
 from changemill.operators.ordering import with_position
+from changemill.plans.publish import PublishSpec, publish_plan
 from changemill.sinks import files as sink_files
 from changemill.sources.files import read_whole_files
 
@@ -238,6 +239,35 @@ def whole_file_messages(spark, sf):
     )
 
 
+# files of ten events of one user, with positions; the user is the transaction
+_FILED = f"""SELECT user_id, CAST(floor(event_id / 1000.0) AS BIGINT) AS file_no, event_id, op_type, value, event_type, 0 AS tx_end,
+ concat('0000', lpad(lower(hex(user_id)), 16, '0'), '0000') AS tx,
+ row_number() OVER (PARTITION BY user_id, CAST(floor(event_id / 1000.0) AS BIGINT) ORDER BY event_id, row_seq) - 1 AS pos FROM ({PAIRS}) p"""
+
+
+@query("publish_cycle", ctes(p=_FILED) + """,
+q AS (SELECT *, lag(op_type) OVER w AS b_op, lag(value) OVER w AS b_value FROM p WINDOW w AS (PARTITION BY user_id, file_no ORDER BY pos)),
+r AS (SELECT *, b_op = 4 AND b_value IS DISTINCT FROM value AS changed, b_op = 4 AND b_value IS NOT DISTINCT FROM value AS same,
+        row_number() OVER (PARTITION BY user_id ORDER BY file_no DESC, pos DESC) = 1 AS last FROM q WHERE op_type <> 4)
+SELECT user_id, file_no, CAST(user_id % 3 AS INTEGER) AS partition_id, count(*) AS n_rows, min(event_id) AS first_event,
+       CAST(sum(CASE WHEN changed THEN 1 ELSE 0 END) AS BIGINT) AS n_old, CAST(sum(CASE WHEN last THEN 1 ELSE 0 END) AS BIGINT) AS n_ends
+FROM r WHERE NOT coalesce(same, false) OR last GROUP BY ALL""")
+def publish_cycle(spark, sf):
+    """Collapse, discard, mark, partition, one message per file, batches."""
+    spec = PublishSpec(
+        columns=("event_id", "op_type", "value", "event_type", "tx_end"), file_cols=("user_id", "file_no"),
+        file_order=("file_no", "user_id"), discard=True, tx_col="tx", partitions=3, end_col="tx_end",
+    )
+    sent = publish_plan(frame(spark, sf, _FILED), spec)
+    rows = F.from_json("value", "array<struct<event_id:bigint,tx_end:int,`Old&value`:double>>")
+    hits = lambda test: F.size(F.filter("rows", test)).cast("long")
+    return sent.withColumn("rows", rows).select(
+        "user_id", "file_no", "partition_id", F.size("rows").cast("long").alias("n_rows"),
+        F.col("rows")[0]["event_id"].alias("first_event"),
+        hits(lambda x: x["Old&value"].isNotNull()).alias("n_old"), hits(lambda x: x["tx_end"] == 1).alias("n_ends"),
+    )
+
+
 @query("journal", plain("SELECT lang, doc_id FROM {documents}"))
 def journal(spark, sf):
     """Messages kept by batch, read back."""

@@ -8,7 +8,8 @@ from catalog.apply_queries import COLS, KEY, LCOLS, MERGE_HARD, _LAST, _tb
 from catalog.fixtures import CHANGES, DICTIONARY, LOG, LOG_TARGET, ORDERS, ctes, frame, plain, scratch, table
 from catalog.registry import query
 from changemill.operators import merge, quality
-from changemill.operators.changes import order_columns
+from changemill.operators.changes import empty_like, order_columns
+from changemill.operators.keyed import to_text
 from changemill.plans.integrate import integrate
 from changemill.plans.refresh import create_target, empty_target
 from changemill.schema import evolve, rules, types
@@ -115,30 +116,38 @@ def rules_for(spark, sf):
     return rules.rules_for(frame(spark, sf, RULES), tables, "dw").select("tbl_name", "rule_seq", "name")
 
 
-def _customer_dictionary(spark, sf):
-    """Four columns of one table, made from the region table's first row."""
-    rows = table(spark, sf, "region").limit(1).selectExpr("""stack(4, 1, 'id', 'bigint', '0', 2, 'name', 'varchar', '25',
-        3, 'nation', 'smallint', '0', 4, 'note', 'clob', '0') AS (col_sequence, base_name, col_datatype, col_length)""")
-    return rows.withColumns({"tbl_name": F.lit("customer"), "col_nullable": F.lit(1)})
+# source types under which the dictionary lists the columns of a table
+_SOURCE_TYPES = {"bigint": "bigint", "int": "integer", "double": "float8", "string": "varchar2"}
 
 
-@query("conform", plain("""SELECT CAST(c_custkey AS BIGINT) AS id, c_name AS name, CAST(c_nationkey AS SMALLINT) AS nation, CAST(NULL AS VARCHAR) AS note FROM {customer}"""))
+def _dictionary_of(spark, df, name):
+    """The dictionary of a table, from its schema, with one column it has no data for."""
+    fields = [(f.name, _SOURCE_TYPES[f.dataType.simpleString()]) for f in df.schema.fields] + [("note", "clob")]
+    rows = [(name, i, c, c, 0, t, "0", 1) for i, (c, t) in enumerate(fields)]
+    return spark.createDataFrame(
+        rows, "tbl_name string, col_sequence int, col_name string, base_name string, col_key int, "
+        "col_datatype string, col_length string, col_nullable int")
+
+
+_CONFORMED = plain("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(NULL AS VARCHAR) AS note FROM {customer}")
+
+
+@query("conform", _CONFORMED)
 def conform(spark, sf):
-    """Schema from a dictionary, rows cast to it."""
-    schema = types.struct_type(types.map_types(_customer_dictionary(spark, sf)), "customer")
-    text = table(spark, sf, "customer").selectExpr(
-        "CAST(c_custkey AS STRING) AS id", "c_name AS name", "CAST(c_nationkey AS STRING) AS nation")
-    return types.conform(text, schema)
+    """Text rows cast to the schema that a dictionary gives."""
+    df = table(spark, sf, "customer")
+    schema = types.struct_type(types.map_types(_dictionary_of(spark, df, "customer")), "customer")
+    return types.conform(to_text(df), schema)
 
 
-@query("create_target", plain("SELECT c_custkey AS id, c_name AS name FROM {customer}"))
+@query("create_target", _CONFORMED)
 def create_target_query(spark, sf):
     """Create from a dictionary, then load: an empty version, then the rows."""
-    rows = table(spark, sf, "customer").selectExpr("c_custkey AS id", "c_name AS name")
+    df = table(spark, sf, "customer")
     target = SnapshotTable(spark, scratch(spark, "create"))
-    schema = create_target(target, types.map_types(_customer_dictionary(spark, sf)), "customer")
-    target.commit(types.conform(rows, schema), "load")
-    return target.read().select("id", "name")
+    schema = create_target(target, types.map_types(_dictionary_of(spark, df, "customer")), "customer")
+    target.commit(types.conform(to_text(df), schema), "load")
+    return target.read()
 
 
 _WIDER = f"SELECT {COLS}, op_type, is_deleted, o_orderstatus AS channel FROM ({CHANGES}) c"
@@ -254,7 +263,7 @@ def sliced_refresh(spark, sf):
     """Three slices, one of them written twice."""
     df = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     target = SnapshotTable(spark, scratch(spark, "slices"))
-    target.commit(df.limit(0), "create")
+    target.commit(empty_like(df), "create")
     for n, s in ((0, "F"), (1, "O"), (1, "O"), (2, "P")):
         target.write_slice(df.filter(F.col("o_orderstatus") == s), n, 3)
     return target.read()

@@ -100,11 +100,22 @@ def missing(rows: DataFrame, t: DataFrame, keys: list[str], null_safe: bool = Tr
     """
     known = rows
     if not null_safe:
-        known = rows.filter(reduce(lambda a, b: a & b, [col(k).isNotNull() for k in keys]))
+        known = known.filter(reduce(lambda a, b: a & b, [col(k).isNotNull() for k in keys]))
     hit = matching(t.select(*[col(k) for k in keys]), known, keys, True).distinct()
     return without(rows, hit, keys, null_safe)
 
 
+def keys_in(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct keys. Combined before the shuffle, and far cheaper than reducing whole
+    rows to one per key only to look at the keys."""
+    return rows.select(*[col(k) for k in keys]).distinct()
+
+
+def replace(t: DataFrame, changed: DataFrame, live: DataFrame, keys: list[str], null_safe: bool = True) -> DataFrame:
+    """``t`` without the keys of ``changed``, plus ``live``."""
+    return append(without(t, changed, keys, null_safe), live)
+
+
 def spread(rows: DataFrame) -> DataFrame:
     """Cut the tie between the partitioning of aggregated ``rows`` and a following join.
 

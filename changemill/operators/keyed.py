@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changemill.functions.columns import col, join_keys, order_value
 from changemill.operators.changes import latest
-from changemill.operators.joins import append, missing, update_from, without
+from changemill.operators.joins import append, keys_in, missing, replace, update_from
 from changemill.spec import FLAG_COL
 
 
@@ -39,7 +39,7 @@ def upsert_lww(
     live = last
     if flag_col is not None:
         live = last.filter(~F.coalesce(col(flag_col).cast("int") == 1, F.lit(False)))
-    return append(without(t, last, keys, null_safe), live)
+    return replace(t, keys_in(b, keys), live, keys, null_safe)
 
 
 def upsert_partial(
@@ -95,5 +95,5 @@ def to_pairs(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
 
 def kv_upsert(t: DataFrame, b: DataFrame, table: str, keys: list[str], order: list[str]) -> DataFrame:
     """Upsert ``(key, value)`` pairs; the last row of a key wins."""
-    pairs = to_pairs(latest(b, keys, order), table, keys)
-    return append(without(t, pairs, ["key"]), pairs)
+    changed = to_pairs(b, table, keys).select("key").distinct()
+    return replace(t, changed, to_pairs(latest(b, keys, order), table, keys), ["key"])

@@ -21,9 +21,11 @@ from changemill.operators.joins import (
     fail_if,
     key_side,
     key_test,
+    keys_in,
     matching,
     missing,
     one_row_per_key,
+    replace,
     spread,
     update_from,
     without,
@@ -268,7 +270,28 @@ def apply_files_in_order(
     ``file_order`` orders the rows, for example ``[file_seq, row_seq]``. The last row of a
     key decides, so one merge does what a merge per file would do.
     """
-    return merge_plain(t, latest(row_changes(b, op_col), keys, file_order), keys, op_col)
+    return merge_log(t, row_changes(b, op_col), latest(row_changes(b, op_col), keys, file_order), keys, op_col, null_safe=False)
+
+
+def merge_log(
+    t: DataFrame,
+    log: DataFrame,
+    net: DataFrame,
+    keys: list[str],
+    op_col: str = OP_COL,
+    null_safe: bool = True,
+    unique_keys: bool = True,
+) -> DataFrame:
+    """``merge_hard`` with ``net``, the one row per key that ``log`` comes to.
+
+    The keys to replace are taken from the log itself, so the costly reduction to ``net``
+    is computed once.
+    """
+    if not _replaces(t, net, unique_keys):
+        return merge_hard(t, net, keys, op_col, null_safe, unique_keys)
+    images = row_changes(log, op_col).filter(~col(op_col).eqNullSafe(F.lit(Op.BEFORE)))
+    live = row_changes(net, op_col).filter(col(op_col) != Op.DELETE)
+    return replace(t, keys_in(images, keys), live, keys, null_safe)
 
 
 def insert_strict(t: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

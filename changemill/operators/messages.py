@@ -116,24 +116,31 @@ def files_to_messages(files: DataFrame, text_col: str = "content") -> DataFrame:
     return files.withColumn("value", col(text_col)).filter(F.length("value") > 0)
 
 
+def file_sizes(df: DataFrame, file_cols: list[str], value_col: str = "value") -> DataFrame:
+    """Bytes that each file's rows take as one JSON array: ``file_cols`` and ``n_bytes``."""
+    total = F.sum(message_size(value_col) + 1) + 1
+    return df.groupBy(*[col(c) for c in file_cols]).agg(total.alias("n_bytes"))
+
+
 def rows_to_file_messages(
     df: DataFrame,
     file_cols: list[str],
     order: list[str],
     value_col: str = "value",
-    max_bytes: int = MESSAGE_LIMIT,
+    max_bytes: int | None = MESSAGE_LIMIT,
 ) -> DataFrame:
     """Reshaped rows back to one JSON array per file, in order.
 
     A file is one message, so its rows have to fit the message limit. That is tested on
     the sums of their lengths before any row is collected; a larger file fails the job.
+    ``max_bytes=None`` is for callers that have made this test.
     """
-    total = F.sum(message_size(value_col) + 1) + 1
-    large = df.groupBy(*[col(c) for c in file_cols]).agg(total.alias("n")).filter(F.col("n") > max_bytes)
+    if max_bytes is not None:
+        large = file_sizes(df, file_cols, value_col).filter(F.col("n_bytes") > max_bytes)
+        df = fail_if(df, large, f"a file exceeds {max_bytes} bytes as one message")
     item = F.struct(F.struct(*[col(c) for c in order]).alias("o"), col(value_col).alias("v"))
     rows = F.transform(F.array_sort(F.collect_list(item)), lambda x: x["v"])
-    checked = fail_if(df, large, f"a file exceeds {max_bytes} bytes as one message")
-    return checked.groupBy(*[col(c) for c in file_cols]).agg(
+    return df.groupBy(*[col(c) for c in file_cols]).agg(
         F.concat(F.lit("["), F.array_join(rows, ","), F.lit("]")).alias(value_col)
     )
 

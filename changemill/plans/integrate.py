@@ -44,26 +44,28 @@ def integrate(t: DataFrame, b: DataFrame, spec: ApplySpec) -> DataFrame:
     if spec.style == "history":
         return merge.merge_history(t, b, spec.merge_keys, spec.null_safe) if spec.merge_history else append_history(t, b)
 
-    keys, op = spec.merge_keys, spec.op_col
-    if not spec.keyless:
-        b = coalesced(b, spec)
+    keys, op, log = spec.merge_keys, spec.op_col, b
+    # control rows are taken from the log as it is: a filter that reaches the scan. Those
+    # older than a truncate marker meet an empty target and do nothing
     if op in b.columns:
-        t = partial.apply_truncate(t, b, spec.truncate, op)
+        t = partial.apply_truncate(t, log, spec.truncate, op)
     if spec.unused_keys:
+        unused = list(spec.unused_keys)
         if spec.style == "replicate":
-            t = partial.multi_delete_hard(t, b, keys, list(spec.unused_keys), op)
+            t = partial.multi_delete_hard(t, log, keys, unused, op)
         else:
-            t = partial.multi_delete_soft(t, b, keys, list(spec.unused_keys), op, spec.flag_col)
+            t = partial.multi_delete_soft(t, log, keys, unused, op, spec.flag_col)
 
+    if spec.keyless:
+        return merge.merge_soft_nokey(t, log, keys, op, spec.null_safe)
+    net = coalesced(log, spec)
     if spec.style == "soft_delete":
-        if spec.keyless:
-            return merge.merge_soft_nokey(t, b, keys, op, spec.null_safe)
-        return merge.merge_soft(t, b, keys, op, spec.flag_col, spec.null_safe, spec.unique_keys)
+        return merge.merge_soft(t, net, keys, op, spec.flag_col, spec.null_safe, spec.unique_keys)
     if spec.split_inserts:
-        return merge.merge_then_insert(t, b, keys, op, spec.null_safe)
+        return merge.merge_then_insert(t, net, keys, op, spec.null_safe)
     if spec.order:
-        return merge.merge_hard(t, b, keys, op, spec.null_safe, spec.unique_keys)
-    return merge.merge_key_change(t, b, keys, op, spec.null_safe, spec.unique_keys)
+        return merge.merge_log(t, log, net, keys, op, spec.null_safe, spec.unique_keys)
+    return merge.merge_key_change(t, net, keys, op, spec.null_safe, spec.unique_keys)
 
 
 def changes_of(b: DataFrame, spec: ApplySpec, *ops: int) -> DataFrame:

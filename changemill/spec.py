@@ -64,6 +64,8 @@ class ApplySpec:
     def __post_init__(self):
         if self.new_columns not in ("fail", "add", "ignore"):
             raise ValueError("new_columns must be 'fail', 'add' or 'ignore'")
+        if self.keyless and self.style != "soft_delete":
+            raise ValueError("keyless tables need the soft_delete style")
         if self.style not in STYLES:
             raise ValueError(f"style must be one of {STYLES}, not {self.style!r}")
 

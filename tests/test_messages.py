@@ -2,12 +2,14 @@
 
 import json
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from changemill.operators import images, messages, packing
 from changemill.operators.ordering import with_position
+from changemill.plans.publish import PublishSpec, publish_plan
 
 S = "f string, pos long, op_type int, a int, b string"
 
@@ -154,6 +156,37 @@ def test_rows_back_to_file_messages(spark, rows):
         messages.rows_to_file_messages(df, ["f"], ["pos"], max_bytes=len(want) - 1).collect()
 
 
+def test_publish_plan_end_to_end(spark):
+    rnd = random.Random(11)
+    files = {(f"f{i:02}", i, rnd.randrange(5)): random_file(rnd, rnd.randrange(1, 9)) for i in range(30)}
+    data = [(f, s, f"{tx:x}", p, r["op_type"], r["a"], r["b"], 0) for (f, s, tx), rs in files.items() for p, r in enumerate(rs)]
+    df = spark.createDataFrame(data, "f string, seq int, tx string, pos long, op_type int, a int, b string, eot int")
+    spec = PublishSpec(columns=("op_type", "a", "b", "eot"), file_cols=("f",), file_order=("seq",), discard=True,
+                       tx_col="tx", partitions=2, end_col="eot", max_bytes=400)
+    got = {}
+    for r in publish_plan(df, spec).collect():
+        got.setdefault(r["partition_id"], []).append((r["seq"], r["value"], r["batch_no"]))
+    for part in (0, 1):
+        mine = [(s, tx, rs) for (f, s, tx), rs in files.items() if tx % 2 == part]
+        want = []
+        for s, tx, rs in mine:
+            end = s == max(x for x, t, _ in mine if t == tx)
+            out = model(rs, "c", True, ["eot"], "eot", end)
+            if out:
+                want.append((s, out))
+        have = sorted(got[part])
+        assert [(s, json.loads(v)) for s, v, _ in have] == want
+        assert [b for *_, b in have] == greedy([len(v.encode()) for _, v, _ in have], 400)
+    with pytest.raises(Exception, match="exceeds"):
+        publish_plan(df, replace(spec, max_bytes=50))
+
+
+def test_publish_plan_without_collapse(spark, rows):
+    df = spark.createDataFrame([("f", 0, 1, "x"), ("f", 1, 4, None)], "f string, pos int, op_type int, b string")
+    spec = PublishSpec(columns=("op_type", "b"), file_cols=("f",), file_order=("f",), collapse=None)
+    assert rows(publish_plan(df, spec), "value", "batch_no") == [('[{"op_type":1,"b":"x"},{"op_type":4,"b":null}]', 0)]
+
+
 def greedy(sizes, limit):
     out, used, batch = [], 0, 0
     for i, s in enumerate(sizes):
