@@ -68,7 +68,7 @@ class BucketedTable(SnapshotTable):
         b = b.repartition(self.buckets, *[col(k) for k in self.keys])
         return super().commit(fn(self.read(), b), tag)
 
-    def append(self, df: DataFrame, tag: str = "append") -> int:
+    def append(self, df: DataFrame, tag: str = "append", new_columns: str = "fail") -> int:
         raise NotImplementedError("a bucketed table has no appends; merge into it")
 
     def write_slice(self, df: DataFrame, slice_no: int, total: int, tag: str = "slices") -> bool:

@@ -162,15 +162,21 @@ class SnapshotTable:
         parts = self._write(df, f"_v={version}")
         return self._commit(version, tag, df.schema, parts)
 
-    def append(self, df: DataFrame, tag: str = "append") -> int:
-        """Add rows without rewriting any: the new files join the old ones."""
+    def append(self, df: DataFrame, tag: str = "append", new_columns: str = "fail") -> int:
+        """Add rows without rewriting any: the new files join the old ones.
+
+        Columns the table lacks fail, are added (rows already there read as NULL) or are
+        left out.
+        """
         state = self._state()
         if state is None:
             return self.commit(df, tag)
         schema = T.StructType.fromJson(state["schema"])
-        lost = [c for c in df.columns if c not in schema.fieldNames() and c not in (OP_COL, FLAG_COL)]
-        if lost:
-            raise ValueError(f"columns not in the target: {lost}")
+        fresh = [c for c in df.columns if c not in schema.fieldNames() and c not in (OP_COL, FLAG_COL)]
+        if fresh and new_columns == "fail":
+            raise ValueError(f"columns not in the target: {fresh}")
+        if fresh and new_columns == "add":
+            schema = T.StructType([*schema.fields, *[df.schema[c] for c in fresh]])
         version = self.version() + 1
         rows = align(df, self.spark.createDataFrame([], schema))
         self._write(rows, f"_v={version}/_add={version}")

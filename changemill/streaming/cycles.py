@@ -55,7 +55,7 @@ def apply_stream(
         if table.is_committed(tag):
             return
         if spec.style == "history" and not spec.merge_history and apply_fn is integrate:
-            table.append(batch, tag)
+            table.append(batch, tag, spec.new_columns)
             return
         fn = lambda t, b: apply_fn(t, b, spec)
         (table.apply_touched if touched_only else table.apply)(fn, batch, tag)

@@ -37,6 +37,15 @@ def test_versions_stay_readable(spark, tmp_path, rows):
     assert rows(t.read()) == [(1, "b"), (3, "z")]
 
 
+def test_append_may_add_columns(spark, tmp_path, rows):
+    t = SnapshotTable(spark, str(tmp_path / "t"))
+    t.commit(spark.createDataFrame([(1, "a")], "k int, v string"))
+    wide = spark.createDataFrame([(2, "b", 7)], "k int, v string, n int")
+    t.append(wide, new_columns="ignore")
+    t.append(wide, new_columns="add")
+    assert rows(t.read()) == [(1, "a", None), (2, "b", 7), (2, "b", None)] and t.read(2).columns == ["k", "v"]
+
+
 def test_uncommitted_write_is_invisible(spark, tmp_path, rows):
     t = SnapshotTable(spark, str(tmp_path / "t"))
     t.commit(spark.createDataFrame([(1, "a")], "k int, v string"))
@@ -211,6 +220,17 @@ def test_stream_with_own_apply_function_and_partitions(spark, tmp_path, rows):
     assert rows(target.read()) == [(1, "A"), (2, "b")]
 
 
+def test_history_stream_takes_new_columns(spark, tmp_path, rows):
+    folder = str(tmp_path / "in")
+    target = SnapshotTable(spark, str(tmp_path / "t"))
+    target.commit(spark.createDataFrame([(1, "a")], "k int, v string"))
+    spark.createDataFrame([(2, "b", 7)], "k int, v string, n int").write.parquet(folder)
+    src = cycles.staged_stream(spark, folder, "k int, v string, n int")
+    spec = ApplySpec(keys=("k",), style="history", new_columns="add")
+    cycles.apply_stream(src, target, spec, str(tmp_path / "ck")).awaitTermination()
+    assert rows(target.read()) == [(1, "a", None), (2, "b", 7)]
+
+
 def test_spec_is_checked():
     with pytest.raises(ValueError, match="style"):
         ApplySpec(keys=("k",), style="other")
