@@ -16,10 +16,12 @@ survive a destination with a third of all messages. Instead:
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,9 @@ from changemill.functions.columns import col
 from changemill.operators.messages import MESSAGE_LIMIT, message_size
 from changemill.operators.ordering import CHUNK_BITS, ROW, checkpoint, sorted_chunks
 
+# the functions below travel to the workers as they are: these need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _DEST, _SIZE = "__mill_dest", "__mill_size"
 
 _MAP = (

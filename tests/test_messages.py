@@ -234,3 +234,23 @@ def test_packing_small_arrow_batches(spark):
     finally:
         spark.conf.set(key, old)
     assert got == greedy([i % 13 for i in range(500)], 20)
+
+
+def test_workers_do_not_need_the_package():
+    """Run from a folder and with a path on which workers cannot import the package."""
+    import os
+    import subprocess
+    import sys
+    import tempfile
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from changemill.operators.packing import pack_batches
+s = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+print("BATCHES", [r.batch_no for r in pack_batches(s.range(4), ["id"], max_bytes=2, size_col="id").orderBy("id").collect()])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(), env=env, capture_output=True, text=True, timeout=300)
+    assert "BATCHES [0, 0, 1, 2]" in out.stdout, out.stderr[-2000:]
