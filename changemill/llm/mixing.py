@@ -59,6 +59,11 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), percent
     return s.withColumn("rest", F.col("target") - F.col("copies") * F.col("source_size")).select("source", "source_size", "target", "copies", "rest")
 
 
+def small(by_source: DataFrame, most: int = 20_000) -> DataFrame:
+    """A table with a row per source, broadcast if its checked size allows; else joins shuffle."""
+    return F.broadcast(by_source) if by_source.count() <= most else by_source
+
+
 def cuts(rows: DataFrame, targets: DataFrame) -> DataFrame:
     """Per source the last rank that gets an extra copy (``cut``) and one more (``closing``).
 
@@ -72,7 +77,7 @@ def cuts(rows: DataFrame, targets: DataFrame) -> DataFrame:
     crossed = crossed.select(F.col("source").alias("s"), "c.b", "c.start", "c.rest")
     by_rank = rows.groupBy("source", "x").agg(F.sum("size").alias("words"))
     # only rows of the crossing bucket are sorted: one in 2 ** BUCKET_BITS of a source
-    near = by_rank.join(crossed, F.col("source").eqNullSafe(F.col("s")) & (F.shiftright("x", 52 - BUCKET_BITS) == F.col("b")))
+    near = by_rank.join(small(settled(crossed, "crossed")), F.col("source").eqNullSafe(F.col("s")) & (F.shiftright("x", 52 - BUCKET_BITS) == F.col("b")))
     run = F.col("start") + F.sum("words").over(Window.partitionBy("source").orderBy("x"))
     cut = near.withColumn("run", run).groupBy("source").agg(
         F.max(F.when(F.col("run") <= F.col("rest"), F.col("x"))).alias("x_in"),
@@ -83,7 +88,8 @@ def cuts(rows: DataFrame, targets: DataFrame) -> DataFrame:
         F.coalesce("x_in", F.shiftleft("b", 52 - BUCKET_BITS) - 1).alias("cut"),
         (F.col("rest") - F.coalesce("run_in", "start")).alias("gap"),
     )
-    after = by_rank.join(cut, F.col("source").eqNullSafe(F.col("s"))).where((F.col("x") > F.col("cut")) & (F.col("words") > 0))
+    cut = settled(cut, "cuts")
+    after = by_rank.join(small(cut), F.col("source").eqNullSafe(F.col("s"))).where((F.col("x") > F.col("cut")) & (F.col("words") > 0))
     off = F.abs(F.col("gap") - F.col("words"))
     closing = after.where(off < F.col("gap")).groupBy("source").agg(F.min(F.struct(off.alias("off"), "x"))["x"].alias("closing"))
     out = cut.join(closing, F.col("s").eqNullSafe(F.col("source")), "left")
@@ -99,7 +105,8 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     )
     targets = settled(source_targets(rows, weights, percent, most), "targets")
     c = cuts(rows, targets).select(F.col("source").alias("s"), "cut", "closing")
-    return rows, targets.join(c, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "s")
+    decisions = targets.join(c, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "s")
+    return rows, small(settled(decisions, "decisions"))
 
 
 def copies_of(x="x"):

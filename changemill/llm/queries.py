@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changemill.llm import exact_dedup, mixing
-from changemill.llm.common import LOWER, UPPER, table
+from changemill.llm import curve_packing, exact_dedup, jaccard_join, mixing, quality_zstd, repetition, toxicity
+from changemill.llm.common import LOWER, UPPER, WORD, table
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +45,44 @@ def op1_exact_dedup(spark, sf_dir):
 @query("op2_mixing", mixing.mix_sql())
 def op2_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+
+
+LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+
+NEAR_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{WORD}') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s FROM d),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM e a JOIN e b ON a.g = b.g AND 4 * least(a.n, b.n) >= 3 * greatest(a.n, b.n)
+      GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+r(doc_id, c) AS (SELECT a, b FROM p UNION SELECT r.doc_id, p.b FROM r JOIN p ON r.c = p.a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(min(r.c), s.doc_id)) AS component_id
+FROM s LEFT JOIN r ON s.doc_id = r.doc_id GROUP BY s.doc_id, len(s.s)"""
+
+
+@query("op5_quality_zstd")
+def op5_quality_zstd(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality_zstd.score(docs, quality_zstd.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op6_jaccard_join", NEAR_SQL)
+def op6_jaccard_join(spark, sf_dir):
+    return jaccard_join.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op8_curve_packing")
+def op8_curve_packing(spark, sf_dir):
+    return curve_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op9_repetition")
+def op9_repetition(spark, sf_dir):
+    return repetition.repetition(table(spark, sf_dir, "documents"))
