@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import uuid
 
@@ -50,6 +51,22 @@ def settled(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate rows that nothing will read any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that are no longer referenced.
+
+    Its cleaner waits for the driver's garbage collection, which a driver with little to do
+    may put off for half an hour.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changemill.llm import curve_packing, exact_dedup, jaccard_join, mixing, quality_zstd, repetition, toxicity
+from changemill.llm import curve_packing, exact_dedup, jaccard_join, mixing, quality_zstd, recompression, repetition, toxicity
 from changemill.llm.common import LOWER, UPPER, WORD, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -86,3 +86,20 @@ def op8_curve_packing(spark, sf_dir):
 @query("op9_repetition")
 def op9_repetition(spark, sf_dir):
     return repetition.repetition(table(spark, sf_dir, "documents"))
+
+
+WINDOW_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+v AS (SELECT r, unnest(range(1, len(w) - 33)) AS i, w FROM d WHERE len(w) >= 35),
+k AS (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS g FROM v),
+b AS (SELECT r, i FROM k WHERE g IN (SELECT g FROM k GROUP BY g HAVING count(*) > 1)),
+c AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS j FROM b),
+l AS (SELECT r, list(j) AS js FROM c GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(js), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string([w[j] FOR j IN range(1, len(w) + 1) IF js IS NULL OR NOT list_contains(js, j)], ' ')) AS kept_sha256
+FROM d LEFT JOIN l USING (r)"""
+
+
+@query("op3_recompression", WINDOW_SQL)
+def op3_recompression(spark, sf_dir):
+    return recompression.drop_repeats(table(spark, sf_dir, "documents"))
