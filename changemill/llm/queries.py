@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changemill.llm import curve_packing, exact_dedup, jaccard_join, mixing, quality_zstd, recompression, repetition, toxicity
+from changemill.llm import curve_packing, exact_dedup, jaccard_join, license_scan, mixing, quality_zstd, recompression, repetition, toxicity
 from changemill.llm.common import LOWER, UPPER, WORD, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -103,3 +103,8 @@ FROM d LEFT JOIN l USING (r)"""
 @query("op3_recompression", WINDOW_SQL)
 def op3_recompression(spark, sf_dir):
     return recompression.drop_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op10_license_scan", license_scan.scan_sql())
+def op10_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
