@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changemill.llm import curve_packing, exact_dedup, jaccard_join, license_scan, mixing, quality_zstd, recompression, repetition, toxicity
+from changemill.llm import curve_packing, exact_dedup, gru_lm, jaccard_join, license_scan, mixing, quality_zstd, recompression, repetition, toxicity
 from changemill.llm.common import LOWER, UPPER, WORD, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -108,3 +108,9 @@ def op3_recompression(spark, sf_dir):
 @query("op10_license_scan", license_scan.scan_sql())
 def op10_license_scan(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op4_gru_lm")
+def op4_gru_lm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return gru_lm.score(docs, *gru_lm.train(docs))
