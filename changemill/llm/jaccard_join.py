@@ -39,6 +39,7 @@ MARKED = 16         # above: one segment in so many is
 SLACK = 1.2         # segments over those that must be probed
 FEW = 24            # sets of one signature whose pairs are all listed at once
 FLUSH = 2_500_000   # signatures a task gathers before it packs them
+SKETCH = 32         # 64-bit words of a parity sketch
 CHUNKS = 1024       # parts into which a hub's partners are dealt when they are verified
 
 
@@ -57,6 +58,18 @@ def set_key(s: np.ndarray) -> int:
     return int(np.uint64(xxh3_64_intdigest(s.tobytes())).astype(np.int64))
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of the set's elements in 64 * SKETCH bins."""
+    bins = (mix64(s + np.uint64(3)) % np.uint64(64 * SKETCH)).astype(np.int64)
+    return np.packbits((np.bincount(bins, minlength=64 * SKETCH) & 1).astype(np.uint8)).view(np.int64)
+
+
+def near_enough(a: str, b: str, size_a: str, size_b: str):
+    """Do the sketches in columns <a>0 …, <b>0 … leave at most (|r| + |s|) / 7 differences?"""
+    differ = sum((F.bit_count(F.col(f"{a}{k}").bitwiseXOR(F.col(f"{b}{k}"))) for k in range(SKETCH)), F.lit(0))
+    return 7 * differ <= F.col(size_a) + F.col(size_b)
+
+
 def segments_of(band: np.ndarray) -> np.ndarray:
     """Number of segments of a size band."""
     most = (2 ** (band + 1) - 1) // 3 + 1
@@ -309,16 +322,21 @@ def _match():
     return run
 
 
+_SETS = "doc_id long,text_key long,set_key long,n_shingles long," + ",".join(f"s{k} long" for k in range(SKETCH))
+
+
 def _sets():
-    """Texts → set keys and sizes; other columns go along."""
-    schema = arrow_schema("doc_id long,text_key long,set_key long,n_shingles long")
+    """Texts → set keys, sizes and sketches; other columns go along."""
+    schema = arrow_schema(_SETS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             sets = [shingle_set(t.as_py(), hashes) for t in batch.column(2)]
             keys = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys, pa.array([len(s) for s in sets], pa.int64())], schema=schema)
+            marks = np.array([sketch(s) for s in sets], np.int64).reshape(-1, SKETCH)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys, pa.array([len(s) for s in sets], pa.int64()),
+                                              *[pa.array(np.ascontiguousarray(marks[:, k])) for k in range(SKETCH)]], schema=schema)
 
     return run
 
@@ -366,13 +384,20 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, text_col: str)
     return rows.mapInArrow(_verify(), "a long, b long")
 
 
+def marked(marks: DataFrame, prefix: str) -> DataFrame:
+    """The sketches with ``prefix`` before key (k), size (n) and words (0 …)."""
+    return marks.select(F.col("k").alias(f"{prefix}k"), F.col("n").alias(f"{prefix}n"), *[F.col(f"s{i}").alias(f"{prefix}{i}") for i in range(SKETCH)])
+
+
 def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(sets, roots): doc_id, text_key, set_key, n_shingles of every document; node → root of linked set keys."""
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = text_of(text_col).cast("binary").alias("text")
     sets = settled(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("text_key"), text).mapInArrow(
-        _sets(), "doc_id long, text_key long, set_key long, n_shingles long"), "sets")
+        _sets(), _SETS), "sets")
+    named = sets.where("set_key IS NOT NULL").dropDuplicates(["set_key"])
+    marks = settled(named.select(F.col("set_key").alias("k"), F.col("n_shingles").alias("n"), *[f"s{i}" for i in range(SKETCH)]), "sketches")
     packed = docs.select(text).mapInArrow(_signatures(2 * n), _PACKED)
     found = settled(packed.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_match(), _FOUND), "found")
     pairs = found.where(F.col("kind") == PAIRS).select("a", "b").distinct()
@@ -381,17 +406,20 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
         F.sequence(F.ceil(F.col("size") * 0.75).cast("long"), F.floor(F.col("size") / 0.75).cast("long"))).alias("n"))
     by_size = sets.where("set_key IS NOT NULL").select("set_key", F.col("n_shingles").alias("n")).distinct()
     more = by_size.join(short.distinct(), "n").where("s <> set_key").select(F.least("s", "set_key").alias("a"), F.greatest("s", "set_key").alias("b"))
-    pairs = settled(pairs.union(more).distinct(), "pairs")
+    pairs = pairs.union(more).distinct().join(marked(marks, "x"), F.col("a") == F.col("xk")).join(marked(marks, "y"), F.col("b") == F.col("yk"))
+    pairs = settled(pairs.where(near_enough("x", "y", "xn", "yn")).select("a", "b"), "pairs")
     links = settled(verified(pairs, docs, sets, text_col), "verified")
     roots = components(links)
     # signatures with many sets: pairs of sets that are still in different components
     kept = found.where(F.col("kind") == KEPT).select(F.col("a").alias("sig"), F.col("b").alias("key"), "size", "flag").distinct()
     kept = kept.join(roots, F.col("key") == F.col("node"), "left").select("sig", "key", "size", "flag", F.coalesce("root", "key").alias("root"))
     apart = kept.groupBy("sig").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.max("flag").alias("f")).where("r1 <> r2 AND f >= 2").select(F.col("sig").alias("open"))
-    kept = settled(kept.join(apart, F.col("sig") == F.col("open"), "left_semi"), "apart")
-    probe = kept.where("flag >= 2").select(F.col("sig").alias("p_sig"), F.col("key").alias("p_key"), F.col("size").alias("p_size"), F.col("root").alias("p_root"))
+    kept = kept.join(apart, F.col("sig") == F.col("open"), "left_semi")
+    kept = settled(kept.join(marked(marks, "x"), F.col("key") == F.col("xk")).drop("xk", "xn"), "apart")
+    probe = kept.where("flag >= 2").select(F.col("sig").alias("p_sig"), F.col("key").alias("p_key"), F.col("size").alias("p_size"), F.col("root").alias("p_root"),
+                                           *[F.col(f"x{i}").alias(f"y{i}") for i in range(SKETCH)])
     cross = kept.where("flag IN (1, 3)").join(probe, (F.col("sig") == F.col("p_sig")) & (F.col("root") != F.col("p_root")) & (
-        4 * F.least("size", "p_size") >= 3 * F.greatest("size", "p_size")))
+        4 * F.least("size", "p_size") >= 3 * F.greatest("size", "p_size")) & near_enough("x", "y", "size", "p_size"))
     cross = cross.select(F.least("key", "p_key").alias("a"), F.greatest("key", "p_key").alias("b")).distinct()
     cross = settled(cross.join(pairs, ["a", "b"], "left_anti"), "cross")
     if not cross.isEmpty():
