@@ -509,10 +509,16 @@ def refresh_append(spark, sf):
     return refresh.refresh_append(t, b)
 
 
-@query("refresh_upsert", TB + f"SELECT {COLS} FROM t WHERE {_anti('t', 'b')} UNION ALL SELECT {COLS} FROM b")
+_LOAD = f"""SELECT o_orderkey, o_custkey, CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE o_orderstatus END AS o_orderstatus,
+ CASE WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE o_totalprice + 1 END AS o_totalprice, o_orderdate, o_orderpriority FROM ({CHANGES}) x"""
+
+
+@query("refresh_upsert", ctes(t=ORDERS, b=_LOAD) + f"""
+SELECT {COLS} FROM t WHERE {_anti('t', 'b')} UNION ALL
+SELECT b.o_orderkey, coalesce(b.o_custkey, t.o_custkey), coalesce(nullif(b.o_orderstatus, ''), t.o_orderstatus), coalesce(b.o_totalprice, t.o_totalprice),
+       coalesce(b.o_orderdate, t.o_orderdate), coalesce(b.o_orderpriority, t.o_orderpriority) FROM b LEFT JOIN t ON b.o_orderkey = t.o_orderkey""")
 def refresh_upsert(spark, sf):
-    t, b = _tb(spark, sf)
-    return refresh.refresh_upsert(t, b, KEY)
+    return refresh.refresh_upsert(frame(spark, sf, ORDERS), frame(spark, sf, _LOAD), KEY)
 
 
 @query("refresh_recreate", ctes(b=CHANGES) + f"SELECT {COLS}, op_type FROM b")

@@ -21,6 +21,16 @@ def read_csv(spark, sf):
     return files.read_csv(spark, folder, C_SCHEMA, sep=";")
 
 
+@query("read_csv_mixed", plain(CUSTOMER + " UNION ALL " + CUSTOMER))
+def read_csv_mixed(spark, sf):
+    """One folder whose files have their columns in different order."""
+    folder = scratch(spark, "csv")
+    df = frame(spark, sf, CUSTOMER)
+    df.write.option("header", True).csv(folder)
+    df.select(*reversed(df.columns)).write.mode("append").option("header", True).csv(folder)
+    return files.read_csv(spark, folder, C_SCHEMA)
+
+
 @query("read_csv_noheader", plain("SELECT CAST(p_partkey AS VARCHAR) AS k, p_name AS n, CAST(p_size AS VARCHAR) AS s FROM {part}"))
 def read_csv_noheader(spark, sf):
     folder = scratch(spark, "csv")
@@ -76,13 +86,14 @@ def read_json_array(spark, sf):
 @query("read_whole_files", plain("SELECT event_type AS kind, count(*) AS n_lines FROM {events} GROUP BY event_type"))
 def read_whole_files(spark, sf):
     folder = scratch(spark, "text")
-    df = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("value"), "event_type")
-    df.repartition(1).write.partitionBy("event_type").text(folder)
+    df = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("value"), "event_type", F.pmod(F.xxhash64("event_id"), F.lit(16)).alias("part"))
+    df.repartition("event_type", "part").write.partitionBy("event_type", "part").option("maxRecordsPerFile", 100_000).text(folder)
     out = files.read_whole_files(spark, folder)
-    return out.select(
+    lines = out.select(
         F.regexp_extract("file_path", "event_type=([^/]*)/", 1).alias("kind"),
         (F.size(F.split("content", "\n")) - 1).cast("long").alias("n_lines"),
     )
+    return lines.groupBy("kind").agg(F.sum("n_lines").alias("n_lines"))
 
 
 @query("staged_view", plain(CUSTOMER))

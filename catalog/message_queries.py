@@ -268,19 +268,19 @@ def publish_cycle(spark, sf):
     )
 
 
-@query("journal", plain("SELECT lang, doc_id FROM {documents}"))
+@query("journal", plain("SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS sequence FROM {documents}"))
 def journal(spark, sf):
-    """Messages kept by batch, read back."""
+    """Messages kept by batch in the order of sending, read back with their sequence."""
     folder = scratch(spark, "journal")
     docs = table(spark, sf, "documents").select("lang", "doc_id", F.to_json(F.struct("doc_id")).alias("value"))
-    sink_files.journal(docs, folder, "chan", "loc", 7, by=["lang"])
-    kept = spark.read.schema("value string, lang string").json(f"{folder}/chan/loc/cycle=00000007")
-    return kept.select("lang", F.get_json_object("value", "$.doc_id").cast("bigint").alias("doc_id"))
+    sink_files.journal(docs, folder, "chan", "loc", 7, by=["lang"], order=["doc_id"])
+    kept = spark.read.schema("sequence bigint, value string, lang string").json(f"{folder}/chan/loc/cycle=00000007")
+    return kept.select("lang", F.get_json_object("value", "$.doc_id").cast("bigint").alias("doc_id"), "sequence")
 
 
 @query("publish_files", plain("SELECT role, conv_id, turn, text FROM {conversations}"))
 def publish_files(spark, sf):
     folder = scratch(spark, "publish")
     msgs = table(spark, sf, "conversations")
-    sink_files.write_messages(msgs, folder, ["role"], ["conv_id", "turn"], "text")
-    return spark.read.schema("conv_id bigint, turn bigint, text string, role string").json(folder)
+    sink_files.write_messages(msgs, folder, ["role"], ["conv_id", "turn"], batch_id=3)
+    return spark.read.schema("conv_id bigint, turn bigint, text string, role string").json(f"{folder}/cycle=00000003")

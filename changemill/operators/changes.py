@@ -11,7 +11,7 @@ from changemill.spec import CONTROL_OPS, FLAG_COL, OP_COL, Op
 
 _ORD = "__mill_ord"
 
-#: Parts into which the rows under one partial-key delete are spread.
+#: Parts into which the rows under one partial-key delete are spread, unless a caller says otherwise.
 SALTS = 16
 
 
@@ -80,6 +80,7 @@ def coalesce_changes(
     order: list[str],
     op_col: str = OP_COL,
     unused_keys: list[str] = (),
+    salts: int = SALTS,
 ) -> DataFrame:
     """One row per key: the last image of the key with a code for the net effect.
 
@@ -107,9 +108,9 @@ def coalesce_changes(
             control.filter(col(op_col) == Op.PARTIAL_DELETE)
             .groupBy(*[col(k).alias(f"__mill_p{i}") for i, k in enumerate(partial)])
             .agg(F.max(order_value(order)).alias("__mill_cut"))
-            .withColumn("__mill_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            .withColumn("__mill_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         )
-        salt = F.pmod(F.xxhash64(*[col(c) for c in [*keys, *order]]), F.lit(SALTS)).cast("int")
+        salt = F.pmod(F.xxhash64(*[col(c) for c in [*keys, *order]]), F.lit(salts)).cast("int")
         on = [col(k) == F.col(f"__mill_p{i}") for i, k in enumerate(partial)]
         data = data.withColumn("__mill_d", salt).join(
             covers, [*on, F.col("__mill_d") == F.col("__mill_s")], "left"

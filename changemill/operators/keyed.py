@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changemill.functions.columns import col, join_keys, order_value
@@ -75,14 +75,19 @@ def docs_replace(
     return upsert_lww(t, with_id(b, keys, sep, id_col), [id_col], order, flag_col=None)
 
 
-def docs_append(t: DataFrame, b: DataFrame, id_col: str = "_id") -> DataFrame:
+def docs_append(t: DataFrame, b: DataFrame, id_col: str = "_id", order: list[str] | None = None) -> DataFrame:
     """Append documents; one without an id gets a random one, a known id is skipped.
 
-    The generated ids are random, so a re-run gives other ids for the same rows.
+    Of several new documents with one id the first by ``order`` is added; by default the
+    order of all their columns. The generated ids are random, so a re-run gives other ids
+    for the same rows.
     """
     if id_col not in b.columns:
         return append(t, b.withColumn(id_col, F.uuid()))
-    known = missing(b.filter(col(id_col).isNotNull()), t, [id_col]).dropDuplicates([id_col])
+    by = order or [c for c in b.columns if c != id_col]
+    w = Window.partitionBy(col(id_col)).orderBy(*[col(c) for c in by or [id_col]])
+    fresh_ids = missing(b.filter(col(id_col).isNotNull()), t, [id_col])
+    known = fresh_ids.withColumn("__mill_first", F.row_number().over(w)).filter("__mill_first = 1").drop("__mill_first")
     fresh = b.filter(col(id_col).isNull()).withColumn(id_col, F.uuid())
     return append(append(t, known), fresh)
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changemill.functions.columns import col
-from changemill.operators.changes import duplicate_changes, latest, row_changes
+from changemill.operators.changes import latest, row_changes
 from changemill.operators.joins import (
     align,
     append,
@@ -55,6 +55,16 @@ def _upsert(t, live, keys, null_safe, unique_keys):
     return append(kept, missing(live, t, keys, null_safe))
 
 
+def _unambiguous(out: DataFrame, rows: DataFrame, keys: list[str], null_safe: bool, check: bool) -> DataFrame:
+    """``out``, or a failing job if ``rows`` holds a key twice: an aggregate on the change
+    set's keys alone. Without ``null_safe`` a NULL key matches nothing, so it may repeat."""
+    if not check:
+        return out
+    known = rows if null_safe else rows.filter(_known(keys))
+    twice = known.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("n_changes")).filter("n_changes > 1")
+    return fail_if(out, twice, "several change rows for one key")
+
+
 def merge_hard(
     t: DataFrame,
     b: DataFrame,
@@ -62,13 +72,13 @@ def merge_hard(
     op_col: str = OP_COL,
     null_safe: bool = True,
     unique_keys: bool = True,
-    check: bool = False,
+    check: bool = True,
 ) -> DataFrame:
     """Matched deletes remove the row, other matches set all columns, unmatched rows that
     are no deletes are inserted and unmatched deletes are ignored.
 
-    ``unique_keys=False`` updates every duplicate of a target key. ``check=True`` fails the
-    job if the change set holds a key twice.
+    ``unique_keys=False`` updates every duplicate of a target key. A change set that holds a
+    key twice fails the job; ``check=False`` is for one that can't.
     """
     rows = row_changes(b, op_col).filter(col(op_col).isNotNull())
     live = rows.filter(col(op_col) != Op.DELETE)
@@ -77,9 +87,7 @@ def merge_hard(
     else:
         kept = update_from(t, rows, keys, _shared(t, b), null_safe, drop=col(op_col) == Op.DELETE)
         out = append(kept, missing(live, t, keys, null_safe))
-    if check:
-        out = fail_if(out, duplicate_changes(b, keys, op_col), "several change rows for one key")
-    return out
+    return _unambiguous(out, rows, keys, null_safe, check)
 
 
 def merge_key_change(
@@ -145,15 +153,16 @@ def _first_op(rows: DataFrame, keys: list[str], op_col: str) -> DataFrame:
 
 
 def merge_then_insert(
-    t: DataFrame, b: DataFrame, keys: list[str], op_col: str = OP_COL, null_safe: bool = True
+    t: DataFrame, b: DataFrame, keys: list[str], op_col: str = OP_COL, null_safe: bool = True, check: bool = True
 ) -> DataFrame:
     """Merge deletes and updates, then append every insert without a look-up.
 
-    Unmatched updates are dropped. Not repeatable: applying a set twice inserts twice.
+    Unmatched updates are dropped. Not repeatable: applying a set twice inserts twice. Two
+    deletes or updates of one key fail the job (``check``).
     """
     rows = row_changes(b, op_col).filter(col(op_col) != Op.INSERT)
     kept = update_from(t, rows, keys, _shared(t, b), null_safe, drop=col(op_col) == Op.DELETE)
-    return append(kept, b.filter(col(op_col) == Op.INSERT))
+    return _unambiguous(append(kept, b.filter(col(op_col) == Op.INSERT)), rows, keys, null_safe, check)
 
 
 def merge_soft(
@@ -164,22 +173,26 @@ def merge_soft(
     flag_col: str = FLAG_COL,
     null_safe: bool = True,
     unique_keys: bool = True,
+    check: bool = True,
 ) -> DataFrame:
     """Soft delete in two passes: flagged rows update their match, then live rows upsert.
 
-    A key that is deleted and inserted again in one set ends alive.
+    A key that is deleted and inserted again in one set ends alive. Two flagged or two live
+    rows of one key fail the job (``check``).
     """
     rows = row_changes(b, op_col)
     cols = _shared(t, b)
     dead = rows.filter(col(flag_col) == 1)
     live = rows.filter(col(flag_col) == 0)
     if _replaces(t, b, unique_keys):
-        return append(without(update_from(t, dead, keys, cols, null_safe), live, keys, null_safe), live)
+        out = append(without(update_from(t, dead, keys, cols, null_safe), live, keys, null_safe), live)
+        return _unambiguous(out, rows.filter(col(flag_col).isin(0, 1)), [*keys, flag_col], null_safe, check)
     # one join with the target, so that a key it repeats often can be split: the live row
     # of a key hides its flagged one
     last = latest(dead.unionByName(live).withColumn("__mill_low", -col(flag_col)), keys, ["__mill_low"])
     kept = update_from(t, last, keys, cols, null_safe)
-    return append(kept, missing(live, t, keys, null_safe))
+    out = append(kept, missing(live, t, keys, null_safe))
+    return _unambiguous(out, rows.filter(col(flag_col).isin(0, 1)), [*keys, flag_col], null_safe, check)
 
 
 def merge_soft_nokey(
@@ -209,15 +222,17 @@ def merge_plain(
     soft: bool = False,
     insert_unmatched_deletes: bool = False,
     unique_keys: bool = True,
+    check: bool = True,
 ) -> DataFrame:
-    """Merge by plain key equality: a NULL key never matches.
+    """Merge by plain key equality: a NULL key never matches, any other may occur once (``check``).
 
     ``soft=True`` has no deletes: matched rows are updated, unmatched ones inserted.
     ``insert_unmatched_deletes=True`` also writes a delete that matches nothing.
     """
     if soft:
-        return _upsert(t, row_changes(b, op_col), keys, False, unique_keys)
-    out = merge_hard(t, b, keys, op_col, null_safe=False, unique_keys=unique_keys)
+        rows = row_changes(b, op_col)
+        return _unambiguous(_upsert(t, rows, keys, False, unique_keys), rows, keys, False, check)
+    out = merge_hard(t, b, keys, op_col, null_safe=False, unique_keys=unique_keys, check=check)
     if insert_unmatched_deletes:
         gone = b.filter(col(op_col) == Op.DELETE)
         out = append(out, missing(gone, t, keys, null_safe=False))
@@ -243,9 +258,12 @@ def apply_update_insert(
     flag_col: str = FLAG_COL,
     op_col: str | None = None,
     unused_keys: list[str] = (),
+    check: bool = True,
 ) -> DataFrame:
     """Soft-delete apply as update-from, then insert where no row exists.
 
+    Two rows of one key fail the job (``check``).
+
     Without a target the change set becomes the target. With ``unused_keys`` only codes
     above 0 update and insert, and deletes with an incomplete key set the flag.
     """
@@ -259,7 +277,7 @@ def apply_update_insert(
 
         out = multi_delete_flag(out, b, keys, unused_keys, flag_col, op_col)
     fresh = missing(rows, t, keys, null_safe=False)
-    return append(out, fresh.select(*[col(c) for c in cols]))
+    return _unambiguous(append(out, fresh.select(*[col(c) for c in cols])), rows, keys, False, check)
 
 
 def apply_files_in_order(
@@ -288,7 +306,7 @@ def merge_log(
     is computed once.
     """
     if not _replaces(t, net, unique_keys):
-        return merge_hard(t, net, keys, op_col, null_safe, unique_keys)
+        return merge_hard(t, net, keys, op_col, null_safe, unique_keys, check=False)
     images = row_changes(log, op_col).filter(~col(op_col).eqNullSafe(F.lit(Op.BEFORE)))
     live = row_changes(net, op_col).filter(col(op_col) != Op.DELETE)
     return replace(t, keys_in(images, keys), live, keys, null_safe)
@@ -310,7 +328,8 @@ def apply_counts(t: DataFrame, b: DataFrame, keys: list[str], op_col: str = OP_C
         .agg(F.min(col(op_col)).alias("__mill_op"))
     )
     on = reduce(lambda a, c: a & c, [col(k) == F.col(f"__mill_c{i}") for i, k in enumerate(keys)])
-    hit = t.select(*[col(k) for k in keys]).join(marks, on, "inner")
+    # the marks come from an aggregate by the same keys; a hot key of the target stays splittable
+    hit = t.select(*[col(k) for k in keys]).join(spread(marks), on, "inner")
     named = hit.select(
         F.when(F.col("__mill_op") == Op.DELETE, "deleted").otherwise("updated").alias("action")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -14,10 +15,13 @@ CHUNK_BITS = 33  # layout of monotonically_increasing_id: partition above, row b
 
 
 def shared_dir(spark) -> str:
-    """The checkpoint folder of the cluster; a temporary one only where none is set."""
+    """The checkpoint folder of the cluster; a temporary one only in local mode, where none is set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        master = spark.sparkContext.master
+        if configured is None and not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="mill-"))
         current = spark.sparkContext.getCheckpointDir()
     return configured or current

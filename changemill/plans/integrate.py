@@ -60,9 +60,9 @@ def integrate(t: DataFrame, b: DataFrame, spec: ApplySpec) -> DataFrame:
         return merge.merge_soft_nokey(t, log, keys, op, spec.null_safe)
     net = coalesced(log, spec)
     if spec.style == "soft_delete":
-        return merge.merge_soft(t, net, keys, op, spec.flag_col, spec.null_safe, spec.unique_keys)
+        return merge.merge_soft(t, net, keys, op, spec.flag_col, spec.null_safe, spec.unique_keys, check=not spec.order)
     if spec.split_inserts:
-        return merge.merge_then_insert(t, net, keys, op, spec.null_safe)
+        return merge.merge_then_insert(t, net, keys, op, spec.null_safe, check=not spec.order)
     if spec.order:
         return merge.merge_log(t, log, net, keys, op, spec.null_safe, spec.unique_keys)
     return merge.merge_key_change(t, net, keys, op, spec.null_safe, spec.unique_keys)

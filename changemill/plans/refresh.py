@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from changemill.functions.columns import col
 from changemill.operators.joins import align, append
-from changemill.operators.merge import merge_plain
+from changemill.operators.keyed import upsert_partial
 from changemill.schema.types import struct_type
 from changemill.spec import OP_COL, Op
 
@@ -28,9 +28,13 @@ def refresh_append(t: DataFrame, b: DataFrame) -> DataFrame:
     return append(t, b)
 
 
-def refresh_upsert(t: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Load over existing rows: known keys are updated, new ones inserted."""
-    return merge_plain(t, b, keys, soft=True)
+def refresh_upsert(t: DataFrame, b: DataFrame, keys: list[str], order: list[str] = ()) -> DataFrame:
+    """Load over existing rows: known keys are updated, new ones inserted.
+
+    An empty or NULL value of the load is absent, as in a change: the stored value stays.
+    With ``order`` a key may be loaded several times; its last filled values win.
+    """
+    return upsert_partial(t, b, keys, list(order) or keys, null_safe=False)
 
 
 def refresh_recreate(b: DataFrame, drop: list[str] = ()) -> DataFrame:

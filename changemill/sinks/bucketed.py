@@ -27,7 +27,7 @@ class BucketedTable(SnapshotTable):
         self._name = "mill_" + hashlib.sha256(self.root.encode()).hexdigest()[:16]
 
     def _table(self, folder: str) -> str:
-        return f"{self._name}_{folder.strip('_').replace('=', '')}"
+        return f"{self._name}_{folder.strip('_').replace('=', '').replace('-', '_')}"
 
     def _write(self, df: DataFrame, folder: str) -> dict[str, str]:
         # the catalog entry only carries the bucketing; the commit decides what is current

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changemill.functions.columns import col
@@ -34,32 +34,50 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "over
     (w.partitionBy(*by) if by else w).parquet(path)
 
 
-def write_messages(msgs: DataFrame, path: str, dest: list[str], order: list[str], value_col: str = "value") -> None:
+def write_messages(msgs: DataFrame, path: str, dest: list[str], order: list[str], batch_id: int | None = None) -> None:
     """Messages as JSON rows in one folder per destination, in order.
 
+    With ``batch_id`` they go to a folder of that cycle, which a retry replaces; without it
+    every call appends.
+
     The order of a destination is the order of its file names, then of the lines. Ranges
     are cut by rows, so a large destination fills several files.
     """
     by = [col(c) for c in [*dest, *order]]
     out = msgs.repartitionByRange(*by).sortWithinPartitions(*by)
-    out.write.mode("append").partitionBy(*dest).json(path)
+    if batch_id is None:
+        out.write.mode("append").partitionBy(*dest).json(path)
+    else:
+        out.write.mode("overwrite").partitionBy(*dest).json(f"{path}/cycle={batch_id:08d}")
 
 
-def publish(msgs: DataFrame, send, dest: list[str], order: list[str]) -> None:
+def publish(msgs: DataFrame, send, dest: list[str], order: list[str], ordered: bool = True) -> None:
     """Hand the messages in order to ``send(rows)``, called once per task on the executors.
 
-    Each task holds one contiguous range of the order; a large destination spans several.
-    A task may run again after a failure: the receiver has to accept repeats.
+    ``ordered``: all messages of a destination go through one task, one after the other, as
+    a receiver that keeps the order of arrival needs; ``dest`` should name its partition
+    too, so that partitions are sent side by side. Otherwise each task holds one contiguous
+    range and a large destination is sent by several at once. A task may run again after a
+    failure: the receiver has to accept repeats.
     """
     by = [col(c) for c in [*dest, *order]]
-    msgs.repartitionByRange(*by).sortWithinPartitions(*by).foreachPartition(send)
+    dealt = msgs.repartition(*[col(c) for c in dest]) if ordered and dest else msgs.repartitionByRange(*by)
+    if ordered and not dest:
+        dealt = msgs.coalesce(1)
+    dealt.sortWithinPartitions(*by).foreachPartition(send)
 
 
-def journal(msgs: DataFrame, path: str, channel: str, location: str, batch_id: int, by: list[str] = ("partition_id",), value_col: str = "value") -> None:
+def journal(msgs: DataFrame, path: str, channel: str, location: str, batch_id: int, by: list[str] = ("partition_id",),
+            order: list[str] = (), value_col: str = "value") -> None:
     """Keep the messages of a batch: one folder per channel, location, cycle and partition.
 
-    A repeated batch replaces its own journal.
+    Rows have their place in the order of sending in ``sequence``, from 0 in each folder, and
+    stand in that order. ``order`` sorts the messages of a batch. A repeated batch replaces
+    its own journal.
     """
     target = f"{path}/{channel}/{location}/cycle={batch_id:08d}"
-    keep = [col(c) for c in by] + [c for c in (F.col("batch_no"),) if "batch_no" in msgs.columns]
-    msgs.select(*keep, col(value_col)).write.mode("overwrite").partitionBy(*by).json(target)
+    sort = [col(c) for c in (["batch_no"] if "batch_no" in msgs.columns else []) + [c for c in order if c != "batch_no"]] or [col(value_col)]
+    place = F.row_number().over(Window.partitionBy(*[col(c) for c in by]).orderBy(*sort)) - 1
+    keep = [col(c) for c in by] + [F.col("batch_no")] * ("batch_no" in msgs.columns)
+    rows = msgs.select(*keep, place.cast("long").alias("sequence"), col(value_col))
+    rows.sortWithinPartitions(*[col(c) for c in by], "sequence").write.mode("overwrite").partitionBy(*by).json(target)

@@ -5,13 +5,16 @@ a fresh folder ``_v=<n>``; a small commit file then names, for every partition,
 that holds it. Readers see the last commit, so a failed write is never visible. A change
 set rewrites only the partitions it touches; the others are carried over by name.
 
-One writer per table is assumed; a second one fails at its commit.
+One writer per table is meant. Of two that write the same version one fails: the commit
+file has the version's name alone and is created only if it is not there. A commit file that
+is not complete (its writer died) counts as a version that was never visible.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import uuid
 from functools import reduce
 from urllib.parse import unquote
 
@@ -53,12 +56,12 @@ class SnapshotTable:
 
     # ---- commits
 
-    def _commits(self) -> list[tuple[int, str, str]]:
+    def _commits(self) -> list[tuple[int, str]]:
         found = []
         for name in self._list("_commits"):
-            m = re.fullmatch(r"(\d+)~(.*)\.json", name)
+            m = re.fullmatch(r"(\d+)\.json", name)
             if m:
-                found.append((int(m[1]), m[2], name))
+                found.append((int(m[1]), name))
         return sorted(found)
 
     def version(self) -> int:
@@ -67,35 +70,77 @@ class SnapshotTable:
         return commits[-1][0] if commits else 0
 
     @staticmethod
-    def _tag(tag: str) -> str:
-        return re.sub(r"[^A-Za-z0-9_.=-]", "_", tag)
+    def _tag(tag: str) -> tuple[str, int]:
+        """Name and number of a tag such as ``apply-17``; without a number, -1."""
+        m = re.fullmatch(r"(.*)-(\d{1,18})", tag)
+        return (m[1], int(m[2])) if m else (tag, -1)
 
     def is_committed(self, tag: str) -> bool:
-        """Was a commit with this tag made? A replayed batch asks before it writes."""
-        return any(t == self._tag(tag) for _, t, _ in self._commits())
+        """Was a commit with this tag made? A replayed batch asks before it writes.
+
+        Every commit carries the last number of each tag name, so only one file is read.
+        """
+        name, number = self._tag(tag)
+        tags = (self._state() or {}).get("tags", {})
+        return name in tags and number <= tags[name]
+
+    def _folder(self, version: int) -> str:
+        """A fresh data folder: two writers of one version never share it."""
+        return f"_v={version}-{uuid.uuid4().hex[:12]}"
 
     def _commit(self, version: int, tag: str, schema: T.StructType, parts: dict[str, str]) -> int:
-        body = json.dumps({"version": version, "schema": schema.jsonValue(), "parts": parts})
-        final = self._path(self.root, "_commits", f"{version:08d}~{self._tag(tag)}.json")
-        if any(v >= version for v, _, _ in self._commits()):
+        state = self._state()
+        if self.version() >= version:
             raise RuntimeError(f"version {version} of {self.root} was committed by another writer")
-        temp = self._path(self.root, "_commits", f".{version:08d}.tmp")
-        out = self._fs.create(temp, True)
+        name, number = self._tag(tag)
+        tags = {**(state or {}).get("tags", {})}
+        tags[name] = max(number, tags.get(name, -1))
+        body = json.dumps({"version": version, "tag": tag, "tags": tags, "schema": schema.jsonValue(), "parts": parts})
+        try:
+            out = self._fs.create(self._path(self.root, "_commits", f"{version:08d}.json"), False)
+        except Exception as ex:
+            if "AlreadyExists" in str(ex) or "already exists" in str(ex):
+                raise RuntimeError(f"version {version} of {self.root} was committed by another writer") from ex
+            raise
         try:
             out.write(bytearray(body.encode()))
         finally:
             out.close()
-        if not self._fs.rename(temp, final):
-            raise RuntimeError(f"commit {version} of {self.root} failed")
         return version
 
     def _state(self, version: int | None = None) -> dict | None:
-        commits = [c for c in self._commits() if version is None or c[0] == version]
-        if not commits:
-            if version:
-                raise ValueError(f"{self.root} has no version {version}")
-            return None
-        return json.loads(self._read_text("_commits", commits[-1][2]))
+        for v, name in reversed(self._commits()):
+            if version is None or v == version:
+                try:
+                    return json.loads(self._read_text("_commits", name))
+                except ValueError:  # not completely written: never visible
+                    continue
+        if version:
+            raise ValueError(f"{self.root} has no version {version}")
+        return None
+
+    def compact(self, tag: str = "compact") -> int:
+        """Write the current rows anew as one version, without the folders of single appends."""
+        return self.commit(self.read(), tag)
+
+    def expire(self, keep: int = 1) -> list[int]:
+        """Delete all but the last ``keep`` versions and the folders no kept one names.
+
+        Readers of an expired version and open writers must be done.
+        """
+        if keep < 1:
+            raise ValueError("the last version cannot be expired")
+        commits = self._commits()
+        old, stay = commits[:-keep], commits[-keep:]
+        used = {folder.split("/")[0] for v, _ in stay for folder in (self._state(v) or {"parts": {}})["parts"].values()}
+        for _, name in old:
+            self._fs.delete(self._path(self.root, "_commits", name), False)
+        last = commits[-1][0] if commits else 0
+        for folder in self._list():
+            m = re.fullmatch(r"_v=(\d+)(-.*)?", folder)
+            if m and int(m[1]) <= last and folder not in used:
+                self._fs.delete(self._path(self.root, folder), True)
+        return [v for v, _ in old]
 
     # ---- reading
 
@@ -159,7 +204,7 @@ class SnapshotTable:
     def commit(self, df: DataFrame, tag: str = "write") -> int:
         """Write ``df`` as the whole new content."""
         version = self.version() + 1
-        parts = self._write(df, f"_v={version}")
+        parts = self._write(df, self._folder(version))
         return self._commit(version, tag, df.schema, parts)
 
     def append(self, df: DataFrame, tag: str = "append", new_columns: str = "fail") -> int:
@@ -179,9 +224,10 @@ class SnapshotTable:
             schema = T.StructType([*schema.fields, *[df.schema[c] for c in fresh]])
         version = self.version() + 1
         rows = align(df, self.spark.createDataFrame([], schema))
-        self._write(rows, f"_v={version}/_add={version}")
-        fresh = {f"_add={version}" + (f"/{p}" if p else ""): f"_v={version}"
-                 for p in self._leaves(f"_v={version}/_add={version}", len(self.partition_by))}
+        folder = self._folder(version)
+        self._write(rows, f"{folder}/_add={version}")
+        fresh = {f"_add={version}" + (f"/{p}" if p else ""): folder
+                 for p in self._leaves(f"{folder}/_add={version}", len(self.partition_by))}
         return self._commit(version, tag, schema, {**state["parts"], **fresh})
 
     def apply(self, fn, b: DataFrame, tag: str = "apply") -> int:
@@ -202,12 +248,16 @@ class SnapshotTable:
             raise ValueError(f"{self.root} has no committed version")
         schema = T.StructType.fromJson(state["schema"])
         rows = b.select(*[col(c).cast("string") for c in self.partition_by]).distinct().collect()
-        touched = {tuple(_NULL_PART if v is None else v for v in r) for r in rows}
+        # a writer puts NULL and '' into one folder, so both touch it
+        touched = {tuple(_NULL_PART if v in (None, "") else v for v in r) for r in rows}
         old = {p: f for p, f in state["parts"].items() if self._values(p) in touched}
         kept = {p: f for p, f in state["parts"].items() if p not in old}
         new = fn(self._read_parts(schema, old), b)
         version = self.version() + 1
-        parts = self._write(new, f"_v={version}")
+        parts = self._write(new, self._folder(version))
+        clash = sorted(p for p in parts if p in kept)
+        if clash:
+            raise RuntimeError(f"rows moved to partitions that were not read: {clash[:5]}")
         return self._commit(version, tag, new.schema, {**kept, **parts})
 
     def _values(self, part: str) -> tuple:

@@ -3,6 +3,8 @@ it is asked to, and column pruning and filters reach the scan where the format a
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,12 +24,14 @@ def _one_char(name: str, value: str) -> str:
 
 
 def read_csv(spark: SparkSession, paths, schema, sep: str = ",", line_sep: str | None = None) -> DataFrame:
-    """CSV with a header line; columns are given by ``schema`` in file order."""
-    r = spark.read.option("header", True).option("sep", _one_char("sep", sep)).option("quote", '"')
-    r = r.option("escape", '"')
-    if line_sep is not None:
-        r = r.option("lineSep", _one_char("line_sep", line_sep))
-    return r.schema(schema).csv(_paths(paths))
+    """CSV with a header line; the columns of ``schema`` are found by their names in each header.
+
+    A column that a file lacks, or a value that is not of its type, fails.
+    """
+    want = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    types = {f.name: f.dataType.simpleString() for f in want.fields}
+    rows = read_csv_by_header(spark, paths, sep=_one_char("sep", sep), line_sep=line_sep and _one_char("line_sep", line_sep), need=list(types))
+    return load_typed(rows.select(*[col(c) for c in types]), types, burst_cols=[])
 
 
 def read_csv_noheader(spark: SparkSession, paths, names: list[str], sep: str = ",") -> DataFrame:
@@ -52,34 +56,51 @@ def read_csv_strict(spark: SparkSession, paths, schema=None, sep: str = ",") ->
     return r.csv(_paths(paths))
 
 
+def _headers(spark: SparkSession, paths: list[str], sep: str, line_sep: str | None) -> dict[tuple[str, ...], list[str]]:
+    """Column names → files that have this header, by one job over all files."""
+    r = spark.read.option("lineSep", line_sep) if line_sep else spark.read
+    lines = r.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("row"), "value",
+    ).filter("at = 0 AND length(value) > 0")
+    first = lines.groupBy("path").agg(F.min_by("value", "row").alias("header"))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in first.orderBy("path").collect():  # one row per file; the reader needs their names
+        names = next(csv.reader([r["header"].removeprefix("\ufeff")], delimiter=sep))
+        out.setdefault(tuple(names), []).append(r["path"])
+    return out
+
+
 def read_csv_by_header(
-    spark: SparkSession, paths, types: dict[str, str] | None = None, sep: str = ",", uniform: bool = False
+    spark: SparkSession, paths, types: dict[str, str] | None = None, sep: str = ",", uniform: bool = False,
+    line_sep: str | None = None, need: list[str] = (),
 ) -> DataFrame:
     """CSV files whose column order may differ: columns meet by header name, not position.
 
-    Only header lines are read up front, one per file. Files with the same header share
-    one scan. ``uniform=True`` reads one header and lets the scan itself reject a file with
-    another one; use it for many files of one writer. Columns in ``types`` are cast; the
-    others stay text.
+    One job finds the header of every file, also inside folders; files with the same header
+    share one scan, which fails if a header is not what was found. ``uniform=True`` reads one
+    header and lets the scan itself reject a file with another one; use it for many files of
+    one writer. A file that lacks a column of ``need`` fails, another column is NULL there.
+    Columns in ``types`` are cast; the others stay text.
     """
-    headers: dict[tuple[str, ...], list[str]] = {}
+    options = {"header": True, "sep": sep, "escape": '"', "enforceSchema": False} | ({"lineSep": line_sep} if line_sep else {})
     if uniform:
-        names = spark.read.option("header", True).option("sep", sep).csv(_paths(paths)[0]).columns
-        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        r = spark.read.options(header=True, sep=sep, escape='"', enforceSchema=False)
-        out = r.schema(text).csv(_paths(paths))
-        return load_typed(out, types, burst_cols=[]) if types else out
-    for p in _paths(paths):
-        names = tuple(spark.read.option("header", True).option("sep", sep).csv(p).columns)
-        headers.setdefault(names, []).append(p)
+        names = tuple(spark.read.options(**options).csv(_paths(paths)[0]).columns)
+        headers = {names: _paths(paths)}
+    else:
+        headers = _headers(spark, _paths(paths), sep, line_sep)
     out = None
     for names, group in headers.items():
+        lost = [c for c in need if c not in names]
+        if lost:
+            raise ValueError(f"columns {lost} are missing in {group[0]}")
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        df = spark.read.option("header", True).option("sep", sep).option("escape", '"').schema(schema).csv(group)
+        df = spark.read.options(**options).schema(schema).csv(group)
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    if types:
-        out = load_typed(out, types, burst_cols=[])
-    return out
+    if out is None:
+        names = list(need) or list(types or [])
+        out = spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    return load_typed(out, types, burst_cols=[]) if types else out
 
 
 def read_json_lines(spark: SparkSession, paths, schema=None) -> DataFrame:
@@ -208,27 +229,47 @@ def load_typed(
     return df.select(*out)
 
 
+def _lacking(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Paths that match no file. One look-up per argument, not per file."""
+    out = []
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+        if found is None or len(found) == 0:
+            out.append(p)
+    return out
+
+
 def read_or_quarantine(
-    spark: SparkSession, paths, schema: T.StructType | str, fmt: str = "json", **options
+    spark: SparkSession, paths, schema: T.StructType | str, fmt: str = "json", on_missing: str = "fail", **options
 ) -> tuple[DataFrame, DataFrame]:
     """Good rows, and bad lines with their file: ``(rows, quarantine)``, for JSON or CSV lines.
 
-    Missing files are skipped. No line is lost: one that cannot be read is kept as text in
-    ``line`` of the second frame.
+    No line is lost: one that cannot be read is kept as text in ``line`` of the second frame.
+    A path without a file fails the call; with ``on_missing='report'`` it is a row of the
+    second frame without a line. A file that vanishes before it is read fails the job.
     """
+    if on_missing not in ("fail", "report"):
+        raise ValueError("on_missing must be 'fail' or 'report'")
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     wide = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     parse = {"json": F.from_json, "csv": lambda c, s, o: F.from_csv(c, s.simpleString(), o)}
     if fmt not in parse:
         raise ValueError("fmt must be 'json' or 'csv'")
     how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", **options}
-    lines = spark.read.option("ignoreMissingFiles", True).text(_paths(paths)).select(
-        F.col("value").alias("line"), F.col("_metadata.file_name").alias("file_name")
-    )
+    lost = _lacking(spark, _paths(paths)) if on_missing == "report" else []
+    there = [p for p in _paths(paths) if p not in lost]
+    if there:
+        lines = spark.read.text(there).select(F.col("value").alias("line"), F.col("_metadata.file_name").alias("file_name"))
+    else:
+        lines = spark.createDataFrame([], "line string, file_name string")
     rows = lines.filter(F.length("line") > 0).withColumn("r", parse[fmt](F.col("line"), wide, how))
     is_bad = F.col("r._corrupt_record").isNotNull()
     good = rows.filter(~is_bad).select(*[F.col("r")[f.name].alias(f.name) for f in schema.fields])
-    return good, rows.filter(is_bad).select("file_name", "line")
+    bad = rows.filter(is_bad).select("file_name", "line")
+    if lost:
+        bad = bad.unionAll(spark.createDataFrame([(p.rsplit("/", 1)[-1], None) for p in lost], "file_name string, line string"))
+    return good, bad
 
 
 def staged_view(spark: SparkSession, folder: str, types: dict[str, str], name: str, fmt: str = "csv", **options) -> DataFrame:

@@ -173,3 +173,29 @@ def test_checks(spark, rows):
     with pytest.raises(ValueError):
         quality.require_columns(df, ["op_type"])
     quality.check_column_count(df.withColumn("op_type", F.lit(1)), df)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\n")
+    (tmp_path / "b.csv").write_text("name,id\ny,2\n")
+    folder = str(tmp_path)
+    assert rows(files.read_csv(spark, folder, "id int, name string")) == [(1, "x"), (2, "y")]
+    assert rows(files.read_csv_by_header(spark, folder, {"id": "int"}), "id", "name") == [(1, "x"), (2, "y")]
+    t = spark.createDataFrame([(7, "t")], "id int, name string")
+    assert rows(files.insert_from_file(spark, t, folder, ["id", "name"])) == [(1, "x"), (2, "y"), (7, "t")]
+    with pytest.raises(ValueError, match="missing"):
+        files.read_csv(spark, folder, "id int, other string")
+    (tmp_path / "c.csv").write_text("id,name\nten,z\n")
+    with pytest.raises(Exception, match="ten"):
+        files.read_csv(spark, folder, "id int, name string").collect()
+
+
+def test_missing_files_are_reported_or_fail(spark, tmp_path, rows):
+    (tmp_path / "a.json").write_text('{"k": 1}\n{bad\n')
+    paths = [str(tmp_path / "a.json"), str(tmp_path / "gone.json")]
+    good, bad = files.read_or_quarantine(spark, paths, "k int", on_missing="report")
+    assert rows(good) == [(1,)] and rows(bad) == [("a.json", "{bad"), ("gone.json", None)]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.read_or_quarantine(spark, paths, "k int")[0].collect()
+    with pytest.raises(ValueError):
+        files.read_or_quarantine(spark, paths, "k int", on_missing="skip")

@@ -326,3 +326,21 @@ def test_hard_merge_reads_the_target_once(spark):
 def test_last_write_is_limited_before_the_shuffle(spark):
     b = spark.range(50).selectExpr("id % 3 AS k", "id AS seq")
     assert plan(changes.latest(b, ["k"], ["seq"])).count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("op", ["merge_hard", "merge_hard_in_place", "merge_soft", "merge_plain", "merge_plain_soft", "merge_then_insert", "apply_update_insert"])
+def test_two_changes_of_one_key_fail(spark, op):
+    t = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "k int, v string, is_deleted int")
+    b = spark.createDataFrame([(1, "x", 0, 2), (1, "y", 0, 2), (2, "z", 0, 2)], "k int, v string, is_deleted int, op_type int")
+    run = {
+        "merge_hard": lambda **o: merge.merge_hard(t, b, ["k"], **o),
+        "merge_hard_in_place": lambda **o: merge.merge_hard(t, b, ["k"], unique_keys=False, **o),
+        "merge_soft": lambda **o: merge.merge_soft(t, b, ["k"], **o),
+        "merge_plain": lambda **o: merge.merge_plain(t, b, ["k"], **o),
+        "merge_plain_soft": lambda **o: merge.merge_plain(t, b, ["k"], soft=True, **o),
+        "merge_then_insert": lambda **o: merge.merge_then_insert(t, b, ["k"], **o),
+        "apply_update_insert": lambda **o: merge.apply_update_insert(t, b, ["k"], op_col="op_type", **o),
+    }[op]
+    with pytest.raises(Exception, match="several change rows for one key"):
+        run().collect()
+    run(check=False).collect()
