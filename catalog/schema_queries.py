@@ -399,7 +399,7 @@ def publish_stream(spark, sf):
         return messages.partition_key(messages.to_envelope(df, "events", "cdc", "body"), ["user_id"])
 
     def sink(msgs, batch_id):
-        sink_files.journal(msgs.withColumn("part", F.lit(0)), f"{root}/out", "c", "l", batch_id, ["part"], "body")
+        sink_files.journal(msgs.withColumn("part", F.lit(0)), f"{root}/out", "c", "l", batch_id, ["part"], ["event_id"], "body")
         msgs.select("partition_key", "body").write.mode("overwrite").json(f"{root}/sent/cycle={batch_id}")
 
     cycles.publish_stream(source, reshape, sink, f"{root}/checkpoint").awaitTermination()
