@@ -221,9 +221,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """The documents that own their texts, with all their columns."""
-    owners = text_owners(docs, id_col, text_col, keep).select(F.col("sha").alias("__sha"), F.col("id").alias("__id"), F.col("ties").alias("__ties"))
+    own = "__llm_own_"  # documents may have columns of any name
+    owners = text_owners(docs, id_col, text_col, keep).select(*[F.col(c).alias(own + c) for c in ("sha", "id", "ties")])
     digest = F.sha2(lower_ascii(text_of(text_col)).cast("binary"), 256)
-    won = docs.withColumn("__sha", digest).join(owners, "__sha").where(F.col(id_col).cast("long").eqNullSafe(F.col("__id")))
-    one = won.where("__ties = 1")
-    repeated = won.where("__ties > 1").dropDuplicates(["__sha"])
+    won = docs.withColumn(f"{own}sha", digest).join(owners, f"{own}sha").where(F.col(id_col).cast("long").eqNullSafe(F.col(f"{own}id")))
+    one = won.where(F.col(f"{own}ties") == 1)
+    repeated = won.where(F.col(f"{own}ties") > 1).dropDuplicates([f"{own}sha"])
     return one.union(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])

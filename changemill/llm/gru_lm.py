@@ -382,7 +382,14 @@ def train(docs: DataFrame, modulus: int = 7, held_out: int = 2, rates: tuple = (
     counts = settled(known.select("t").mapInArrow(_count(), "token binary, n long").groupBy("token").agg(F.sum("n").alias("c")), "counts")
     release(docs.sparkSession)
     total = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "token").limit(DICTIONARY).collect()
+    # the most frequent words, by steps of their count's logarithm: at most DICTIONARY of them
+    step = F.floor(F.log2("c") * 64).cast("int")
+    steps, least, n_top = counts.groupBy(step.alias("s")).count().orderBy(F.desc("s")).collect(), 1 << 30, 0
+    for r in steps:  # at most 64 rows for each power of two
+        if n_top + r["count"] > DICTIONARY:
+            break
+        least, n_top = r["s"], n_top + r["count"]
+    top = sorted(counts.where(step >= least).collect(), key=lambda r: (-r["c"], bytes(r["token"])))
     words, c = [bytes(r["token"]) for r in top], np.array([r["c"] for r in top], np.float64)
     if END not in words:  # it has a symbol of its own, however rare it is
         ends = counts.where(F.col("token") == F.lit(END)).first()

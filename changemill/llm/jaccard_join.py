@@ -448,12 +448,13 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     sets, roots = joined(docs, id_col, text_col)
     rows = sets.join(roots, F.col("set_key") == F.col("node"), "left").select("doc_id", "text_key", F.coalesce("root", "set_key").alias("root"))
     rows = settled(rows, "rooted")
-    least = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("__least"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("w"))
+    least = rows.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("w"))
     # the winner is named by identifier and text; rows that repeat both count once
-    won = least.select(F.col("root").alias("__root"), F.col("w.doc_id").alias("__id"), F.col("w.text_key").alias("__key"))
-    keyed = docs.withColumn("__k", text_key(text_col))
-    found = keyed.join(won, F.col("__k").eqNullSafe(F.col("__key")) & F.col(id_col).cast("long").eqNullSafe(F.col("__id")))
-    empty = rows.where("root IS NULL").select(F.col("text_key").alias("__e")).distinct()
-    wordless = keyed.join(empty, F.col("__k") == F.col("__e"), "left_semi")
+    own = "__llm_near_"  # documents may have columns of any name
+    won = least.select(F.col("root").alias(f"{own}root"), F.col("w.doc_id").alias(f"{own}id"), F.col("w.text_key").alias(f"{own}key"))
+    keyed = docs.withColumn(f"{own}k", text_key(text_col))
+    found = keyed.join(won, (F.col(f"{own}k") == F.col(f"{own}key")) & F.col(id_col).cast("long").eqNullSafe(F.col(f"{own}id")))
+    empty = rows.where("root IS NULL").select(F.col("text_key").alias(f"{own}e")).distinct()
+    wordless = keyed.join(empty, F.col(f"{own}k") == F.col(f"{own}e"), "left_semi")
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    return found.dropDuplicates(["__root"]).select(*cols).union(wordless.select(*cols))
+    return found.dropDuplicates([f"{own}root"]).select(*cols).union(wordless.select(*cols))

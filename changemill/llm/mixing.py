@@ -109,10 +109,11 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     return rows, small(settled(decisions, "decisions"))
 
 
-def copies_of(x="x"):
-    """Copies of a document joined with its source's decisions."""
-    extra = (F.col("rest") > 0) & ((F.col(x) <= F.coalesce("cut", F.lit(1 << 52))) | F.col(x).eqNullSafe(F.col("closing")))
-    return F.col("copies") + F.when(extra, 1).otherwise(0)
+def copies_of(prefix: str = ""):
+    """Copies of a document (random bits x) joined with its source's decisions."""
+    c = {k: F.col(prefix + k) for k in ("x", "rest", "cut", "closing", "copies")}
+    extra = (c["rest"] > 0) & ((c["x"] <= F.coalesce(c["cut"], F.lit(1 << 52))) | c["x"].eqNullSafe(c["closing"]))
+    return c["copies"] + F.when(extra, 1).otherwise(0)
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -130,11 +131,12 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix", **options) -> DataFrame:
     """The mixture itself: each document as often as it is taken, all columns as they were."""
     _, by_source = plan(docs, id_col, text_col, source_col, seed=seed, **options)
-    by_source = by_source.select(*[F.col(c).alias(c if c in ("s",) else f"__{c}") for c in by_source.columns])
-    found = docs.withColumn("__x", random52(id_col, seed)).join(by_source, F.col(source_col).cast("string").eqNullSafe(F.col("s")), "left")
-    extra = (F.col("__rest") > 0) & ((F.col("__x") <= F.coalesce("__cut", F.lit(1 << 52))) | F.col("__x").eqNullSafe(F.col("__closing")))
-    n = F.col("__copies") + F.when(extra, 1).otherwise(0)
-    return found.where(n > 0).withColumn("__k", F.explode(F.sequence(F.lit(1), n))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = "__llm_mix_"  # documents may have columns of any name
+    by_source = by_source.select(*[F.col(c).alias(own + c) for c in by_source.columns])
+    found = docs.withColumn(f"{own}x", random52(id_col, seed)).join(by_source, F.col(source_col).cast("string").eqNullSafe(F.col(f"{own}s")), "left")
+    found = found.withColumn(f"{own}n", copies_of(own))
+    every = F.explode(F.sequence(F.lit(1), F.col(f"{own}n")))
+    return found.where(F.col(f"{own}n") > 0).withColumn(f"{own}k", every).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix_sql(weights=(5, 2, 1), percent: int = 150, most: int = 2, seed: str = "mix") -> str:

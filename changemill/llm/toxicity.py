@@ -134,7 +134,7 @@ def hits(lexicon: Lexicon, text: str) -> list[tuple[int, int, bool]]:
     spans, out = [m.span() for m in TOKEN.finditer(low)], []
     for i in found:
         a, b = max(0, i - WINDOW), min(len(words), i + WINDOW + 1)
-        before, after = low[spans[a][0]:spans[i][0]], low[spans[i][1]:spans[b - 1][1] + 2]
+        before, after = low[max(0, spans[a][0] - 2):spans[i][0]], low[spans[i][1]:spans[b - 1][1] + 2]
         quoted = bool(QUOTES & set(before) and QUOTES & set(after)) or bool(REPORTS & set(words[a:i]))
         out.append((*lexicon.lookup(words[i]), quoted))
     return out
