@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changemill.llm.common import WordHashes, arrow_schema, mix64, release, remove, scratch, settled, text_of
+from changemill.operators.joins import spread
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -264,7 +265,8 @@ def repeated_windows(docs: DataFrame, text_col: str = "text") -> DataFrame:
     named = settled(texts.join(edges, F.col("rid") == F.col("r")).select("rid", "text", "keys", "lo", "hi").mapInArrow(_windows(), _WINDOWS), "windows")
     release(spark)
     twice = named.groupBy("key", "name").agg(F.sum("n").alias("times")).where("times > 1").select(F.col("key").alias("k"), F.col("name").alias("w"))
-    again = named.select("key", "name", "rid", "at").join(twice, (F.col("key") == F.col("k")) & (F.col("name") == F.col("w")))
+    # a window that stands in very many texts may be split: its rows come straight from an exchange
+    again = named.select("key", "name", "rid", "at").join(spread(twice), (F.col("key") == F.col("k")) & (F.col("name") == F.col("w")))
     spans = again.groupBy("rid").agg(F.collect_set("at").alias("at")).select("rid", F.transform("at", lambda x: F.struct(x.alias("lo"), x.alias("hi"))).alias("spans"))
     spans = spans.union(hits.where(F.size("whole") > 0).select("rid", "whole"))
     spans = spans.groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("s"))
