@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from changemill.llm.common import WordHashes, arrow_schema, mix64, settled, text_of, window_hashes
 from changemill.llm.components import components
+from changemill.operators.joins import spread
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -414,7 +415,7 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
     kept = found.where(F.col("kind") == KEPT).select(F.col("a").alias("sig"), F.col("b").alias("key"), "size", "flag").distinct()
     kept = kept.join(roots, F.col("key") == F.col("node"), "left").select("sig", "key", "size", "flag", F.coalesce("root", "key").alias("root"))
     apart = kept.groupBy("sig").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.max("flag").alias("f")).where("r1 <> r2 AND f >= 2").select(F.col("sig").alias("open"))
-    kept = kept.join(apart, F.col("sig") == F.col("open"), "left_semi")
+    kept = kept.join(spread(apart), F.col("sig") == F.col("open"), "left_semi")
     kept = settled(kept.join(marked(marks, "x"), F.col("key") == F.col("xk")).drop("xk", "xn"), "apart")
     probe = kept.where("flag >= 2").select(F.col("sig").alias("p_sig"), F.col("key").alias("p_key"), F.col("size").alias("p_size"), F.col("root").alias("p_root"),
                                            *[F.col(f"x{i}").alias(f"y{i}") for i in range(SKETCH)])
