@@ -10,12 +10,14 @@ its end is cut at powers of two, which need no padding.
 
 from __future__ import annotations
 
+import re
 import sys
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,30 +88,61 @@ def _keys():
     return run
 
 
-class Tokens(dict):
-    """Token ids, as little-endian 32-bit values, of what stands between white space.
+#: How the tokenizer's own pattern splits lower-cased ASCII, and any Latin text.
+ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+LATIN_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+LATIN = "\u024f"
 
-    The tokenizer splits at white space, so a text's ids are those of its parts in turn.
-    """
 
-    def __init__(self, path: str, limit: int = 1 << 18) -> None:
+class Pieces(dict):
+    """Token ids, as little-endian 32-bit values, of runs of letters or signs met before."""
+
+    def __init__(self, path: str, limit: int = 500_000) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
 
+    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[piece] = self.encode(piece)
+        return value
+
+
+class Tokens(dict):
+    """Token ids, as little-endian 32-bit values, of what stands between white space.
+
+    The tokenizer splits at white space, and there into runs of letters, digits and signs, so
+    a text's ids are those of its parts in turn. Parts with letters beyond Latin, or with what
+    could be a special token, are given to the tokenizer whole.
+    """
+
+    def __init__(self, path: str, limit: int = 400_000) -> None:
+        super().__init__()
+        self.pieces, self.limit = Pieces(path), limit
+        self.normal = self.pieces.tokenizer.normalizer.normalize_str
+
     def __missing__(self, part: bytes) -> bytes:
         if len(self) >= self.limit:
             self.clear()
-        ids = self.tokenizer.encode(part.decode("utf-8", "replace"), add_special_tokens=False).ids
-        value = self[part] = np.array(ids, "<u4").tobytes()
+        text = part.decode("utf-8", "replace")
+        if "<|" in text or (not text.isascii() and max(text) > LATIN):
+            value = self.pieces.encode(text)
+        else:
+            split = ASCII_PIECES.findall(text.lower()) if text.isascii() else LATIN_PIECES.findall(self.normal(text))
+            value = b"".join(map(self.pieces.__getitem__, split))
+        self[part] = value
         return value
 
     def of(self, text: bytes) -> bytes:
         return b"".join(map(self.__getitem__, text.split()))
 
 
-def cuts(room: int, left: int, length: int) -> list[int]:
+def cuts(left: int, length: int) -> list[int]:
     """Sizes of the sequences that ``left`` tokens make: whole ones, then powers of two."""
     whole, rest = divmod(left, length)
     return [length] * whole + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
@@ -141,7 +174,7 @@ def _pack(path: str, length: int, end_id: int):
                         open_, filled, sequence = [], 0, sequence + 1
             yield from flush(rows)
         rows = []
-        for size in cuts(length, filled, length):
+        for size in cuts(filled, length):
             now, got = [], 0
             while got < size:
                 i, at, ids, n = open_.pop(0)
