@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -234,16 +235,19 @@ def pack_batches(
     """Add ``batch_no``: the number of the message's batch within its destination, from 0.
 
     Messages stay in ``order`` (unique within ``dest``). A message larger than the limit
-    gets a batch of its own; ``check_message_size`` rejects such messages beforehand.
+    gets a batch of its own; ``check_message_size`` rejects such messages beforehand. Only
+    destination, order and size are sorted and checkpointed; the payload is joined to its
+    batch number by destination and order.
     """
     if max_bytes <= 0:
         raise ValueError("max_bytes must be positive")
     size = col(size_col).cast("long") if size_col else message_size(value_col)
     # a NULL payload has size 0; destinations compare as text, NULL apart from empty
     name = F.to_json(F.struct(*[col(d).alias(f"d{i}") for i, d in enumerate(dest)])) if dest else F.lit("")
+    place = list(dict.fromkeys([*dest, *order]))
     rows = sorted_chunks(
-        msgs.withColumn(_SIZE, F.coalesce(size, F.lit(0))).withColumn(_DEST, name),
-        [*dest, *order],
+        msgs.select(*[col(c) for c in place], F.coalesce(size, F.lit(0)).alias(_SIZE), name.alias(_DEST)),
+        place,
         chunks,
     )
     n = chunks or int(msgs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -266,7 +270,9 @@ def pack_batches(
 
     udf = F.pandas_udf("long")(numbered).asNondeterministic()
     out = rows.withColumn("batch_no", udf(F.col(ROW), F.col(_DEST), F.col(_SIZE)))
-    return out.select(*[col(c) for c in msgs.columns], "batch_no")
+    numbers = out.select(*[col(c).alias(f"__mill_p{i}") for i, c in enumerate(place)], "batch_no")
+    same = reduce(lambda a, b: a & b, [col(c).eqNullSafe(F.col(f"__mill_p{i}")) for i, c in enumerate(place)])
+    return msgs.join(numbers, same).select(*[col(c) for c in msgs.columns], "batch_no")
 
 
 def batch_totals(packed: DataFrame, dest: list[str], value_col: str = "value", size_col: str | None = None) -> DataFrame:
