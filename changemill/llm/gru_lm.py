@@ -63,7 +63,7 @@ def layout(counts: np.ndarray) -> dict:
     k = np.unique(k, return_inverse=True)[1].astype(np.int64)
     n_classes = int(k.max()) + 1 if n else 0
     starts = np.searchsorted(k, np.arange(n_classes + 1))
-    return {"class_of": np.concatenate([k, n_classes + np.arange(SUFFIX)]).astype(np.int64), "starts": starts, "n_own": n, "n_classes": n_classes}
+    return {"class_of": np.concatenate([k, n_classes + np.arange(SUFFIX)]).astype(np.int16), "starts": starts, "n_own": n, "n_classes": n_classes}
 
 
 def new_weights(shape: dict, counts: np.ndarray, suffix_mass: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
@@ -183,7 +183,7 @@ class Trainer:
             dh = (dh * z + du @ w["h"].T) * kept[t]
         dx = np.concatenate(dx_all[::-1])
         grads["b"] = dx.sum(0)
-        where = np.concatenate([s[0] for s in seen])
+        where = np.concatenate([s[0] for s in seen]).astype(np.int16)  # numpy sorts 16 bits by radix
         order = np.argsort(where, kind="stable")
         at = np.flatnonzero(np.concatenate([[True], where[order][1:] != where[order][:-1]]))
         grads["x"] = np.zeros_like(w["x"])
