@@ -68,9 +68,13 @@ def merge_hard_full_form(spark, sf):
 _NS = " AND ".join(f"t.{k} IS NOT DISTINCT FROM b.{k}" for k in ("o_orderkey", "o_orderpriority"))
 
 
-@query("merge_hard_nullkeys", ctes(t=ORDERS_NULL, b=CHANGES_NULL) + f"""
+NULL_KEY = ["o_orderkey", "o_orderpriority"]
+MERGE_HARD_NULL = ctes(t=ORDERS_NULL, b=CHANGES_NULL) + f"""
 SELECT {NCOLS} FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE {_NS})
-UNION ALL SELECT {NCOLS} FROM b WHERE op_type <> 0""")
+UNION ALL SELECT {NCOLS} FROM b WHERE op_type <> 0"""
+
+
+@query("merge_hard_nullkeys", MERGE_HARD_NULL)
 def merge_hard_nullkeys(spark, sf):
     t, b = frame(spark, sf, ORDERS_NULL), frame(spark, sf, CHANGES_NULL)
     return merge.merge_hard(t, b, ["o_orderkey", "o_orderpriority"])
@@ -210,10 +214,10 @@ def truncate_marker(spark, sf):
     return merge.merge_hard(partial.apply_truncate(t, b), b, KEY)
 
 
-@query("truncate_marker_absent", MERGE_HARD)
+@query("truncate_marker_absent", MERGE_HARD_NULL)
 def truncate_marker_absent(spark, sf):
-    t, b = _tb(spark, sf)
-    return merge.merge_hard(partial.apply_truncate(t, b), b, KEY)
+    t, b = frame(spark, sf, ORDERS_NULL), frame(spark, sf, CHANGES_NULL)
+    return merge.merge_hard(partial.apply_truncate(t, b), b, NULL_KEY)
 
 
 # ---- other statement forms

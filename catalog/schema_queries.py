@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.apply_queries import COLS, KEY, LCOLS, MERGE_HARD, _LAST, _tb
-from catalog.fixtures import CHANGES, DICTIONARY, LOG, LOG_TARGET, ORDERS, ctes, frame, plain, scratch, table
+from catalog.apply_queries import COLS, KEY, LCOLS, MERGE_HARD, MERGE_HARD_NULL, NULL_KEY, _LAST, _tb
+from catalog.fixtures import CHANGES, CHANGES_NULL, DICTIONARY, LOG, LOG_TARGET, ORDERS, ORDERS_NULL, ctes, frame, plain, scratch, table
 from catalog.registry import query
 from changemill.operators import merge, quality
 from changemill.operators.changes import empty_like, order_columns
@@ -220,12 +220,12 @@ def quality_columns(spark, sf):
 
 # ---- table sinks
 
-@query("snapshot_apply", MERGE_HARD)
+@query("snapshot_apply", MERGE_HARD_NULL)
 def snapshot_apply(spark, sf):
-    t, b = _tb(spark, sf)
+    t, b = frame(spark, sf, ORDERS_NULL), frame(spark, sf, CHANGES_NULL)
     target = SnapshotTable(spark, scratch(spark, "snapshot"))
     target.commit(t)
-    target.apply(lambda t, b: merge.merge_hard(t, b, KEY), b, "cycle-1")
+    target.apply(lambda t, b: merge.merge_hard(t, b, NULL_KEY), b, "cycle-1")
     return target.read()
 
 
