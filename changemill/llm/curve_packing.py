@@ -1,8 +1,8 @@
 """Packing along a space-filling curve: neighbours in content become neighbours in sequences.
 
-Every word has a pseudo-random vector that follows from its hash; a document's vector is the
-scaled mean of its words', projected to a few dimensions by construction and cut to a grid.
-The cell's place on the Hilbert curve through the grid is the document's sort key. Rows are
+Every run of bytes has a pseudo-random vector of few dimensions that follows from its hash; a
+document's vector is the mean of its runs', which is a random projection of its hashed run
+counts, cut to a grid. The cell's place on the Hilbert curve through the grid is the document's sort key. Rows are
 dealt by ranges of (key, a hash of the document), so a cell that holds a third of all rows is
 cut as well. Each range is one stream of tokens, cut every ``length`` tokens; what is left at
 its end is cut at powers of two, which need no padding.
@@ -17,12 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changemill.llm.common import WordHashes, arrow_schema, mix64, text_of
+from changemill.llm.common import arrow_schema, text_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -30,22 +29,26 @@ DIMS, BITS = 4, 8
 PIECES = "doc_id long,start long,length long,ids_crc32 long,doc_tokens long,sequence_id long,offset long"
 
 
-def vectors(hashes: np.ndarray) -> np.ndarray:
-    """Word hashes → vectors with DIMS entries in [-1, 1)."""
-    out = np.empty((len(hashes), DIMS))
-    for d in range(DIMS):
-        out[:, d] = mix64(hashes + np.uint64(d)).astype(np.int64) / 2.0 ** 63
-    return out
-
+def cell(text: bytes) -> np.ndarray:
+    """The document's grid cell; a text of less than four bytes lies in the middle.
 
-def cell(text: bytes, hashes: WordHashes) -> np.ndarray:
-    """The document's grid cell; a text without words lies in the middle."""
-    h = hashes.of(text.lower().split())
-    if not len(h):
+    Every run of four bytes (A-Z lower-cased) has a pseudo-random vector, the bytes of its
+    hash; the document's vector is their mean.
+    """
+    low = text.lower()
+    if len(low) < 4:
         return np.full(DIMS, 1 << (BITS - 1), np.int64)
-    mean = vectors(h).mean(0) * np.sqrt(len(h) * 3.0)  # variance 1 for independent words
-    mean = mean / (1 + np.abs(mean) / 8)
-    return np.clip(((mean / 16 + 0.5) * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
+    # all runs: aligned ones from each of four starts
+    h = np.concatenate([np.frombuffer(low, "<u4", (len(low) - k) // 4, k) for k in range(4)])
+    h *= np.uint32(0x9E3779B1)
+    h ^= h >> np.uint32(15)
+    h *= np.uint32(0x85EBCA77)
+    h ^= h >> np.uint32(13)
+    parts = h.view(np.uint8)
+    mean = np.array([int(parts[d::DIMS].sum(dtype=np.uint64)) for d in range(DIMS)]) / len(h) / 127.5 - 1
+    mean = mean * 16  # frequent runs leave means of about 0.05
+    mean = mean / (1 + np.abs(mean))
+    return np.clip(((mean + 1) / 2 * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
 
 
 def hilbert(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -80,66 +83,67 @@ def _keys():
     schema = arrow_schema("doc_id long,text binary,key long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            cells = np.array([cell(t.as_py(), hashes) for t in batch.column(1)], np.int64).reshape(-1, DIMS)
+            cells = np.array([cell(t.as_py()) for t in batch.column(1)], np.int64).reshape(-1, DIMS)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hilbert(cells))], schema=schema)
 
     return run
 
 
-#: How the tokenizer's own pattern splits lower-cased ASCII, and any Latin text.
-ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-LATIN_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-LATIN = "\u024f"
-
-
-class Pieces(dict):
-    """Token ids, as little-endian 32-bit values, of runs of letters or signs met before."""
+#: Letters and digits up to U+024F; white space as the tokenizer knows it.
+LETTERS, DIGITS, WHITE = "a-zA-Z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", "\\t-\\r \u0085\u00a0"
+#: The tokenizer's pattern for lower-cased Latin text.
+PIECES_OF = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{WHITE}{LETTERS}{DIGITS}]+")
+#: What is left to the tokenizer: other scripts, and what could be a special token.
+ODD = re.compile("[\u0130\u0250-\U0010ffff]|<\\|")
 
-    def __init__(self, path: str, limit: int = 500_000) -> None:
-        from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-
-    def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[piece] = self.encode(piece)
-        return value
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in the tokenizer's vocabulary: printable bytes for
+    themselves, the others by letters from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
 class Tokens(dict):
-    """Token ids, as little-endian 32-bit values, of what stands between white space.
+    """Token ids, as little-endian 32-bit values, of pieces met before.
 
-    The tokenizer splits at white space, and there into runs of letters, digits and signs, so
-    a text's ids are those of its parts in turn. Parts with letters beyond Latin, or with what
-    could be a special token, are given to the tokenizer whole.
+    The tokenizer lower-cases a text, splits it into runs of letters, digits and signs and
+    merges bytes inside each. Latin text is split here by the same pattern, and only pieces
+    not met before are merged. What stands between white space and holds other scripts, or
+    could be a special token, is given to the tokenizer whole.
     """
 
-    def __init__(self, path: str, limit: int = 400_000) -> None:
+    def __init__(self, path: str, limit: int = 900_000) -> None:
+        from tokenizers import Tokenizer
+
         super().__init__()
-        self.pieces, self.limit = Pieces(path), limit
-        self.normal = self.pieces.tokenizer.normalizer.normalize_str
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.merge, self.letters = self.tokenizer.model.tokenize, byte_letters()
 
-    def __missing__(self, part: bytes) -> bytes:
+    def __missing__(self, piece: str) -> bytes:
         if len(self) >= self.limit:
             self.clear()
-        text = part.decode("utf-8", "replace")
-        if "<|" in text or (not text.isascii() and max(text) > LATIN):
-            value = self.pieces.encode(text)
-        else:
-            split = ASCII_PIECES.findall(text.lower()) if text.isascii() else LATIN_PIECES.findall(self.normal(text))
-            value = b"".join(map(self.pieces.__getitem__, split))
-        self[part] = value
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        value = self[piece] = np.array([t.id for t in self.merge(letters)], "<u4").tobytes()
         return value
 
+    def latin(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, PIECES_OF.findall(text.lower())))
+
     def of(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        whole = text.decode("utf-8", "replace")
+        if not ODD.search(whole):
+            return self.latin(whole)
+        out = []
+        for part in text.split():
+            part = part.decode("utf-8", "replace")
+            if ODD.search(part):
+                out.append(np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes())
+            else:
+                out.append(self.latin(part))
+        return b"".join(out)
 
 
 def cuts(left: int, length: int) -> list[int]:
