@@ -16,21 +16,23 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, training, per_class: int, most_chars: int,
                     id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
-    """At most ``per_class`` whole texts of each label, in the order of a hash of their texts.
+    """At most ``per_class`` whole texts of each label, chosen by a hash of their texts.
 
     ``training(id column name)`` says which rows may be learned from. Only texts of at most
     ``most_chars`` characters are learned from, so the sample's size is bounded. Repeated
-    texts count once.
+    texts count once. The number of texts says which share of hash values is needed; only
+    their texts are joined with labels and sent to the driver, not every task's first ones.
     """
-    y = labels.select(F.col("doc_id").alias("__id"), F.col(label_col).alias("__y")).where("__y IN (0, 1)")
     known = docs.select(F.col(id_col).alias("__doc"), text_of(text_col).alias("__t")).where(training("__doc"))
-    rows = known.where(F.length("__t") <= most_chars).join(y, F.col("__doc") == F.col("__id"))
-    rows = rows.select("__t", "__y", F.xxhash64("__t").alias("__h"))
+    known = known.where(F.length("__t") <= most_chars).withColumn("__h", F.xxhash64("__t"))
     out = []
     for value in (0, 1):
-        # three times the bound before repeated texts are dropped; both are top-k, not a sort
-        top = rows.where(F.col("__y") == value).select("__t", "__h").dropDuplicates(["__h"]).orderBy("__h").limit(per_class)
-        out += [(r[0], value) for r in top.collect()]
+        of_label = labels.where(F.col(label_col) == value).select(F.col("doc_id").alias("__id"))
+        mine = F.col("__doc") == F.col("__id")
+        n = known.select("__doc", "__h").join(of_label, mine, "left_semi").agg(F.approx_count_distinct("__h")).first()[0]
+        share = known.where(F.pmod("__h", F.lit(max(1, n // per_class))) == 0)
+        rows = share.join(of_label, mine, "left_semi").dropDuplicates(["__h"]).select("__h", "__t").collect()
+        out += [(t, value) for _, t in sorted((r[0], r[1]) for r in rows)[:per_class]]
     return out
 
 
