@@ -8,8 +8,9 @@ empty in its own band, and probes H + 1 of them there and, if it can have partne
 the band below. Which ones it probes is decided by cost: signatures rare in the task's own
 documents first, then large segments, so frequent passages are passed over. Marked segments
 are indexed with their one-deletion neighbourhoods as well; checking one of them for "at most
-one difference" counts twice. A set that can't reach H + 1 (its elements fell into too few
-segments) is compared with all sets of fitting size.
+one difference" counts twice if it holds at least two elements: with one, the partner's can be
+empty, and empty segments have no signatures. A set that can't reach H + 1 (its elements fell
+into too few segments) is compared with all sets of fitting size.
 
 Signatures travel packed, by hash bucket. A signature with few sets gives all their pairs. One
 with many gives links to two hubs, and its sets are remembered: after the hub links are
@@ -122,7 +123,7 @@ class Signatures:
         twice = np.zeros(0, np.int64)
         short = np.flatnonzero(missing > 0)
         if len(short):
-            can = full[marked[full] & (missing[slot_view[full]] > 0)]
+            can = full[marked[full] & (count[full] > 1) & (missing[slot_view[full]] > 0)]
             can = can[np.lexsort((count[can], slot_view[can]))]
             at = np.arange(len(can)) - np.searchsorted(slot_view[can], slot_view[can])
             twice = can[at < missing[slot_view[can]]]

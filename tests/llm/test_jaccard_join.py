@@ -88,6 +88,21 @@ def test_pigeonhole_meets_every_similar_pair():
             assert 7 * int(np.bitwise_count((jaccard_join.sketch(base) ^ jaccard_join.sketch(other)).view(np.uint64)).sum()) <= len(base) + len(other)
 
 
+@pytest.mark.parametrize("larger, smaller, n", [(8, 6, 20_000), (16, 12, 5000), (20, 15, 2000)])
+def test_subsets_at_the_bound_meet(larger, smaller, n):
+    """A segment with one element isn't checked for two differences: the partner's may be empty."""
+    rng = np.random.default_rng(2)
+    sets = []
+    for _ in range(n):
+        base = rng.integers(0, 1 << 62, larger).astype(np.uint64)
+        sets += [np.sort(base), np.sort(base[:smaller])]
+    s = jaccard_join.Signatures(sets)
+    indexed = {(g, d) for g, d, i in zip(s.sig.tolist(), s.set.tolist(), s.index.tolist()) if i}
+    met = {d // 2 for g, d, p in zip(s.sig.tolist(), s.set.tolist(), s.probe.tolist()) if p and (g, d ^ 1) in indexed}
+    assert len(s.short) < n // 1000
+    assert met | {int(d) // 2 for d in s.short} == set(range(n))
+
+
 def test_kept_documents(docs, corpus):
     kept = jaccard_join.drop_near(docs)
     assert kept.columns == docs.columns
