@@ -94,8 +94,10 @@ def _keys():
 LETTERS, DIGITS, WHITE = "a-zA-Z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", "\\t-\\r \u0085\u00a0"
 #: The tokenizer's pattern for lower-cased Latin text.
 PIECES_OF = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{WHITE}{LETTERS}{DIGITS}]+")
+#: Letters whose small forms lie outside that range.
+FAR = "".join(chr(c) for c in range(0x250) if max(chr(c).lower()) > "\u024f")
 #: What is left to the tokenizer: other scripts, and what could be a special token.
-ODD = re.compile("[\u0130\u0250-\U0010ffff]|<\\|")
+ODD = re.compile(f"[{FAR}\u0250-\U0010ffff]|<\\|")
 
 
 def byte_letters() -> dict[int, str]:
@@ -125,7 +127,7 @@ class Tokens(dict):
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= self.limit:
             self.clear()
-        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        letters = piece.encode().decode("latin-1").translate(self.letters)  # ASCII control characters have letters too
         value = self[piece] = np.array([t.id for t in self.merge(letters)], "<u4").tobytes()
         return value
 

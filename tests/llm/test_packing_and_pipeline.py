@@ -59,6 +59,13 @@ def test_parts_between_white_space_tokenize_alone():
         assert np.frombuffer(tokens.of(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_every_latin_code_point_has_its_tokens():
+    tokenizer, tokens = Tokenizer.from_file(PATH), curve_packing.Tokens(PATH)
+    for code in range(0x250):
+        for text in (chr(code), f"!{chr(code)}!", f"a{chr(code)}b 1{chr(code)}{chr(code)}[", f"{chr(code)} x"):
+            assert np.frombuffer(tokens.of(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, (code, text)
+
+
 def test_hilbert_neighbours():
     side = 8
     cells = np.array([[a, b, c] for a in range(side) for b in range(side) for c in range(side)])
