@@ -1,8 +1,8 @@
 """License scans in Spark's own functions: MinHash bands find templates, containment verifies.
 
 A text's words (runs of letters and digits, A-Z lower-cased) give three-word shingles as
-64-bit hashes. Windows of shingles, twice as long as a template and overlapping by half, are
-compared with templates by the minima of several hash functions (bands of one row). A template
+64-bit hashes. Windows of shingles, two to four times as long as a template and overlapping by half,
+are compared with templates by the minima of several hash functions (bands of one row). A template
 of which a share lies in a text lies with that share in one of its windows, whose similarity
 to the template is then known from below; the number of bands follows from it and from the
 wanted probability of a collision. A window without any shingle of any template can't collide
@@ -50,9 +50,9 @@ TEMPLATES = {
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def bands(share: float = CONTAINMENT, miss: float = MISS) -> int:
-    """Bands of one row that find a template of which ``share`` lies in a window twice its size."""
-    similarity = share / (2 + (1 - share))
+def bands(share: float = CONTAINMENT, miss: float = MISS, longer: float = 2) -> int:
+    """Bands of one row that find a template of which ``share`` lies in a window ``longer`` times its size."""
+    similarity = share / (longer + (1 - share))
     return math.ceil(math.log(miss) / math.log(1 - similarity))
 
 
@@ -74,9 +74,10 @@ def template_frame(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     return t.withColumn("span", F.pow(F.lit(2), F.ceil(F.log2(2.0 * F.size("t")))).cast("int"))
 
 
-def minima(s, n: int):
-    """One (band, smallest hash) per hash function."""
-    return F.array(*[F.struct(F.lit(k).alias("band"), F.array_min(F.transform(s, lambda x: F.xxhash64(x, F.lit(k)))).alias("low")) for k in range(n)])
+def minima(s, n):
+    """One (band, smallest hash) for each of the hash functions 0 … n - 1."""
+    return F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.struct(
+        k.alias("band"), F.array_min(F.transform(s, lambda x: F.xxhash64(x, k))).alias("low")))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, share: float = CONTAINMENT, miss: float = MISS,
@@ -89,10 +90,13 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, share: float
     here. NULL, empty and very short texts hold no license. The templates are an argument of
     the call, not data: their number and size bound what is sent to the tasks.
     """
-    spark, n = docs.sparkSession, bands(share, miss)
+    spark = docs.sparkSession
     known = template_frame(spark, templates or TEMPLATES)
     made = known.collect()
-    spans = sorted({r["span"] for r in made})
+    # a window has the bands that the shortest template of its span needs
+    spans = {r["span"]: 0 for r in sorted(made, key=lambda r: r["span"])}
+    for r in made:
+        spans[r["span"]] = max(spans[r["span"]], bands(share, miss, r["span"] / len(r["t"])))
     marks = sorted({x for r in made for x in r["t"]})
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), words(text_of(text_col)).alias("w"))
     # the row number keeps the filter below from being evaluated on the text once more
@@ -100,15 +104,16 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, share: float
     hit = F.filter(F.transform("s", lambda x, i: F.when(x.isin(marks), i)), lambda i: i.isNotNull())
     rows = rows.withColumn("hits", hit).where(F.size("hits") > 0)
     # windows [k * span / 2, k * span / 2 + span) around hits: a hit lies in at most two of a span
-    parts = []
-    for span in spans:
+    parts, n_bands = [], F.lit(0)
+    for span, n in spans.items():
+        n_bands = F.when(F.col("span") == span, n).otherwise(n_bands)
         half = span // 2
         at = F.array_distinct(F.flatten(F.transform("hits", lambda i: F.array(F.floor(i / half), F.greatest(F.floor(i / half) - 1, F.lit(0))))))
         parts.append(F.transform(at, lambda k: F.struct(F.lit(span).alias("span"), (k * half).cast("int").alias("start"))))
     windows = rows.select("doc_id", "row", "s", F.explode(F.concat(*parts)).alias("w")).select(
         "doc_id", "row", "w.span", "w.start", F.array_distinct(F.slice("s", F.col("w.start") + 1, F.col("w.span"))).alias("win"))
-    keyed = windows.withColumn("m", F.explode(minima(F.col("win"), n))).select("doc_id", "row", "span", "start", "win", "m.band", "m.low")
-    wanted = known.select("license", "t", F.col("span").alias("t_span"), F.explode(minima(F.col("t"), n)).alias("m")).select(
+    keyed = windows.withColumn("m", F.explode(minima(F.col("win"), n_bands))).select("doc_id", "row", "span", "start", "win", "m.band", "m.low")
+    wanted = known.select("license", "t", F.col("span").alias("t_span"), F.explode(minima(F.col("t"), n_bands)).alias("m")).select(
         "license", "t", "t_span", F.col("m.band").alias("t_band"), F.col("m.low").alias("t_low"))
     # templates are arguments: a fixed number of rows
     met = keyed.join(F.broadcast(wanted), (F.col("span") == F.col("t_span")) & (F.col("band") == F.col("t_band")) & (F.col("low") == F.col("t_low")))

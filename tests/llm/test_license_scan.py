@@ -1,5 +1,8 @@
+import math
 import re
 
+from pyspark.sql import functions as F
+
 from changemill.llm import license_scan
 from llm_cases import lower
 
@@ -42,6 +45,21 @@ def test_bands_follow_from_the_wanted_probability():
     assert (1 - 0.8 / 2.2) ** n <= 1e-6 < (1 - 0.8 / 2.2) ** (n - 1)
 
 
+def test_bands_fit_every_template(spark, monkeypatch):
+    """Each template has the bands that its window's real length asks for."""
+    used = []
+    monkeypatch.setattr(license_scan, "minima", lambda s, n, make=license_scan.minima: used.append(n) or make(s, n))
+    templates = {**license_scan.TEMPLATES, "seventeen": " ".join(f"t{i}" for i in range(19))}
+    license_scan.scan(spark.createDataFrame([(1, "a b c")], "doc_id long, text string"), templates)
+    rows = license_scan.template_frame(spark, templates).select("license", "span", "t", *[(n if hasattr(n, "cast") else F.lit(n)).alias(f"n{k}") for k, n in enumerate(used)]).collect()
+    assert len(used) == 2 and len(rows) == len(templates)
+    for r in rows:
+        t = len(r["t"])
+        least = math.ceil(license_scan.CONTAINMENT * t)
+        similarity = least / (r["span"] + t - least)
+        assert (1 - similarity) ** min(r["n0"], r["n1"]) <= license_scan.MISS, r["license"]
+
+
 def test_no_python_in_the_plan(docs):
     plan = license_scan.scan(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
