@@ -1,6 +1,7 @@
 """Toxicity: a lexicon learned from labels, matched by Levenshtein automata, weighed by context.
 
-The lexicon holds whole terms and stems (beginnings with any ending). Its trie is intersected
+The lexicon holds whole terms and stems (beginnings with any ending), and beside a stem the
+whole terms that begin with it. Its trie is intersected
 with the Levenshtein automaton of distance one: a state is the set of trie places a word can
 have reached with its edits so far, made deterministic as words meet it. Misspelled terms are
 thus found by one walk along a word. The words around a hit tell abuse from quotation: a hit
@@ -32,7 +33,12 @@ REPORTS = frozenset(
     "dit écrit appelé mot terme sagte sagt schrieb nannte wort dijo dice escribió llamó palabra".split()
 )
 WINDOW = 4  # words looked at on each side
-FUZZY_FROM = 5  # terms of so many characters may be misspelled
+FUZZY_FROM = 4  # terms of so many characters may be misspelled
+FUZZY_STEM_FROM = 5  # and stems of so many; shorter ones have their whole terms beside them
+
+
+def may_err(term: str, is_stem: bool) -> bool:
+    return len(term) >= (FUZZY_STEM_FROM if is_stem else FUZZY_FROM)
 
 
 class Lexicon:
@@ -45,7 +51,7 @@ class Lexicon:
         self.stem: list[int | None] = [None]
         self.fuzzy: list[bool] = [False]  # does a term that may be misspelled lie below
         for k, (term, is_stem) in enumerate(terms):
-            node, loose = 0, not is_stem and len(term) >= FUZZY_FROM
+            node, loose = 0, may_err(term, is_stem)
             self.fuzzy[0] |= loose
             for c in term:
                 if c not in self.children[node]:
@@ -59,6 +65,7 @@ class Lexicon:
             (self.stem if is_stem else self.whole)[node] = k
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
+        self.stems: list[tuple[int | None, int | None]] = []  # the stem that ends there without and with an edit
         self.steps: list[dict[str, int]] = []
         self.start = self.state(self.closed({(0, 0)}))
         self.seen: dict[str, tuple[int, int] | None] = {}
@@ -76,6 +83,10 @@ class Lexicon:
             self.states[places] = len(self.sets)
             self.sets.append(places)
             self.steps.append({})
+            ends = sorted((self.stem[node], e) for node, e in places if self.stem[node] is not None)
+            self.stems.append((
+                next((k for k, e in ends if e == 0), None),
+                next((k for k, e in ends if e == 1 and may_err(*self.terms[k])), None)))
         return self.states[places]
 
     def step(self, s: int, c: str) -> int:
@@ -95,24 +106,26 @@ class Lexicon:
         return to
 
     def match(self, word: str) -> tuple[int, int] | None:
-        """(term, edits) of the best match: exact, then stem, then misspelled."""
-        s, found = self.start, None
+        """(term, edits) of the best match: exact, then stem, then misspelled, then misspelled stem."""
+        s, found, erred = self.start, None, None
         for c in word:
             to = self.steps[s].get(c)
             s = self.step(s, c) if to is None else to
             if s < 0:
-                return found
-            for node, e in self.sets[s]:
-                if e == 0 and self.stem[node] is not None:
-                    found = (self.stem[node], 0)
+                return found or erred
+            exact, loose = self.stems[s]
+            if exact is not None:
+                found = (exact, 0)
+            if loose is not None:
+                erred = (loose, 1)
         best = found
         for node, e in sorted(self.sets[s]):
             k = self.whole[node]
-            if k is not None and (e == 0 or (len(self.terms[k][0]) >= FUZZY_FROM and best is None)):
+            if k is not None and (e == 0 or (may_err(*self.terms[k]) and best is None)):
                 best = (k, e)
                 if e == 0:
                     break
-        return best
+        return best or erred
 
     def lookup(self, word: str) -> tuple[int, int] | None:
         try:
@@ -184,12 +197,13 @@ def learn_terms(toxic: list[str], clean: list[str], most: int = 512) -> list[tup
         chosen.append(best)
         left -= have[best]
         gain.pop(best)
-    # what occurs in many texts beside the chosen forms is a term too, if no chosen form covers it
+    # what occurs in many texts beside the chosen forms is a term too, and so are all terms of
+    # a chosen stem: their misspellings can lie beyond the stem or make it too short
     stems = tuple(f for f, is_stem in chosen if is_stem)
     for f, n in sorted(good.items(), key=lambda x: (-x[1], x[0])):
-        if len(chosen) >= most or n < max(least, len(toxic) // 50):
+        if len(chosen) >= most:
             break
-        if f not in chosen and not f[1] and not (stems and f[0].startswith(stems)):
+        if f not in chosen and not f[1] and (n >= max(least, len(toxic) // 50) or f[0].startswith(stems)):
             chosen.append(f)
     return chosen
 
@@ -215,8 +229,10 @@ def fit(sample: list[tuple[str, int]], quoted_weight: float = 0.3) -> dict:
     lexicon = Lexicon(terms)
     found = [(hits(lexicon, t), len(t), y) for t, y in sample]
     n = np.full((len(terms) + 1, 2, 2), 0.25)
+    # a whole term stands for its stem too, else a stem beside its terms would have no texts
+    above = [[k for k, (stem, is_stem) in enumerate(terms) if is_stem and not whole_is_stem and term.startswith(stem)] for term, whole_is_stem in terms]
     for hs, _, y in found:
-        for term, edits in {(t, e) for t, e, _ in hs}:
+        for term, edits in {(t, e) for t, e, _ in hs} | {(k, 0) for t, e, _ in hs if e == 0 for k in above[t]}:
             n[term, edits, y] += 1
     odds = np.log(n[:, :, 1] / (len(toxic) + 0.5)) - np.log(n[:, :, 0] / (len(clean) + 0.5))
     weights = np.clip(odds, 0, 6)

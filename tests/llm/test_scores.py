@@ -87,6 +87,35 @@ def test_automaton_equals_edit_distance():
             assert got is None
 
 
+def test_stems_and_short_terms_may_be_misspelled():
+    rng = random.Random(5)
+    terms = [("abcab", True), ("cacb", False), ("bcba", True)]
+    lexicon = toxicity.Lexicon(terms)
+    for _ in range(4000):
+        w = "".join(rng.choice("abc") for _ in range(rng.randrange(1, 9)))
+        ends = [w[:n] for n in range(len(w) + 1)]
+        exact = [k for k, (t, stem) in enumerate(terms) if (w.startswith(t) if stem else w == t)]
+        near = [1] if edits(w, "cacb") == 1 else [0] if min(edits(x, "abcab") for x in ends) == 1 else []
+        got = lexicon.match(w)
+        if exact:
+            assert got[0] in exact and got[1] == 0, w
+        else:
+            assert got == ((near[0], 1) if near else None), w
+
+
+def test_misspelled_members_of_a_stem_family_are_found():
+    rng = random.Random(6)
+    endings = ["a", "on", "um", "ierte", "ix", "orra"]
+    toxic = [" ".join([f"w{rng.randrange(200)}" for _ in range(30)] + [rng.choice(["vexil" + rng.choice(endings), "scum"])]) for _ in range(400)]
+    clean = [" ".join(f"w{rng.randrange(200)}" for _ in range(30)) for _ in range(400)]
+    model = toxicity.fit([(t, 1) for t in toxic] + [(t, 0) for t in clean])
+    assert {("vexil", True), ("vexilierte", False)} <= set(model["terms"])
+    lexicon = toxicity.Lexicon(model["terms"])
+    for word in ("vxilon", "vexxilum", "bexilorra", "vexiliert", "exila", "skum", "scuum", "scm"):
+        x = toxicity.features(toxicity.hits(lexicon, f"w1 w2 w3 {word} w4 w5 w6"), model["weights"], model["quoted"], 30)
+        assert toxicity.fitting.score_logistic(model["curve"], toxicity.np.array([x]))[0] >= 0.5, word
+
+
 def test_quotation_counts_less():
     lexicon = toxicity.Lexicon([("grumbol", False)])
     assert toxicity.hits(lexicon, 'they called him "grumbol" there') == [(0, 0, True)]
