@@ -122,3 +122,21 @@ def arrow_type(kind: str) -> pa.DataType:
 def arrow_schema(ddl: str) -> pa.Schema:
     """The Arrow form of a flat ``name type, …`` schema."""
     return pa.schema([(n, arrow_type(t)) for n, t in (f.split() for f in ddl.split(","))])
+
+
+def rows_of(batches):
+    """The rows of Arrow batches as tuples, one batch held at a time."""
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+
+def batches_of(rows, schema: pa.Schema, size: int = 2048):
+    """Tuples as Arrow batches of at most ``size`` rows."""
+    held = []
+    for r in rows:
+        held.append(r)
+        if len(held) >= size:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changemill.llm.common import settled
+from changemill.operators.joins import spread
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -14,7 +15,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("__a"), F.least("a", "m").alias("m"))
     # the frame with the many rows is the left side, so that a node with many links can be split
-    linked = both.join(least, F.col("a") == F.col("__a"))
+    linked = both.join(spread(least), F.col("a") == F.col("__a"))
     if large:
         return linked.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
     inner = linked.select(F.col("b").alias("a"), F.col("m").alias("b"))

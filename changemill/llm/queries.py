@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changemill.llm import curve_packing, exact_dedup, gru_lm, jaccard_join, license_scan, mixing, quality_zstd, recompression, repetition, toxicity
+from changemill.llm import (
+    conversation_repair,
+    curve_packing,
+    exact_dedup,
+    gru_lm,
+    jaccard_join,
+    license_scan,
+    merkle_manifest,
+    mixing,
+    oracles,
+    quality_zstd,
+    recompression,
+    repetition,
+    simhash_join,
+    toxicity,
+)
 from changemill.llm.common import LOWER, UPPER, WORD, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -114,3 +129,19 @@ def op10_license_scan(spark, sf_dir):
 def op4_gru_lm(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return gru_lm.score(docs, *gru_lm.train(docs))
+
+
+@query("op11_simhash_grid", oracles.SIMHASH_SQL)
+def op11_simhash_grid(spark, sf_dir):
+    return simhash_join.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op12_merkle_manifest", oracles.MERKLE_SQL)
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+@query("op13_conversation_repair", oracles.REPAIR_SQL)
+def op13_conversation_repair(spark, sf_dir):
+    conv = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damage(conv), conv)
