@@ -128,9 +128,9 @@ def test_equal_hashes_are_checked(monkeypatch):
 
 
 def test_shared_prefixes():
-    """Audits of a conversation are few nodes: one for each row and state."""
+    """Four audits of 500 labels are two chains: all deleted, and the rest on one stem."""
     now = {repair.NOTHING: (0, repair.Audit(None, ""))}
     for k in range(500):
         now = repair.step(now, "ua"[k % 2], repair.WHOLE)
     seen = {id(x) for _, audit in now.values() for x in audit.labels()}
-    assert len(seen) < 520
+    assert len(seen) < 1020
