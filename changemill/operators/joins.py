@@ -18,6 +18,7 @@ from changemill.functions.columns import col
 _KEY = "__mill_k{}"
 _VALUE = "__mill_v{}"
 _HIT = "__mill_hit"
+_TWICE = "__mill_twice"
 
 
 def key_side(rows: DataFrame, keys: list[str]) -> list[Column]:
@@ -43,10 +44,32 @@ def matching(t: DataFrame, rows: DataFrame, keys: list[str], null_safe: bool = T
     return t.join(rows.select(*key_side(rows, keys)), key_test(keys, null_safe), "left_semi")
 
 
-def without(t: DataFrame, rows: DataFrame, keys: list[str], null_safe: bool = True) -> DataFrame:
-    """Rows of ``t`` that have no row with the same key in ``rows``."""
+def without(t: DataFrame, rows: DataFrame, keys: list[str], null_safe: bool = True, once: bool = False) -> DataFrame:
+    """Rows of ``t`` that have no row with the same key in ``rows``.
+
+    ``once``: a row of ``t`` that has several fails the job. The keys of ``rows`` are counted
+    for that; ``t`` is joined once as before.
+    """
     _need(keys)
-    return t.join(rows.select(*key_side(rows, keys)), key_test(keys, null_safe), "left_anti")
+    if not once:
+        return t.join(rows.select(*key_side(rows, keys)), key_test(keys, null_safe), "left_anti")
+    met = rows.groupBy(*key_side(rows, keys)).agg((F.count(F.lit(1)) > 1).alias(_TWICE))
+    joined = t.join(spread(met), key_test(keys, null_safe), "left")
+    return joined.filter(F.when(F.col(_TWICE), _several()).otherwise(F.col(_TWICE).isNull())).select(*[col(c) for c in t.columns])
+
+
+def _several() -> Column:
+    return F.raise_error(F.lit("several change rows for one key of the target")).cast("boolean")
+
+
+def repeated(rows: DataFrame, by: list[str]) -> DataFrame:
+    """``rows`` with a mark on those whose values in ``by`` occur several times, else NULL.
+
+    Usually none does: the join then has nothing on its right side and is left out at run time.
+    """
+    twice = rows.groupBy(*key_side(rows, by)).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+    twice = twice.select(*[_KEY.format(i) for i in range(len(by))], F.lit(True).alias(_TWICE))
+    return spread(rows.join(twice, key_test(by, True), "left").select(*[col(c) for c in rows.columns], _TWICE))
 
 
 def update_from(
@@ -60,19 +83,24 @@ def update_from(
 ) -> DataFrame:
     """Set ``cols`` of every target row from the row of ``rows`` with its key.
 
-    ``rows`` must hold a key once. ``drop`` is a condition on ``rows`` that deletes the
+    ``rows`` must hold a key once, or come from ``repeated``: then a target row that meets a
+    marked row fails the job, and marked rows that meet nothing do no harm. ``drop`` is a condition on ``rows`` that deletes the
     matched target row. Key columns keep the target's value: it is equal by the match, and
     leaving it untouched keeps the partitioning of the join for a following step.
     """
     _need(keys)
     cols = [c for c in cols if c not in keys]
     hit = F.lit(1) if drop is None else F.when(drop, 2).otherwise(1)
+    marked = _TWICE in rows.columns
     side = rows.select(
         *key_side(rows, keys),
         *[col(c).alias(_VALUE.format(i)) for i, c in enumerate(cols)],
         hit.alias(_HIT),
+        *[_TWICE] * marked,
     )
     joined = t.join(side, key_test(keys, null_safe), "left")
+    if marked:
+        joined = joined.filter(F.when(F.col(_TWICE), _several()).otherwise(F.lit(True)))
     if drop is not None:
         joined = joined.filter(F.coalesce(F.col(_HIT), F.lit(1)) != 2)
     types = {f.name: f.dataType for f in t.schema.fields}

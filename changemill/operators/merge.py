@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from changemill.functions.columns import col
 from changemill.operators.changes import latest, row_changes
 from changemill.operators.joins import (
+    _TWICE,
     align,
     append,
     fail_if,
@@ -25,6 +26,7 @@ from changemill.operators.joins import (
     matching,
     missing,
     one_row_per_key,
+    repeated,
     replace,
     spread,
     update_from,
@@ -47,24 +49,18 @@ def _keys_of(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*[col(k) for k in keys])
 
 
-def _upsert(t, live, keys, null_safe, unique_keys):
+def _checked(rows: DataFrame, by: list[str], check: bool) -> DataFrame:
+    return repeated(rows, by) if check else rows
+
+
+def _upsert(t, live, keys, null_safe, unique_keys, check):
     """Write the rows of ``live`` over the rows with their key."""
     if _replaces(t, live, unique_keys):
-        return append(without(t, live, keys, null_safe), live)
-    kept = update_from(t, live, keys, _shared(t, live), null_safe)
+        return append(without(t, live, keys, null_safe, once=check), live)
+    kept = update_from(t, _checked(live, keys, check), keys, _shared(t, live), null_safe)
     return append(kept, missing(live, t, keys, null_safe))
 
 
-def _unambiguous(out: DataFrame, rows: DataFrame, keys: list[str], null_safe: bool, check: bool) -> DataFrame:
-    """``out``, or a failing job if ``rows`` holds a key twice: an aggregate on the change
-    set's keys alone. Without ``null_safe`` a NULL key matches nothing, so it may repeat."""
-    if not check:
-        return out
-    known = rows if null_safe else rows.filter(_known(keys))
-    twice = known.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("n_changes")).filter("n_changes > 1")
-    return fail_if(out, twice, "several change rows for one key")
-
-
 def merge_hard(
     t: DataFrame,
     b: DataFrame,
@@ -77,17 +73,16 @@ def merge_hard(
     """Matched deletes remove the row, other matches set all columns, unmatched rows that
     are no deletes are inserted and unmatched deletes are ignored.
 
-    ``unique_keys=False`` updates every duplicate of a target key. A change set that holds a
-    key twice fails the job; ``check=False`` is for one that can't.
+    ``unique_keys=False`` updates every duplicate of a target key. A target row that several
+    change rows match fails the job; of several rows with a key that the target lacks all are
+    inserted or ignored. ``check=False`` is for a set that holds a key once.
     """
     rows = row_changes(b, op_col).filter(col(op_col).isNotNull())
     live = rows.filter(col(op_col) != Op.DELETE)
     if _replaces(t, b, unique_keys):
-        out = append(without(t, rows, keys, null_safe), live)
-    else:
-        kept = update_from(t, rows, keys, _shared(t, b), null_safe, drop=col(op_col) == Op.DELETE)
-        out = append(kept, missing(live, t, keys, null_safe))
-    return _unambiguous(out, rows, keys, null_safe, check)
+        return append(without(t, rows, keys, null_safe, once=check), live)
+    kept = update_from(t, _checked(rows, keys, check), keys, _shared(t, b), null_safe, drop=col(op_col) == Op.DELETE)
+    return append(kept, missing(live, t, keys, null_safe))
 
 
 def merge_key_change(
@@ -157,12 +152,12 @@ def merge_then_insert(
 ) -> DataFrame:
     """Merge deletes and updates, then append every insert without a look-up.
 
-    Unmatched updates are dropped. Not repeatable: applying a set twice inserts twice. Two
-    deletes or updates of one key fail the job (``check``).
+    Unmatched updates are dropped. Not repeatable: applying a set twice inserts twice. A target
+    row that several deletes or updates match fails the job (``check``).
     """
     rows = row_changes(b, op_col).filter(col(op_col) != Op.INSERT)
-    kept = update_from(t, rows, keys, _shared(t, b), null_safe, drop=col(op_col) == Op.DELETE)
-    return _unambiguous(append(kept, b.filter(col(op_col) == Op.INSERT)), rows, keys, null_safe, check)
+    kept = update_from(t, _checked(rows, keys, check), keys, _shared(t, b), null_safe, drop=col(op_col) == Op.DELETE)
+    return append(kept, b.filter(col(op_col) == Op.INSERT))
 
 
 def merge_soft(
@@ -177,22 +172,22 @@ def merge_soft(
 ) -> DataFrame:
     """Soft delete in two passes: flagged rows update their match, then live rows upsert.
 
-    A key that is deleted and inserted again in one set ends alive. Two flagged or two live
-    rows of one key fail the job (``check``).
+    A key that is deleted and inserted again in one set ends alive. A target row that several
+    flagged or several live rows match fails the job (``check``).
     """
     rows = row_changes(b, op_col)
     cols = _shared(t, b)
     dead = rows.filter(col(flag_col) == 1)
     live = rows.filter(col(flag_col) == 0)
     if _replaces(t, b, unique_keys):
-        out = append(without(update_from(t, dead, keys, cols, null_safe), live, keys, null_safe), live)
-        return _unambiguous(out, rows.filter(col(flag_col).isin(0, 1)), [*keys, flag_col], null_safe, check)
+        kept = update_from(t, _checked(dead, keys, check), keys, cols, null_safe)
+        return append(without(kept, live, keys, null_safe, once=check), live)
     # one join with the target, so that a key it repeats often can be split: the live row
     # of a key hides its flagged one
-    last = latest(dead.unionByName(live).withColumn("__mill_low", -col(flag_col)), keys, ["__mill_low"])
+    both = _checked(dead.unionByName(live), [*keys, flag_col], check).withColumn("__mill_low", -col(flag_col))
+    last = latest(both, keys, [*[c for c in both.columns if c == _TWICE], "__mill_low"])
     kept = update_from(t, last, keys, cols, null_safe)
-    out = append(kept, missing(live, t, keys, null_safe))
-    return _unambiguous(out, rows.filter(col(flag_col).isin(0, 1)), [*keys, flag_col], null_safe, check)
+    return append(kept, missing(live, t, keys, null_safe))
 
 
 def merge_soft_nokey(
@@ -224,14 +219,15 @@ def merge_plain(
     unique_keys: bool = True,
     check: bool = True,
 ) -> DataFrame:
-    """Merge by plain key equality: a NULL key never matches, any other may occur once (``check``).
+    """Merge by plain key equality: a NULL key never matches, and a target row may match one
+    change row (``check``).
 
     ``soft=True`` has no deletes: matched rows are updated, unmatched ones inserted.
     ``insert_unmatched_deletes=True`` also writes a delete that matches nothing.
     """
     if soft:
         rows = row_changes(b, op_col)
-        return _unambiguous(_upsert(t, rows, keys, False, unique_keys), rows, keys, False, check)
+        return _upsert(t, rows, keys, False, unique_keys, check)
     out = merge_hard(t, b, keys, op_col, null_safe=False, unique_keys=unique_keys, check=check)
     if insert_unmatched_deletes:
         gone = b.filter(col(op_col) == Op.DELETE)
@@ -262,7 +258,7 @@ def apply_update_insert(
 ) -> DataFrame:
     """Soft-delete apply as update-from, then insert where no row exists.
 
-    Two rows of one key fail the job (``check``).
+    A target row that several rows match fails the job (``check``).
 
     Without a target the change set becomes the target. With ``unused_keys`` only codes
     above 0 update and insert, and deletes with an incomplete key set the flag.
@@ -271,13 +267,13 @@ def apply_update_insert(
         return b
     cols = [c for c in _shared(t, b) if c != op_col]
     rows = b.filter(col(op_col) > 0) if unused_keys else b
-    out = update_from(t, rows, keys, cols, null_safe=False)
+    out = update_from(t, _checked(rows, keys, check), keys, cols, null_safe=False)
     if unused_keys:
         from changemill.operators.partial import multi_delete_flag
 
         out = multi_delete_flag(out, b, keys, unused_keys, flag_col, op_col)
     fresh = missing(rows, t, keys, null_safe=False)
-    return _unambiguous(append(out, fresh.select(*[col(c) for c in cols])), rows, keys, False, check)
+    return append(out, fresh.select(*[col(c) for c in cols]))
 
 
 def apply_files_in_order(

@@ -85,6 +85,45 @@ def test_ambiguous_new_keys_are_inserted_twice(spark, rows):
     assert rows(merge.merge_key_change(t, b, ["k"])) == [(1, "a"), (2, "x"), (2, "y")]
 
 
+def _merges():
+    """Every merge that fails where a target row meets several change rows."""
+    for unique in (True, False):
+        yield f"hard {unique}", lambda t, b, u=unique: merge.merge_hard(t, b, ["k"], unique_keys=u)
+        yield f"soft {unique}", lambda t, b, u=unique: merge.merge_soft(t, b, ["k"], unique_keys=u)
+        yield f"plain {unique}", lambda t, b, u=unique: merge.merge_plain(t, b, ["k"], unique_keys=u)
+        yield f"plain soft {unique}", lambda t, b, u=unique: merge.merge_plain(t, b, ["k"], soft=True, unique_keys=u)
+    yield "split", lambda t, b: merge.merge_then_insert(t, b, ["k"])
+    yield "update insert", lambda t, b: merge.apply_update_insert(t, b, ["k"])
+
+
+@pytest.mark.parametrize("name", [n for n, _ in _merges()])
+def test_repeated_change_keys(spark, rows, name):
+    """Two rows of a key fail only where a target row meets both."""
+    fn = dict(_merges())[name]
+    t = spark.createDataFrame([(1, "a", 0), (None, "n", 0)], "k int, v string, is_deleted int")
+    new = spark.createDataFrame([(2, "x", 2, 0), (2, "y", 2, 0), (3, "p", 0, 1), (3, "q", 0, 1), (1, "A", 2, 0)], B)
+    out = rows(fn(t, new).select("k", "v"))
+    assert (1, "A") in out and (None, "n") in out
+    added = [r for r in out if r[0] in (2, 3)]
+    if name == "split":
+        assert added == []
+    elif name == "update insert" or "plain soft" in name:
+        assert added == [(2, "x"), (2, "y"), (3, "p"), (3, "q")]
+    else:
+        assert added == [(2, "x"), (2, "y")]
+    for twice in ([(1, "x", 2, 0), (1, "y", 2, 0)], [(1, "x", 0, 1), (1, "y", 0, 1), (1, "z", 2, 0)]):
+        with pytest.raises(Exception, match="several change rows"):
+            fn(t, spark.createDataFrame(twice, B)).collect()
+
+
+def test_checked_merge_reads_the_target_once(spark, tmp_path):
+    spark.range(100).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("v")).write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    b = spark.createDataFrame([(1, "A", 2, 0)], B)
+    plan = merge.merge_hard(t, b, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+
+
 def test_split_inserts(spark, rows):
     t, b = frames(spark, [(1, "a"), (2, "b")], [(1, "A", 2, 0), (2, "", 0, 1), (3, "n", 1, 0), (4, "lost", 2, 0)])
     once = merge.merge_then_insert(t, b, ["k"])
