@@ -12,7 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from changemill.plans.integrate import integrate
+from changemill.sinks.message_log import FORMAT as MESSAGES
+from changemill.sinks.message_log import MessageLog
 from changemill.sinks.snapshots import SnapshotTable
+from changemill.sources.cycle_source import FORMAT as CYCLES
+from changemill.sources.cycle_source import CycleSource
 from changemill.spec import ApplySpec
 
 
@@ -28,6 +32,19 @@ def staged_stream(
     return r.load(folder)
 
 
+def cycle_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
+    """Staged cycles as a stream: each is offered once its manifest and all its files are there."""
+    spark.dataSource.register(CycleSource)
+    return spark.readStream.format(CYCLES).schema(schema).load(folder)
+
+
+def message_stream(source: DataFrame, path: str, checkpoint: str, tag: str = "", once: bool = True) -> StreamingQuery:
+    """Send every micro-batch to a message log; a batch is committed once, whatever is repeated."""
+    source.sparkSession.dataSource.register(MessageLog)
+    w = source.writeStream.format(MESSAGES).option("checkpointLocation", checkpoint).option("tag", tag)
+    return (w.trigger(availableNow=True) if once else w).start(path)
+
+
 def _start(source: DataFrame, name: str, checkpoint: str, each, once: bool) -> StreamingQuery:
     w = source.writeStream.queryName(name).foreachBatch(each).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if once else w).start()
