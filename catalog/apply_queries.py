@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from catalog.fixtures import (
     BAG,
     BAG_CHANGES,
+    BAG_ORDER_CHANGES,
+    BAG_ORDERS,
     CHANGES,
     CHANGES_KEY,
     CHANGES_NULL,
@@ -21,6 +23,7 @@ from catalog.fixtures import (
     ctes,
     frame,
     plain,
+    scratch,
     table,
 )
 from catalog.registry import query
@@ -28,6 +31,7 @@ from changemill.operators import changes, keyed, merge, partial
 from changemill.operators.joins import align
 from changemill.plans import integrate as plans
 from changemill.plans import refresh
+from changemill.sinks.files import write_touched
 from changemill.spec import ApplySpec
 
 KEY = ["o_orderkey"]
@@ -305,6 +309,55 @@ def apply_counts(spark, sf):
     return merge.apply_counts(t, b, KEY)
 
 
+OUTER_COUNTS = TB + """
+SELECT action, count(*) AS n_rows FROM (
+  SELECT CASE WHEN op_type = 0 THEN 'deleted' ELSE 'updated' END AS action FROM t JOIN b ON t.o_orderkey = b.o_orderkey
+  UNION ALL SELECT 'inserted' FROM b WHERE op_type <> 0 AND NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = b.o_orderkey)) x GROUP BY action"""
+
+
+@query("apply_counts_written", OUTER_COUNTS)
+def apply_counts_written(spark, sf):
+    """Counts taken while the merged target is written: no second join."""
+    t, b = _tb(spark, sf)
+    counts = merge.ApplyCounts()
+    merge.merge_hard(t, b, KEY, counts=counts).write.parquet(scratch(spark, "counted"))
+    return counts.frame(spark)
+
+
+@query("apply_counts_outer", OUTER_COUNTS)
+def apply_counts_outer(spark, sf):
+    t, b = _tb(spark, sf)
+    counts = merge.ApplyCounts()
+    merge.merge_outer(t, b, KEY, counts=counts).write.parquet(scratch(spark, "counted"))
+    return counts.frame(spark)
+
+
+@query("merge_outer_dup_targets", ctes(t=BAG_ORDERS, b=BAG_ORDER_CHANGES) + """
+SELECT t.o_custkey, CASE WHEN b.o_custkey IS NULL THEN t.o_orderstatus ELSE b.o_orderstatus END AS o_orderstatus, t.o_totalprice
+FROM t LEFT JOIN b ON t.o_custkey IS NOT DISTINCT FROM b.o_custkey WHERE b.o_custkey IS NULL OR b.op_type <> 0
+UNION ALL SELECT b.o_custkey, b.o_orderstatus, NULL FROM b WHERE op_type <> 0 AND NOT EXISTS (SELECT 1 FROM t WHERE t.o_custkey = b.o_custkey)""")
+def merge_outer_dup_targets(spark, sf):
+    """A customer's orders share one key, and the price is the target's own column."""
+    t, b = frame(spark, sf, BAG_ORDERS), frame(spark, sf, BAG_ORDER_CHANGES)
+    return merge.merge_outer(t, b, ["o_custkey"])
+
+
+_PARTS = f"SELECT {COLS} FROM ({ORDERS}) o"
+
+
+@query("merge_partition_stable", ctes(t=_PARTS, b=f"SELECT * FROM ({CHANGES}) c WHERE o_orderpriority IN ('1-URGENT', '5-LOW')") + f"""
+SELECT {COLS} FROM t WHERE {_anti('t', 'b')} UNION ALL SELECT {COLS} FROM b WHERE op_type <> 0""")
+def merge_partition_stable(spark, sf):
+    """The change set names two of five partitions; the others aren't read or written."""
+    path = scratch(spark, "stable")
+    frame(spark, sf, _PARTS).write.partitionBy("o_orderpriority").parquet(path)
+    t = spark.read.parquet(path)
+    b = frame(spark, sf, CHANGES).filter(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
+    spec = ApplySpec(keys=("o_orderkey",), partition_cols=("o_orderpriority",), partition_stable=True)
+    write_touched(plans.integrate_touched(t, b, spec), path, ["o_orderpriority"], b)
+    return spark.read.schema(t.schema).parquet(path).select(*COLS.split(", "))
+
+
 # ---- keyed stores
 
 @query("upsert_lww", ctes(t=LOG_TARGET, b=LOG) + _LAST + f"""

@@ -81,6 +81,13 @@ UNION ALL
 SELECT l_orderkey + 10000000, l_linenumber, l_quantity, 1, 0 FROM {lineitem} WHERE l_returnflag = 'N'
 """
 
+#: The orders as a table whose key, the customer, repeats, and one change for each customer.
+BAG_ORDERS = "SELECT o_custkey, o_orderstatus, o_totalprice FROM {orders}"
+BAG_ORDER_CHANGES = """
+SELECT c_custkey AS o_custkey, c_mktsegment AS o_orderstatus, CASE WHEN c_acctbal < 0 THEN 0 WHEN c_acctbal < 5000 THEN 2 ELSE 1 END AS op_type
+FROM {customer}
+"""
+
 #: A log with several rows per order: insert, update with images, delete, insert again.
 LOG = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, 1 AS op_type, 0 AS is_deleted, 0 AS file_seq, 0 AS row_seq FROM {orders}

@@ -44,21 +44,28 @@ def matching(t: DataFrame, rows: DataFrame, keys: list[str], null_safe: bool = T
     return t.join(rows.select(*key_side(rows, keys)), key_test(keys, null_safe), "left_semi")
 
 
-def without(t: DataFrame, rows: DataFrame, keys: list[str], null_safe: bool = True, once: bool = False) -> DataFrame:
+def without(
+    t: DataFrame, rows: DataFrame, keys: list[str], null_safe: bool = True, once: bool = False, op: Column | None = None, watch=None
+) -> DataFrame:
     """Rows of ``t`` that have no row with the same key in ``rows``.
 
     ``once``: a row of ``t`` that has several fails the job. The keys of ``rows`` are counted
-    for that; ``t`` is joined once as before.
+    for that; ``t`` is joined once as before. ``watch(joined, met, op)`` may look at the joined
+    rows before any is left out; ``op`` is a column of ``rows``.
     """
     _need(keys)
     if not once:
         return t.join(rows.select(*key_side(rows, keys)), key_test(keys, null_safe), "left_anti")
-    met = rows.groupBy(*key_side(rows, keys)).agg((F.count(F.lit(1)) > 1).alias(_TWICE))
+    more = [] if op is None else [F.min(op).alias(_HIT)]
+    met = rows.groupBy(*key_side(rows, keys)).agg((F.count(F.lit(1)) > 1).alias(_TWICE), *more)
     joined = t.join(spread(met), key_test(keys, null_safe), "left")
-    return joined.filter(F.when(F.col(_TWICE), _several()).otherwise(F.col(_TWICE).isNull())).select(*[col(c) for c in t.columns])
+    if watch is not None:
+        joined = watch(joined, F.col(_TWICE).isNotNull(), F.col(_HIT))
+    return joined.filter(F.when(F.col(_TWICE), several()).otherwise(F.col(_TWICE).isNull())).select(*[col(c) for c in t.columns])
 
 
-def _several() -> Column:
+def several() -> Column:
+    """A condition that fails the job wherever it is evaluated."""
     return F.raise_error(F.lit("several change rows for one key of the target")).cast("boolean")
 
 
@@ -100,7 +107,7 @@ def update_from(
     )
     joined = t.join(side, key_test(keys, null_safe), "left")
     if marked:
-        joined = joined.filter(F.when(F.col(_TWICE), _several()).otherwise(F.lit(True)))
+        joined = joined.filter(F.when(F.col(_TWICE), several()).otherwise(F.lit(True)))
     if drop is not None:
         joined = joined.filter(F.coalesce(F.col(_HIT), F.lit(1)) != 2)
     types = {f.name: f.dataType for f in t.schema.fields}
@@ -139,6 +146,20 @@ def keys_in(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*[col(k) for k in keys]).distinct()
 
 
+def touched(t: DataFrame, b: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """Rows of ``t`` in the partitions that occur in ``b``.
+
+    A semi join on the partition columns: where Spark broadcasts the distinct values it prunes the
+    scan of ``t`` by them, so files of other partitions aren't opened. The partition of NULL, which
+    no equality finds, is read if ``t`` has it.
+    """
+    cols = [col(c) for c in partition_cols]
+    unknown = reduce(lambda a, c: a | c, [c.isNull() for c in cols])
+    named = b.select(*[c.alias(f"__mill_p{i}") for i, c in enumerate(cols)]).distinct()
+    on = reduce(lambda a, c: a & c, [c == F.col(f"__mill_p{i}") for i, c in enumerate(cols)])
+    return t.join(named, on, "left_semi").unionAll(t.filter(unknown))
+
+
 def replace(t: DataFrame, changed: DataFrame, live: DataFrame, keys: list[str], null_safe: bool = True) -> DataFrame:
     """``t`` without the keys of ``changed``, plus ``live``."""
     return append(without(t, changed, keys, null_safe), live)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from changemill.functions.columns import col
@@ -28,6 +28,7 @@ from changemill.operators.joins import (
     one_row_per_key,
     repeated,
     replace,
+    several,
     spread,
     update_from,
     without,
@@ -61,6 +62,43 @@ def _upsert(t, live, keys, null_safe, unique_keys, check):
     return append(kept, missing(live, t, keys, null_safe))
 
 
+class ApplyCounts:
+    """Rows that a merge deletes, updates and inserts, counted while its result is written.
+
+    Given to one merge; ``get`` waits for the first action on the result. No query of its own
+    runs: the counts are metrics of the merge's join and of the scan of its change set.
+    """
+
+    def __init__(self) -> None:
+        self._met, self._live = Observation(), Observation()
+
+    def on_join(self, joined: DataFrame, met: Column, op: Column) -> DataFrame:
+        """Count target rows that meet a change row with code ``op``."""
+        n = lambda c: F.count(F.when(met & c, 1))
+        return joined.observe(self._met, n(op == Op.DELETE).alias("deleted"), n(op != Op.DELETE).alias("updated"))
+
+    def on_outer_join(self, joined: DataFrame, known: Column, met: Column, op: Column) -> DataFrame:
+        n = lambda c: F.count(F.when(c, 1))
+        self._live = None
+        return joined.observe(self._met, n(known & met & (op == Op.DELETE)).alias("deleted"), n(known & met & (op != Op.DELETE)).alias("updated"),
+                              n(~known & (op != Op.DELETE)).alias("inserted"))
+
+    def on_live(self, live: DataFrame) -> DataFrame:
+        """Count the rows that are written: over a matched row or as a new one."""
+        return live.observe(self._live, F.count(F.lit(1)).alias("live"))
+
+    @property
+    def get(self) -> dict[str, int]:
+        found = dict(self._met.get)
+        if self._live is not None:
+            found["inserted"] = self._live.get["live"] - found["updated"]
+        return found
+
+    def frame(self, spark) -> DataFrame:
+        """(action, n_rows); actions that didn't occur are left out."""
+        return spark.createDataFrame([(a, n) for a, n in self.get.items() if n], "action string, n_rows long")
+
+
 def merge_hard(
     t: DataFrame,
     b: DataFrame,
@@ -69,22 +107,65 @@ def merge_hard(
     null_safe: bool = True,
     unique_keys: bool = True,
     check: bool = True,
+    counts: ApplyCounts | None = None,
 ) -> DataFrame:
     """Matched deletes remove the row, other matches set all columns, unmatched rows that
     are no deletes are inserted and unmatched deletes are ignored.
 
     ``unique_keys=False`` updates every duplicate of a target key. A target row that several
     change rows match fails the job; of several rows with a key that the target lacks all are
-    inserted or ignored. ``check=False`` is for a set that holds a key once.
+    inserted or ignored. ``check=False`` is for a set that holds a key once. ``counts``: see
+    ``ApplyCounts``; without unique keys it needs ``merge_outer``.
     """
     rows = row_changes(b, op_col).filter(col(op_col).isNotNull())
     live = rows.filter(col(op_col) != Op.DELETE)
+    if counts is not None:
+        if not _replaces(t, b, unique_keys):
+            raise ValueError("merge_outer counts where target keys repeat or the target has columns of its own")
+        kept = without(t, rows, keys, null_safe, once=True, op=col(op_col), watch=counts.on_join)
+        return append(kept, counts.on_live(live))
     if _replaces(t, b, unique_keys):
         return append(without(t, rows, keys, null_safe, once=check), live)
     kept = update_from(t, _checked(rows, keys, check), keys, _shared(t, b), null_safe, drop=col(op_col) == Op.DELETE)
     return append(kept, missing(live, t, keys, null_safe))
 
 
+def merge_outer(
+    t: DataFrame,
+    b: DataFrame,
+    keys: list[str],
+    op_col: str = OP_COL,
+    null_safe: bool = True,
+    check: bool = True,
+    counts: ApplyCounts | None = None,
+) -> DataFrame:
+    """``merge_hard`` with ``unique_keys=False`` as one full outer join, so one scan of the target.
+
+    Every duplicate of a target key is updated, columns that only the target has keep their
+    values (NULL in new rows). Presence is told by markers, as keys may be NULL. Both sides
+    shuffle on the keys whatever the size of the change set, and Spark splits no hot key of a full
+    outer join: this is the form for a change set that would be shuffled anyway, over keys of
+    which none holds a large share of the rows. ``merge_hard`` scans the target's keys a second
+    time, broadcasts small change sets and splits hot keys.
+    """
+    rows = row_changes(b, op_col).filter(col(op_col).isNotNull())
+    cols = [c for c in _shared(t, b) if c not in keys]
+    value = {c: f"__mill_v{i}" for i, c in enumerate(cols)}
+    marked = _checked(rows, keys, check)
+    side = marked.select(*key_side(marked, keys), *[col(c).alias(v) for c, v in value.items()], col(op_col).alias("__mill_op"),
+                         *[_TWICE] * check, F.lit(True).alias("__mill_change"))
+    joined = t.withColumn("__mill_known", F.lit(True)).join(side, key_test(keys, null_safe), "full_outer")
+    known, met, op = F.col("__mill_known").isNotNull(), F.col("__mill_change").isNotNull(), F.col("__mill_op")
+    if check:
+        joined = joined.filter(F.when(known & F.col(_TWICE), several()).otherwise(F.lit(True)))
+    if counts is not None:
+        joined = counts.on_outer_join(joined, known, met, op)
+    types = {f.name: f.dataType for f in t.schema.fields}
+    new = {**{k: F.col(f"__mill_k{i}") for i, k in enumerate(keys)}, **{c: F.col(v) for c, v in value.items()}}
+    out = [F.when(~known if c in keys else met, new[c].cast(types[c])).otherwise(col(c)).alias(c) if c in new else col(c) for c in t.columns]
+    return joined.filter(~met | (op != Op.DELETE)).select(*out)
+
+
 def merge_key_change(
     t: DataFrame,
     b: DataFrame,

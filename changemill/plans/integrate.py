@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from changemill.functions.columns import col
 from changemill.operators import merge, partial
 from changemill.operators.changes import by_op, coalesce_changes
-from changemill.operators.joins import append
+from changemill.operators.joins import append, touched
 from changemill.schema.evolve import evolve_table, new_columns
 from changemill.spec import ApplySpec, Op
 
@@ -68,6 +68,18 @@ def integrate(t: DataFrame, b: DataFrame, spec: ApplySpec) -> DataFrame:
     return merge.merge_key_change(t, net, keys, op, spec.null_safe, spec.unique_keys)
 
 
+def integrate_touched(t: DataFrame, b: DataFrame, spec: ApplySpec) -> DataFrame:
+    """``integrate`` for the partitions that occur in ``b``: their new rows, nothing of the others.
+
+    For ``sinks.files.write_touched``. The partition columns join the merge keys, and
+    ``spec.partition_stable`` vouches that no key moves to another partition: a changed partition
+    value would leave the old row behind.
+    """
+    if not spec.partition_stable:
+        raise ValueError("integrate_touched needs partition_stable=True")
+    return integrate(touched(t, b, list(spec.partition_cols)), b, spec)
+
+
 def changes_of(b: DataFrame, spec: ApplySpec, *ops: int) -> DataFrame:
     return by_op(b, *(ops or (Op.INSERT, Op.UPDATE, Op.DELETE)), op_col=spec.op_col)
 

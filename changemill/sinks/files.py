@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changemill.functions.columns import col
+from changemill.operators.joins import touched
 
 
 def convert_copy(df: DataFrame, name: str, suffix: str = "_orc", fmt: str = "orc", path: str | None = None) -> str:
@@ -34,6 +35,24 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "over
     (w.partitionBy(*by) if by else w).parquet(path)
 
 
+def write_touched(new: DataFrame, path: str, by: list[str], b: DataFrame) -> None:
+    """Replace the partitions of the Parquet table at ``path`` that occur in the change set ``b``
+    by ``new`` (see ``plans.integrate.integrate_touched``).
+
+    Old files of a partition that got no rows are deleted after the others are replaced; their number
+    is bounded by the files of the partitions that are rewritten. The schema of ``path`` is kept.
+    """
+    spark = new.sparkSession
+    files = spark.read.parquet(path).select(*[col(c) for c in by], F.col("_metadata.file_path").alias("__mill_file"))
+    old = [r[0] for r in touched(files, b, by).select("__mill_file").distinct().collect()]
+    write_partitioned(new, path, by)
+    for name in old:
+        at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        if store.exists(at):
+            store.delete(at, False)
+
+
 def write_messages(msgs: DataFrame, path: str, dest: list[str], order: list[str], batch_id: int | None = None) -> None:
     """Messages as JSON rows in one folder per destination, in order.
 

@@ -42,7 +42,8 @@ class ApplySpec:
     ``style`` is ``replicate`` (hard delete), ``soft_delete`` (flag column kept in the
     target) or ``history`` (append only). ``unused_keys`` are the key columns that a
     delete with an incomplete key leaves out. ``partition_cols`` join the merge keys; use
-    them only if a key never moves to another partition. ``new_columns`` says what happens to
+    them only if a key never moves to another partition. ``partition_stable`` vouches for that,
+    so that only the partitions which occur in the change set need be read. ``new_columns`` says what happens to
     columns of the change set that the target lacks: ``fail``, ``add`` or ``ignore``.
     """
 
@@ -56,6 +57,7 @@ class ApplySpec:
     truncate: bool = False
     unused_keys: tuple[str, ...] = ()
     partition_cols: tuple[str, ...] = ()
+    partition_stable: bool = False
     keyless: bool = False
     split_inserts: bool = False
     merge_history: bool = False
@@ -64,6 +66,10 @@ class ApplySpec:
     def __post_init__(self):
         if self.new_columns not in ("fail", "add", "ignore"):
             raise ValueError("new_columns must be 'fail', 'add' or 'ignore'")
+        if self.partition_stable and not self.partition_cols:
+            raise ValueError("partition_stable needs partition_cols")
+        if self.partition_stable and (self.truncate or self.unused_keys):
+            raise ValueError("truncate markers and partial deletes reach partitions that the change set doesn't name")
         if self.keyless and self.style != "soft_delete":
             raise ValueError("keyless tables need the soft_delete style")
         if self.style not in STYLES:

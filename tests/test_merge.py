@@ -383,3 +383,60 @@ def test_two_changes_of_one_key_fail(spark, op):
     with pytest.raises(Exception, match="several change rows for one key"):
         run().collect()
     run(check=False).collect()
+
+
+def test_outer_merge(spark, rows, tmp_path):
+    """Duplicates are all updated, own columns kept, NULL keys equal; the target is scanned once."""
+    t = [(1, "a", "x"), (1, "b", "y"), (2, "c", "z"), (None, "n", "w"), (5, "e", "v")]
+    spark.createDataFrame(t, "k int, v string, own string").write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    b = spark.createDataFrame([(1, "A", 2, 0), (2, None, 0, 1), (None, "N", 2, 0), (7, "new", 1, 0), (7, "twice", 2, 0), (8, "", 0, 1), (9, "p", 5, 0)], B)
+    counts = merge.ApplyCounts()
+    out = merge.merge_outer(t, b, ["k"], counts=counts)
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    assert rows(out) == sorted([(1, "A", "x"), (1, "A", "y"), (None, "N", "w"), (5, "e", "v"), (7, "new", None), (7, "twice", None)], key=repr)
+    assert counts.get == {"deleted": 1, "updated": 3, "inserted": 2}
+    assert rows(merge.merge_hard(t, b, ["k"], unique_keys=False)) == rows(out)
+    plain = rows(merge.merge_outer(t, b, ["k"], null_safe=False))
+    assert (None, "n", "w") in plain and (None, "N", None) in plain
+    with pytest.raises(Exception, match="several change rows"):
+        merge.merge_outer(t, b.union(spark.createDataFrame([(5, "x", 2, 0), (5, "y", 0, 1)], B)), ["k"]).collect()
+
+
+def test_counts_of_a_written_merge(spark, rows, tmp_path):
+    t, b = frames(spark, [(1, "a"), (2, "b"), (3, "c")], [(1, "A", 2, 0), (2, None, 0, 1), (9, "n", 1, 0), (8, "x", 0, 1), (7, "u", 2, 0)])
+    counts = merge.ApplyCounts()
+    merge.merge_hard(t, b, ["k"], counts=counts).write.parquet(str(tmp_path / "out"))
+    assert counts.get == {"deleted": 1, "updated": 1, "inserted": 2}
+    assert rows(counts.frame(spark)) == [("deleted", 1), ("inserted", 2), ("updated", 1)]
+    none = merge.ApplyCounts()
+    merge.merge_hard(t, b.limit(0), ["k"], counts=none).write.parquet(str(tmp_path / "same"))
+    assert none.get == {"deleted": 0, "updated": 0, "inserted": 0} and none.frame(spark).count() == 0
+    with pytest.raises(ValueError, match="merge_outer"):
+        merge.merge_hard(t, b, ["k"], unique_keys=False, counts=none)
+
+
+def test_stable_partitions_prune_the_scan(spark, rows, tmp_path):
+    from changemill.plans.integrate import integrate_touched
+    from changemill.sinks.files import write_touched
+
+    path, schema = str(tmp_path / "t"), "k int, v string, p string"
+    old = [(i, f"v{i}", f"p {i % 5}/x") for i in range(50)] + [(100, "n", None), (200, "last", "alone"), (7, "other partition", "p 3/x")]
+    spark.createDataFrame(old, schema).repartition(1).write.partitionBy("p").parquet(path)
+    spark.createDataFrame([(2, "B", "p 2/x", 2), (7, "x", "p 2/x", 0), (300, "new", "q", 1), (200, "", "alone", 0), (100, "N", None, 2), (9, "", None, 5)],
+                          f"{schema}, op_type int").write.parquet(str(tmp_path / "b"))
+    spec = ApplySpec(keys=("k",), partition_cols=("p",), partition_stable=True)
+    t, b = spark.read.parquet(path), spark.read.parquet(str(tmp_path / "b")).filter("op_type < 5")
+    new = integrate_touched(t, b, spec)
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    untouched = {f for f in (tmp_path / "t").rglob("*.parquet") if "p=p 3" in str(f)}
+    write_touched(new, path, ["p"], b)
+    assert untouched and untouched <= set((tmp_path / "t").rglob("*.parquet"))
+    want = {(k, v, p) for k, v, p in old if (k, p) not in {(2, "p 2/x"), (7, "p 2/x"), (200, "alone"), (100, None)}}
+    want |= {(2, "B", "p 2/x"), (300, "new", "q"), (100, "N", None)}
+    assert rows(spark.read.parquet(path), "k", "v", "p") == sorted(want, key=repr)
+    with pytest.raises(ValueError, match="partition_stable"):
+        integrate_touched(t, b, ApplySpec(keys=("k",), partition_cols=("p",)))
+    with pytest.raises(ValueError, match="partition_cols"):
+        ApplySpec(keys=("k",), partition_stable=True)
