@@ -33,10 +33,13 @@ END = b"\n"            # the end token; no word holds white space
 HIDDEN = 16
 OWN = 1024             # frequent words with symbols of their own
 SUFFIX = 64            # classes of the others
-WORD_CLASSES = 32      # classes of the frequent words
+WORD_CLASSES = 16      # classes of the frequent words
 DICTIONARY = 200_000   # words whose counts every task knows; the counts of others are joined
-STEPS = 24             # tokens of a training window in each lane
-LANES, SCORE_LANES = 256, 768
+WORD_BYTES = 64        # longest word of the dictionary, so that its size is bounded
+STEPS = 16             # tokens of a training window in each lane
+LANES, SCORE_LANES = 384, 256
+BLOCK = 2048           # rows whose class probabilities are computed together
+SCORE_STEPS, STRETCH = 96, 960  # steps whose outputs are computed together, and whose lanes are laid out
 BUFFER = 600_000       # tokens a training task gathers before it splits them into lanes
 SLICE = 8192           # weights in a row when they are averaged
 
@@ -79,55 +82,105 @@ def new_weights(shape: dict, counts: np.ndarray, suffix_mass: np.ndarray, seed:
     return {k: v.astype(np.float32) for k, v in w.items()}
 
 
-def gates(w: dict, tokens: np.ndarray, h: np.ndarray):
-    g = w["x"][tokens] + w["b"]
-    u = h @ w["h"]
-    rz = g[:, :2 * HIDDEN] + u[:, :2 * HIDDEN]
-    rz = 1 / (1 + np.exp(-rz))
-    r, z, un = rz[:, :HIDDEN], rz[:, HIDDEN:], u[:, 2 * HIDDEN:]
-    n = np.tanh(g[:, 2 * HIDDEN:] + r * un)
-    return r, z, n, un, n + z * (h - n)
-
-
-def outputs(w: dict, shape: dict, h: np.ndarray, target: np.ndarray, learn: bool = False):
+def recurrent(w: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Input and recurrent weights with the signs and factors of the gates' exponentials."""
+    sign = np.full(3 * HIDDEN, -1, w["x"].dtype)
+    sign[2 * HIDDEN:] = -2
+    return (w["x"] + w["b"]) * sign, w["h"] * sign
+
+
+class Room(dict):
+    """Arrays that are used again: fresh ones of this size cost more than what is done in them."""
+
+    def __call__(self, name: str, shape: tuple, dtype) -> np.ndarray:
+        size = int(np.prod(shape))
+        held = self.get(name)
+        if held is None or held.size < size or held.dtype != dtype:
+            held = self[name] = np.empty(size, dtype)
+        return held[:size].reshape(shape)
+
+
+def gates(x: np.ndarray, wh: np.ndarray, h: np.ndarray, u: np.ndarray, rz: np.ndarray, n: np.ndarray, new: np.ndarray) -> None:
+    """Into ``rz`` the gates, into ``n`` and ``new`` the candidate and the new state, into ``u`` the
+    recurrent sums; ``x``: rows of ``recurrent``'s first."""
+    np.matmul(h, wh, u)
+    np.add(x[:, :2 * HIDDEN], u[:, :2 * HIDDEN], rz)
+    np.exp(rz, rz)
+    np.add(rz, 1, rz)
+    np.reciprocal(rz, rz)
+    np.multiply(rz[:, :HIDDEN], u[:, 2 * HIDDEN:], n)
+    np.add(n, x[:, 2 * HIDDEN:], n)
+    np.exp(n, n)
+    np.add(n, 1, n)
+    np.reciprocal(n, n)
+    np.multiply(n, 2, n)
+    np.subtract(n, 1, n)  # tanh
+    np.subtract(h, n, new)
+    np.multiply(new, rz[:, HIDDEN:], new)
+    np.add(new, n, new)
+
+
+def softmax(h: np.ndarray, w: np.ndarray, b: np.ndarray, rows: np.ndarray, target: np.ndarray, e: np.ndarray, deep: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Logs of the targets' probabilities and the sums of the exponentials, which go into ``e``.
+
+    States lie between -1 and 1: only where weights are ``deep`` enough for an exponential to
+    overflow the largest logit is taken off first."""
+    np.matmul(h, w, e)
+    e += b
+    if deep:
+        e -= e.max(1, keepdims=True)
+    picked = e[rows, target]
+    np.exp(e, e)
+    total = e @ np.ones(e.shape[1], e.dtype)
+    return picked - np.log(total), total
+
+
+def outputs(w: dict, shape: dict, h: np.ndarray, target: np.ndarray, learn: bool = False, room: Room | None = None):
     """Natural logs of the targets' probabilities; with ``learn`` gradients as well.
 
     Of a suffix class only the class is predicted here.
     """
-    logit = h @ w["c"] + w["cb"]
-    logit -= logit.max(1, keepdims=True)
-    e = np.exp(logit)
-    total = e.sum(1)
+    room = Room() if room is None else room
     k = shape["class_of"][target]
-    rows = np.arange(len(target))
-    out = logit[rows, k] - np.log(total)
+    order = np.argsort(k, kind="stable")  # rows of a class side by side
+    k, h, target = k[order], h.take(order, 0, room("h", h.shape, h.dtype), mode="clip"), target[order]
+    rows, n = np.arange(len(target)), len(target)
+    deep = any(float((np.abs(w[a]).sum(axis) + np.abs(w[b])).max(initial=0)) > 60 for a, b, axis in (("c", "cb", 0), ("w", "wb", 1)))
+    out = np.empty(n, h.dtype)
     grads, dh = {}, None
     if learn:
-        e /= total[:, None]
-        e[rows, k] -= 1
-        grads = {"c": h.T @ e, "cb": e.sum(0), "w": np.zeros_like(w["w"]), "wb": np.zeros_like(w["wb"])}
-        dh = e @ w["c"].T
-    order = np.argsort(k, kind="stable")
-    bounds = np.searchsorted(k[order], np.arange(shape["n_classes"] + 1))
+        grads = {"c": np.zeros_like(w["c"]), "cb": np.zeros_like(w["cb"]), "w": np.zeros_like(w["w"]), "wb": np.zeros_like(w["wb"])}
+        dh, back = room("dh", h.shape, h.dtype), w["c"].T.copy()
+    for lo in range(0, n, BLOCK):
+        at = slice(lo, min(lo + BLOCK, n))
+        m = at.stop - lo
+        e = room("e", (m, w["c"].shape[1]), h.dtype)
+        out[at], total = softmax(h[at], w["c"], w["cb"], rows[:m], k[at], e, deep)
+        if learn:
+            e *= (1 / total)[:, None]
+            e[rows[:m], k[at]] -= 1
+            grads["c"] += h[at].T @ e
+            grads["cb"] += e.sum(0)
+            np.matmul(e, back, dh[at])
+    bounds = np.searchsorted(k, np.arange(shape["n_classes"] + 1)).tolist()
+    words = w["w"].T.copy()
     for c in range(shape["n_classes"]):
-        at = order[bounds[c]:bounds[c + 1]]
+        at, m = slice(bounds[c], bounds[c + 1]), bounds[c + 1] - bounds[c]
         lo, hi = shape["starts"][c], shape["starts"][c + 1]
-        if not len(at) or hi - lo == 1:
+        if not m or hi - lo == 1:
             continue
-        hc = h[at]
-        logit = hc @ w["w"][lo:hi].T + w["wb"][lo:hi]
-        logit -= logit.max(1, keepdims=True)
-        e = np.exp(logit)
-        total = e.sum(1)
-        t, r = target[at] - lo, np.arange(len(at))
-        out[at] += logit[r, t] - np.log(total)
+        e, t = room("e", (m, hi - lo), h.dtype), target[at] - lo
+        log, total = softmax(h[at], words[:, lo:hi], w["wb"][lo:hi], rows[:m], t, e, deep)
+        out[at] += log
         if learn:
-            e /= total[:, None]
-            e[r, t] -= 1
-            grads["w"][lo:hi] += e.T @ hc
-            grads["wb"][lo:hi] += e.sum(0)
+            e *= (1 / total)[:, None]
+            e[rows[:m], t] -= 1
+            grads["w"][lo:hi] = e.T @ h[at]
+            grads["wb"][lo:hi] = e.sum(0)
             dh[at] += e @ w["w"][lo:hi]
-    return out, grads, dh
+    back = np.empty_like(order)
+    back[order] = rows
+    return out[back], grads, dh.take(back, 0) if learn else None
 
 
 class Trainer:
@@ -138,6 +191,7 @@ class Trainer:
         self.m = {k: np.zeros_like(v) for k, v in weights.items()}
         self.v = {k: np.zeros_like(v) for k, v in weights.items()}
         self.steps, self.tokens, self.loss = 0, 0, 0.0
+        self.room = Room()
 
     def learn(self, stream: np.ndarray, begins: np.ndarray) -> None:
         """``stream``: symbols of documents in a row; ``begins``: True where a document begins."""
@@ -155,41 +209,49 @@ class Trainer:
 
     def window(self, token, fresh, h, last, end):
         w, steps = self.w, len(token)
-        seen, kept, hs = [], [], []
+        wx, wh = recurrent(w)
+        lanes, kind, room = len(last), h.dtype, self.room
+        before = np.where(fresh, end, np.concatenate([last[None], token[:-1]]))
+        x = wx.take(before.ravel(), 0, room("x", (token.size, 3 * HIDDEN), kind), mode="clip").reshape(steps, lanes, -1)
+        keep = (~fresh).astype(kind)[:, :, None]
+        u, rz = room("u", (steps, lanes, 3 * HIDDEN), kind), room("rz", (steps, lanes, 2 * HIDDEN), kind)
+        n, h0, hs = (room(name, (steps, lanes, HIDDEN), kind) for name in ("n", "h0", "hs"))
         for t in range(steps):
-            x = np.where(fresh[t], end, last)
-            keep = (~fresh[t]).astype(np.float32)[:, None]
-            h0 = h * keep
-            r, z, n, un, h = gates(w, x, h0)
-            seen.append((x, h0, r, z, n, un))
-            kept.append(keep)
-            hs.append(h)
-            last = token[t]
-        flat = np.concatenate(hs)
-        log, grads, dout = outputs(w, self.shape, flat, token.reshape(-1), learn=True)
+            np.multiply(h, keep[t], h0[t])
+            gates(x[t], wh, h0[t], u[t], rz[t], n[t], hs[t])
+            h = hs[t]
+        h = h.copy()  # the room is used again
+        log, grads, dout = outputs(w, self.shape, hs.reshape(-1, HIDDEN), token.reshape(-1), True, room)
         self.loss -= float(log.sum())
         dout = dout.reshape(steps, -1, HIDDEN)
-        grads["h"], dx_all = np.zeros_like(w["h"]), []
-        dh = np.zeros_like(h)
+        r, z, un = rz[:, :, :HIDDEN], rz[:, :, HIDDEN:], u[:, :, 2 * HIDDEN:]
+        # what each step's error is multiplied with
+        to_n = (1 - z) * (1 - n * n)
+        to_z = (h0 - n) * z * (1 - z)
+        to_r = un * r * (r - 1) * kind.type(0.5)  # un holds -2 times the sum
+        dx, du = room("dx", (steps, lanes, 3 * HIDDEN), kind), room("du", (steps, lanes, 3 * HIDDEN), kind)
+        back, dh = w["h"].T.copy(), np.zeros_like(h)
         for t in range(steps - 1, -1, -1):
-            x, h0, r, z, n, un = seen[t]
-            dh = dh + dout[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (h0 - n) * z * (1 - z)
-            dr = dn * un * r * (1 - r)
-            du = np.concatenate([dr, dz, dn * r], 1)
-            dx_all.append(np.concatenate([dr, dz, dn], 1))
-            grads["h"] += h0.T @ du
-            dh = (dh * z + du @ w["h"].T) * kept[t]
-        dx = np.concatenate(dx_all[::-1])
+            dh += dout[t]
+            dn = dx[t, :, 2 * HIDDEN:]
+            np.multiply(dh, to_n[t], dn)
+            np.multiply(dn, to_r[t], dx[t, :, :HIDDEN])
+            np.multiply(dh, to_z[t], dx[t, :, HIDDEN:2 * HIDDEN])
+            du[t, :, :2 * HIDDEN] = dx[t, :, :2 * HIDDEN]
+            np.multiply(dn, r[t], du[t, :, 2 * HIDDEN:])
+            dh *= z[t]
+            dh += du[t] @ back
+            dh *= keep[t]
+        grads["h"] = h0.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
+        dx = dx.reshape(-1, 3 * HIDDEN)
         grads["b"] = dx.sum(0)
-        where = np.concatenate([s[0] for s in seen]).astype(np.int16)  # numpy sorts 16 bits by radix
+        where = before.ravel().astype(np.int16)  # numpy sorts 16 bits by radix
         order = np.argsort(where, kind="stable")
         at = np.flatnonzero(np.concatenate([[True], where[order][1:] != where[order][:-1]]))
         grads["x"] = np.zeros_like(w["x"])
-        grads["x"][where[order][at]] = np.add.reduceat(dx[order], at)
-        self.update(grads, len(flat))
-        return h, last
+        grads["x"][where[order][at]] = np.add.reduceat(dx.take(order, 0, room("du", dx.shape, kind), mode="clip"), at)
+        self.update(grads, token.size)
+        return h, token[-1]
 
     def update(self, grads: dict, n: int) -> None:
         self.steps += 1
@@ -218,32 +280,41 @@ def score_lanes(w: dict, shape: dict, docs: list[np.ndarray], end: int) -> np.nd
         heapq.heappush(heap, (int(load[k]), k))
     lanes = [lanes[k] for k in np.argsort(-load, kind="stable")]  # the longest first: running lanes are a prefix
     load = -np.sort(-load)
+    wx, wh = recurrent(w)
+    kind, room = wx.dtype, Room()
+    h = np.zeros((len(lanes), HIDDEN), kind)
+    last = np.full(len(lanes), end, np.int16)
+    # the lanes side by side, a stretch of steps at a time, so that one long document is no large table
     stream = [np.concatenate([docs[i] for i in lane]) for lane in lanes]
-    owner = [np.repeat(lane, sizes[lane]) for lane in lanes]
-    h = np.zeros((len(lanes), HIDDEN), np.float32)
-    last = np.full(len(lanes), end)
-    window = 48
-    for lo in range(0, int(load[0]) if len(load) else 0, window):
-        hs, ts, os = [], [], []
-        running = int((load > lo).sum())
-        token = np.full((window, running), end)
-        who = np.full((window, running), -1)
-        for k in range(running):
-            part = stream[k][lo:lo + window]
-            token[:len(part), k], who[:len(part), k] = part, owner[k][lo:lo + window]
-        for t in range(window):
-            k = int((load > lo + t).sum())
-            if not k:
-                break
-            fresh = last[:k] == end  # the end token closes a document
-            h[:k][fresh] = 0
-            h[:k] = gates(w, last[:k], h[:k])[4]
-            hs.append(h[:k].copy())
-            ts.append(token[t, :k])
-            os.append(who[t, :k])
-            last[:k] = token[t, :k]
-        log, _, _ = outputs(w, shape, np.concatenate(hs), np.concatenate(ts))
-        total += np.bincount(np.concatenate(os), log, minlength=len(docs))
+    owner = [np.repeat(np.array(lane, np.int32), sizes[lane]) for lane in lanes]
+    for begin in range(0, int(load[0]) if len(load) else 0, STRETCH):
+        held = int((load > begin).sum())
+        steps = int(min(STRETCH, load[0] - begin))
+        token, who = np.full((held, steps), end, np.int16), np.zeros((held, steps), np.int32)
+        for k in range(held):
+            part = stream[k][begin:begin + steps]
+            token[k, :len(part)], who[k, :len(part)] = part, owner[k][begin:begin + steps]
+        token, who = np.ascontiguousarray(token.T), np.ascontiguousarray(who.T)
+        for lo in range(0, steps, SCORE_STEPS):
+            n = int((load > begin + lo).sum())
+            now = token[lo:lo + SCORE_STEPS, :n]
+            before = np.concatenate([last[None, :n], now[:-1]])
+            keep = (before != end).astype(kind)[:, :, None]  # the end token closes a document
+            hs = room("hs", (*now.shape, HIDDEN), kind)
+            x, u, rz, c, h0 = (room(name, (n, m * HIDDEN), kind) for name, m in (("x", 3), ("u", 3), ("rz", 2), ("n", 1), ("h0", 1)))
+            state = h[:n]
+            for t in range(len(now)):
+                wx.take(before[t], 0, x, mode="clip")
+                gates(x, wh, np.multiply(state, keep[t], h0), u, rz, c, hs[t])
+                state = hs[t]
+            h[:n], last[:n] = state, now[-1]
+            inside = load[:n] > np.arange(begin + lo, begin + lo + len(now))[:, None]
+            if inside.all():
+                log, _, _ = outputs(w, shape, hs.reshape(-1, HIDDEN), now.ravel(), room=room)
+                total += np.bincount(who[lo:lo + SCORE_STEPS, :n].ravel(), log, minlength=len(docs))
+            else:
+                log, _, _ = outputs(w, shape, hs[inside], now[inside], room=room)
+                total += np.bincount(who[lo:lo + SCORE_STEPS, :n][inside], log, minlength=len(docs))
     return total
 
 
@@ -384,12 +455,13 @@ def train(docs: DataFrame, modulus: int = 7, held_out: int = 2, rates: tuple = (
     total = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     # the most frequent words, by steps of their count's logarithm: at most DICTIONARY of them
     step = F.floor(F.log2("c") * 64).cast("int")
-    steps, least, n_top = counts.groupBy(step.alias("s")).count().orderBy(F.desc("s")).collect(), 1 << 30, 0
+    short = F.octet_length("token") <= WORD_BYTES
+    steps, least, n_top = counts.where(short).groupBy(step.alias("s")).count().orderBy(F.desc("s")).collect(), 1 << 30, 0
     for r in steps:  # at most 64 rows for each power of two
         if n_top + r["count"] > DICTIONARY:
             break
         least, n_top = r["s"], n_top + r["count"]
-    top = sorted(counts.where(step >= least).collect(), key=lambda r: (-r["c"], bytes(r["token"])))
+    top = sorted(counts.where(short & (step >= least)).collect(), key=lambda r: (-r["c"], bytes(r["token"])))
     words, c = [bytes(r["token"]) for r in top], np.array([r["c"] for r in top], np.float64)
     if END not in words:  # it has a symbol of its own, however rare it is
         ends = counts.where(F.col("token") == F.lit(END)).first()
