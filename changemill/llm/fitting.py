@@ -14,25 +14,33 @@ from changemill.llm.common import text_of
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, training, per_class: int, most_chars: int,
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, training, per_class: int, most_bytes: int,
                     id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
-    """At most ``per_class`` whole texts of each label, chosen by a hash of their texts.
+    """At most ``per_class`` whole texts of each label, ``most_bytes`` in all, chosen by a hash of them.
 
-    ``training(id column name)`` says which rows may be learned from. Only texts of at most
-    ``most_chars`` characters are learned from, so the sample's size is bounded. Repeated
-    texts count once. The number of texts says which share of hash values is needed; only
-    their texts are joined with labels and sent to the driver, not every task's first ones.
+    ``training(id column name)`` says which rows may be learned from. A text of any length can be
+    chosen; one that doesn't fit into what is left of the bytes is passed over for the next. Repeated
+    texts count once. A label is 0 or 1: rows with another or no label, without an identifier, or
+    with both labels for one identifier are left out; equal rows count once. The number of texts
+    says which share of hash values is needed: only lengths of that share, and then the chosen
+    texts, are sent to the driver.
     """
-    known = docs.select(F.col(id_col).alias("__doc"), text_of(text_col).alias("__t")).where(training("__doc"))
-    known = known.where(F.length("__t") <= most_chars).withColumn("__h", F.xxhash64("__t"))
+    known = docs.select(F.col(id_col).alias("__doc"), text_of(text_col).alias("__t")).where(training("__doc")).withColumn("__h", F.xxhash64("__t"))
+    of_id = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col("doc_id").alias("__id")).agg(F.min(label_col).alias("lo"), F.max(label_col).alias("hi"))
     out = []
     for value in (0, 1):
-        of_label = labels.where(F.col(label_col) == value).select(F.col("doc_id").alias("__id"))
+        of_label = of_id.where((F.col("lo") == value) & (F.col("hi") == value)).select("__id")
         mine = F.col("__doc") == F.col("__id")
         n = known.select("__doc", "__h").join(of_label, mine, "left_semi").agg(F.approx_count_distinct("__h")).first()[0]
-        share = known.where(F.pmod("__h", F.lit(max(1, n // per_class))) == 0)
-        rows = share.join(of_label, mine, "left_semi").dropDuplicates(["__h"]).select("__h", "__t").collect()
-        out += [(t, value) for _, t in sorted((r[0], r[1]) for r in rows)[:per_class]]
+        share = known.where(F.pmod("__h", F.lit(max(1, n // per_class))) == 0).join(of_label, mine, "left_semi")
+        sizes = share.groupBy("__h").agg(F.min(F.octet_length("__t")).alias("n")).orderBy("__h").limit(per_class).collect()
+        chosen, left = [], most_bytes
+        for h, size in sizes:
+            if size <= left:
+                chosen.append(h)
+                left -= size
+        rows = share.where(F.col("__h").isin(chosen)).dropDuplicates(["__h"]).select("__h", "__t").collect() if chosen else []
+        out += [(t, value) for _, t in sorted((r[0], r[1]) for r in rows)]
     return out
 
 

@@ -89,10 +89,10 @@ def _score(model: dict):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = 1500, most_chars: int = 30_000,
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = 1500, most_bytes: int = 24 << 20,
           modulus: int = 3, held_out: int = 1, **columns: str) -> dict:
-    """The dictionaries and the curve, from at most ``per_class`` texts of each label."""
-    return fit(fitting.labelled_sample(docs, labels, label_col, lambda i: crc_mod(i, modulus) != held_out, per_class, most_chars, **columns))
+    """The dictionaries and the curve, from at most ``per_class`` texts and ``most_bytes`` of each label."""
+    return fit(fitting.labelled_sample(docs, labels, label_col, lambda i: crc_mod(i, modulus) != held_out, per_class, most_bytes, **columns))
 
 
 def score(docs: DataFrame, model: dict, modulus: int = 3, held_out: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

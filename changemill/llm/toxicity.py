@@ -33,6 +33,7 @@ REPORTS = frozenset(
     "dit écrit appelé mot terme sagte sagt schrieb nannte wort dijo dice escribió llamó palabra".split()
 )
 WINDOW = 4  # words looked at on each side
+NO_EVIDENCE = 0.49  # highest score of a text without a hit, whatever the labels' shares
 FUZZY_FROM = 4  # terms of so many characters may be misspelled
 FUZZY_STEM_FROM = 5  # and stems of so many; shorter ones have their whole terms beside them
 
@@ -158,8 +159,8 @@ def forms(word: str, shortest: int = 4, longest: int = 10) -> list[tuple[str, bo
     return [(word, False)] + [(word[:n], True) for n in range(shortest, min(longest, len(word)) + 1)]
 
 
-def learn_terms(toxic: list[str], clean: list[str], most: int = 512) -> list[tuple[str, bool]]:
-    """Terms and stems that toxic texts have and clean ones don't.
+def learn_terms(toxic: list[str], clean: list[str]) -> list[tuple[str, bool]]:
+    """Terms and stems that toxic texts have and clean ones don't; as many as there are.
 
     Greedy cover: the form found in most texts not yet covered comes next, of equal ones the
     whole term, then the longer. A stem must cover clearly more than each of the terms that
@@ -173,14 +174,15 @@ def learn_terms(toxic: list[str], clean: list[str], most: int = 512) -> list[tup
     for t in clean:
         in_clean.update({f for w in set(TOKEN.findall(t.lower())) for f in forms(w) if f in few})
     rate = (len(clean) + 1) / (len(toxic) + 1)
-    good = {f: n for f, n in few.items() if n * rate >= 30 * (in_clean[f] + 0.02 * rate)}
+    # as common in clean texts as in toxic ones, it would be expected in four of them at least
+    good = {f: n for f, n in few.items() if n * rate >= max(4.0, 30 * (in_clean[f] + 0.02 * rate))}
     have: dict[tuple[str, bool], set[int]] = {f: set() for f in good}
     for i, ws in enumerate(words):
         for f in {f for w in ws for f in forms(w)} & good.keys():
             have[f].add(i)
     left, chosen = set(range(len(toxic))), []
     gain = {f: len(s) for f, s in have.items()}
-    while gain and len(chosen) < most:
+    while gain:
         top = max(gain.values())
         if top < least:
             break
@@ -199,11 +201,9 @@ def learn_terms(toxic: list[str], clean: list[str], most: int = 512) -> list[tup
         gain.pop(best)
     # what occurs in many texts beside the chosen forms is a term too, and so are all terms of
     # a chosen stem: their misspellings can lie beyond the stem or make it too short
-    stems = tuple(f for f, is_stem in chosen if is_stem)
+    stems, taken = tuple(f for f, is_stem in chosen if is_stem), set(chosen)
     for f, n in sorted(good.items(), key=lambda x: (-x[1], x[0])):
-        if len(chosen) >= most:
-            break
-        if f not in chosen and not f[1] and (n >= max(least, len(toxic) // 50) or f[0].startswith(stems)):
+        if f not in taken and not f[1] and (n >= max(least, len(toxic) // 50) or f[0].startswith(stems)):
             chosen.append(f)
     return chosen
 
@@ -221,11 +221,15 @@ def features(found: list[tuple[int, int, bool]], weights: np.ndarray, quoted_wei
 
 
 def fit(sample: list[tuple[str, int]], quoted_weight: float = 0.3) -> dict:
-    """Lexicon, weights and curve; half the texts give the terms, all give weights and curve."""
+    """Lexicon, weights and curve, all from the whole sample.
+
+    With fewer than two texts of a label, or where no term tells them apart, there is no curve:
+    every text then has one score below one half, so that nothing is called toxic.
+    """
     toxic, clean = ([t for t, y in sample if y == v] for v in (1, 0))
-    if len(toxic) < 2 or len(clean) < 2:
-        return {"prior": (len(toxic) + 1) / (len(sample) + 2) if sample else 0.0}
-    terms = learn_terms(toxic, clean)
+    terms = learn_terms(toxic, clean) if min(len(toxic), len(clean)) >= 2 else []
+    if not terms:
+        return {"prior": min((len(toxic) + 1) / (len(sample) + 2), NO_EVIDENCE) if sample else 0.0}
     lexicon = Lexicon(terms)
     found = [(hits(lexicon, t), len(t), y) for t, y in sample]
     n = np.full((len(terms) + 1, 2, 2), 0.25)
@@ -243,27 +247,37 @@ def fit(sample: list[tuple[str, int]], quoted_weight: float = 0.3) -> dict:
     return {"terms": terms, "weights": weights, "quoted": quoted_weight, "curve": fitting.fit_logistic(x, y, ridge=0.1)}
 
 
+def scores(model: dict, lexicon: Lexicon | None, texts: list[str]) -> np.ndarray:
+    """Scores of texts; without a hit nothing speaks for toxicity, so such a text stays below one half."""
+    if lexicon is None:
+        return np.full(len(texts), model["prior"])
+    found = [hits(lexicon, t) for t in texts]
+    x = np.array([features(hs, model["weights"], model["quoted"], len(t)) for hs, t in zip(found, texts)]).reshape(len(texts), -1)
+    out = fitting.score_logistic(model["curve"], x) if len(texts) else np.zeros(0)
+    return np.where([bool(hs) for hs in found], out, np.minimum(out, NO_EVIDENCE))
+
+
+def _lexicon(model: dict) -> Lexicon | None:
+    return Lexicon(model["terms"]) if "curve" in model else None
+
+
 def _score(model: dict, columns: str):
     schema = arrow_schema(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(model["terms"]) if "curve" in model else None
+        lexicon = _lexicon(model)
         for batch in batches:
-            if lexicon is None:
-                score = np.full(batch.num_rows, model["prior"])
-            else:
-                x = [features(hits(lexicon, t), model["weights"], model["quoted"], len(t)) for t in (v.as_py() for v in batch.column(2))]
-                score = fitting.score_logistic(model["curve"], np.array(x).reshape(batch.num_rows, -1))
+            score = scores(model, lexicon, batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], schema=schema)
 
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = 2500, most_chars: int = 20_000,
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = 2500, most_bytes: int = 16 << 20,
           modulus: int = 5, held_out: int = 0, **columns: str) -> dict:
-    """Lexicon and curve from at most ``per_class`` texts of each label."""
-    return fit(fitting.labelled_sample(docs, labels, label_col, lambda i: crc_mod(i, modulus) != held_out, per_class, most_chars, **columns))
+    """Lexicon and curve from at most ``per_class`` texts and ``most_bytes`` of each label."""
+    return fit(fitting.labelled_sample(docs, labels, label_col, lambda i: crc_mod(i, modulus) != held_out, per_class, most_bytes, **columns))
 
 
 def score(docs: DataFrame, model: dict, modulus: int = 5, held_out: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,18 +292,21 @@ def predicted_udf(model: dict):
     import pandas as pd
 
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        lexicon = Lexicon(model["terms"]) if "curve" in model else None
+        lexicon = _lexicon(model)
         for part in parts:
-            if lexicon is None:
-                yield pd.Series(np.full(len(part), int(model["prior"] >= 0.5)), dtype="int32")
-                continue
-            x = [features(hits(lexicon, t), model["weights"], model["quoted"], len(t)) for t in part]
-            yield pd.Series((fitting.score_logistic(model["curve"], np.array(x).reshape(len(part), -1)) >= 0.5).astype(np.int32))
+            yield pd.Series((scores(model, lexicon, list(part)) >= 0.5).astype(np.int32))
 
     run.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(run, "int")
 
 
 def drop_toxic(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """The documents that aren't scored as toxic, with all their columns."""
+    """The documents that aren't scored as toxic, with all their columns.
+
+    A document goes only if a term or a misspelling of one was found in it. NULL and empty texts
+    stay, as does everything where the labels gave no curve (labels of one kind, none, or none that
+    words tell apart). Repeated rows are judged alike; an empty table has no rows.
+    """
+    if "curve" not in model:
+        return docs
     return docs.where(predicted_udf(model)(text_of(text_col)) == 0)
