@@ -1,14 +1,19 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 A source's target over its size says how often each of its documents is taken: the whole part
-are certain copies, the rest is the inclusion probability p of one more copy. Documents are
-ranked by the odds of a random number over the odds of p, and the extra copies go down the
-ranking until the source's target is filled. The random number is a hash of seed and document,
-so reruns agree.
+are certain copies, which go first. One more copy has an inclusion probability p whose sum over
+the words fills the rest of the target. p isn't equal: a document longer than an EIGHTH of the
+rest has a lower one, in proportion, so that it is expected to fill no more than that and no
+single document decides how a source is mixed. Documents are ranked by the odds of a random
+number over the odds of p, and the extra copies go down the ranking until the target is filled:
+the sample has a fixed size, in words. The random number is a hash of seed and document, so
+reruns agree.
 
 The cut in the ranking is found without sorting a source in one task: words are summed by
-source and rank bucket, and only the bucket in which the target is crossed is sorted. One
-last document, the one whose size is nearest to what is then missing, closes the gap.
+source and rank bucket, and only the bucket in which the target is crossed is sorted. A document
+that doesn't fit is passed over and filling goes on behind it, in rounds over what still fits, so
+that less is missing in the end than the shortest document behind the cut holds. Where one more
+document comes nearer to the target by going beyond it, it is taken last.
 """
 
 from __future__ import annotations
@@ -20,7 +25,8 @@ from pyspark.sql import functions as F
 
 from changemill.llm.common import WORD, settled, text_of
 
-BUCKET_BITS = 12  # of the 52 bits of a random number
+BUCKETS = 4096  # of ranks, in which words are summed
+EIGHTH = 8      # a document's expected part of a rest is at most one in so many
 
 
 def n_words(text_col: str):
@@ -64,56 +70,78 @@ def small(by_source: DataFrame, most: int = 20_000) -> DataFrame:
     return F.broadcast(by_source) if by_source.count() <= most else by_source
 
 
-def cuts(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """Per source the last rank that gets an extra copy (``cut``) and one more (``closing``).
+def ranked(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """(source, x, rank, words): units that are drawn together, with their place in the ranking.
 
-    ``rows``: source, size, x (random bits). Documents that share x are drawn together.
+    Rows that share source and identifier are a unit: they have one random number x.
     """
-    bucket = F.shiftright("x", 52 - BUCKET_BITS).alias("b")
-    words = rows.groupBy("source", bucket).agg(F.sum("size").alias("words"))
-    along = Window.partitionBy("source").orderBy("b")
-    sums = words.withColumn("upto", F.sum("words").over(along)).join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-    crossed = sums.where(F.col("upto") > F.col("rest")).groupBy("source").agg(F.min_by(F.struct("b", (F.col("upto") - F.col("words")).alias("start"), "rest"), "b").alias("c"))
-    crossed = crossed.select(F.col("source").alias("s"), "c.b", "c.start", "c.rest")
-    by_rank = rows.groupBy("source", "x").agg(F.sum("size").alias("words"))
-    # only rows of the crossing bucket are sorted: one in 2 ** BUCKET_BITS of a source
-    near = by_rank.join(small(settled(crossed, "crossed")), F.col("source").eqNullSafe(F.col("s")) & (F.shiftright("x", 52 - BUCKET_BITS) == F.col("b")))
-    run = F.col("start") + F.sum("words").over(Window.partitionBy("source").orderBy("x"))
-    cut = near.withColumn("run", run).groupBy("source").agg(
-        F.max(F.when(F.col("run") <= F.col("rest"), F.col("x"))).alias("x_in"),
-        F.max(F.when(F.col("run") <= F.col("rest"), F.col("run"))).alias("run_in"),
-        F.first("b").alias("b"), F.first("start").alias("start"), F.first("rest").alias("rest"),
-    ).select(
-        F.col("source").alias("s"),
-        F.coalesce("x_in", F.shiftleft("b", 52 - BUCKET_BITS) - 1).alias("cut"),
-        (F.col("rest") - F.coalesce("run_in", "start")).alias("gap"),
-    )
-    cut = settled(cut, "cuts")
-    after = by_rank.join(small(cut), F.col("source").eqNullSafe(F.col("s"))).where((F.col("x") > F.col("cut")) & (F.col("words") > 0))
-    off = F.abs(F.col("gap") - F.col("words"))
-    closing = after.where(off < F.col("gap")).groupBy("source").agg(F.min(F.struct(off.alias("off"), "x"))["x"].alias("closing"))
-    out = cut.join(closing, F.col("s").eqNullSafe(F.col("source")), "left")
-    return out.select(F.col("s").alias("source"), "cut", "closing")
+    units = rows.groupBy("source", "x").agg(F.sum("size").alias("words"))
+    of = targets.where("rest > 0").select(F.col("source").alias("s"), "rest", (F.floor(F.col("rest") / EIGHTH) + 1).alias("long"))
+    units = units.join(small(of), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    shares = units.groupBy(F.col("source").alias("s")).agg(F.sum(F.least("words", "long")).alias("held"))
+    units = units.join(small(settled(shares, "shares")), F.col("source").eqNullSafe(F.col("s"))).where("words > 0")
+    p = F.least(F.col("rest") / F.col("held"), F.lit(0.999999)) * (F.least("words", "long") / F.col("words"))
+    u = (F.col("x") + 0.5) / F.lit(float(1 << 52))
+    odds = (u / (1 - u)) / (p / (1 - p))
+    return units.select("source", "x", "words", (odds / (1 + odds)).alias("rank"))
+
+
+def filled(units: DataFrame, rests: DataFrame) -> DataFrame:
+    """(source, cut, cut_x, rest): the place up to which whole units in rank order fit into their
+    source's ``rest``, and what is left of it. A source in which all units fit has a cut beyond any."""
+    rests = rests.select(F.col("source").alias("s"), "rest")
+    bucket = F.floor(F.col("rank") * BUCKETS).alias("b")
+    words = units.groupBy("source", bucket).agg(F.sum("words").alias("words"))
+    sums = words.withColumn("upto", F.sum("words").over(Window.partitionBy("source").orderBy("b"))).join(small(rests), F.col("source").eqNullSafe(F.col("s")))
+    crossed = sums.groupBy("source").agg(
+        F.min(F.when(F.col("upto") > F.col("rest"), F.struct("b", (F.col("upto") - F.col("words")).alias("start")))).alias("c"),
+        F.max("upto").alias("every"), F.first("rest").alias("rest"))
+    crossed = settled(crossed.select(F.col("source").alias("s"), F.col("c.b").alias("b"), F.coalesce("c.start", "every").alias("start"), "rest"), "crossed")
+    # only units of the crossing bucket are sorted
+    near = units.join(small(crossed.where("b IS NOT NULL")), F.col("source").eqNullSafe(F.col("s")) & (F.floor(F.col("rank") * BUCKETS) == F.col("b")))
+    run = F.col("start") + F.sum("words").over(Window.partitionBy("source").orderBy("rank", "x"))
+    fits = F.col("run") <= F.col("rest")
+    inside = near.withColumn("run", run).groupBy(F.col("source").alias("t")).agg(
+        F.max(F.when(fits, F.struct("rank", "x"))).alias("last"), F.max(F.when(fits, F.col("run"))).alias("run"))
+    out = crossed.join(inside, F.col("s").eqNullSafe(F.col("t")), "left")
+    at_start = F.when(F.col("b").isNull(), 2.0).otherwise(F.col("b") / F.lit(float(BUCKETS)))  # nothing of the bucket: just before it
+    return out.select(F.col("s").alias("source"), F.coalesce("last.rank", at_start).alias("cut"), F.coalesce("last.x", F.lit(-1)).cast("long").alias("cut_x"),
+                      (F.col("rest") - F.coalesce("run", "start")).alias("rest"))
+
+
+def drawn(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """(source, x) of the units that get an extra copy."""
+    units = settled(ranked(rows, targets), "ranked")
+    rests, found = targets.where("rest > 0").select("source", "rest"), None
+    while True:
+        cut = settled(filled(units, rests), "cuts").select(F.col("source").alias("s"), "cut", "cut_x", "rest")
+        known = units.join(small(cut), F.col("source").eqNullSafe(F.col("s")))
+        before = (F.col("rank") < F.col("cut")) | ((F.col("rank") == F.col("cut")) & (F.col("x") <= F.col("cut_x")))
+        taken = known.where(before).select("source", "x")
+        found = taken if found is None else found.unionAll(taken)
+        # a unit too long to be the last one either has no part in what follows
+        behind = settled(known.where(~before & (F.col("words") < 2 * F.col("rest"))).select("source", "x", "words", "rank", "rest"), "behind")
+        units = behind.where(F.col("words") <= F.col("rest")).select("source", "x", "words", "rank")
+        closing = behind.withColumn("off", F.abs(F.col("rest") - F.col("words"))).where(F.col("off") < F.col("rest"))
+        last = closing.groupBy("source").agg(F.min(F.struct("off", "rank", "x"))["x"].alias("x"), F.max((F.col("words") <= F.col("rest")).cast("int")).alias("more"))
+        # sources in which nothing fits any more are done, but for a unit that overshoots by less than is missing
+        found = found.unionAll(last.where("more = 0").select("source", "x"))
+        rests = cut.select(F.col("s").alias("source"), "rest")
+        if units.isEmpty():
+            return settled(found, "drawn")
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          weights: Sequence[int] = (5, 2, 1), percent: int = 150, most: int = 2, seed: str = "mix"):
-    """(rows, per-source decisions): rows hold doc_id, source, size and rank bits x of every document."""
+    """(rows, per-source decisions, extra copies): rows hold doc_id, source, size and random bits x
+    of every document, the extra copies (s2, x2)."""
     rows = settled(
         docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), n_words(text_col).alias("size"), random52(id_col, seed).alias("x")),
         "mix",
     )
     targets = settled(source_targets(rows, weights, percent, most), "targets")
-    c = cuts(rows, targets).select(F.col("source").alias("s"), "cut", "closing")
-    decisions = targets.join(c, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "s")
-    return rows, small(settled(decisions, "decisions"))
-
-
-def copies_of(prefix: str = ""):
-    """Copies of a document (random bits x) joined with its source's decisions."""
-    c = {k: F.col(prefix + k) for k in ("x", "rest", "cut", "closing", "copies")}
-    extra = (c["rest"] > 0) & ((c["x"] <= F.coalesce(c["cut"], F.lit(1 << 52))) | c["x"].eqNullSafe(c["closing"]))
-    return c["copies"] + F.when(extra, 1).otherwise(0)
+    extra = drawn(rows, targets).select(F.col("source").alias("s2"), F.col("x").alias("x2"), F.lit(1).alias("extra"))
+    return rows, small(targets.withColumnRenamed("source", "s")), extra
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -122,19 +150,23 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     A NULL text has no words; NULL is a source of its own; an empty table gives no rows.
     Rows that share an identifier share a random number, so they are drawn together.
     """
-    rows, by_source = plan(docs, **options)
+    rows, by_source, extra = plan(docs, **options)
     out = rows.join(by_source, F.col("source").eqNullSafe(F.col("s")), "left")
-    out = out.withColumn("copies_taken", copies_of())
+    out = out.join(extra, F.col("source").eqNullSafe(F.col("s2")) & (F.col("x") == F.col("x2")), "left")
+    out = out.withColumn("copies_taken", F.col("copies") + F.coalesce("extra", F.lit(0)))
     return out.select("doc_id", "source", "size", "source_size", "target", F.col("copies_taken").alias("copies"), (F.col("copies_taken") * F.col("size")).alias("taken"))
 
 
 def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix", **options) -> DataFrame:
     """The mixture itself: each document as often as it is taken, all columns as they were."""
-    _, by_source = plan(docs, id_col, text_col, source_col, seed=seed, **options)
+    _, by_source, extra = plan(docs, id_col, text_col, source_col, seed=seed, **options)
     own = "__llm_mix_"  # documents may have columns of any name
-    by_source = by_source.select(*[F.col(c).alias(own + c) for c in by_source.columns])
-    found = docs.withColumn(f"{own}x", random52(id_col, seed)).join(by_source, F.col(source_col).cast("string").eqNullSafe(F.col(f"{own}s")), "left")
-    found = found.withColumn(f"{own}n", copies_of(own))
+    by_source = by_source.select(F.col("s").alias(f"{own}s"), F.col("copies").alias(f"{own}copies"))
+    extra = extra.select(*[F.col(c).alias(own + c) for c in extra.columns])
+    source = F.col(source_col).cast("string")
+    found = docs.withColumn(f"{own}x", random52(id_col, seed)).join(by_source, source.eqNullSafe(F.col(f"{own}s")), "left")
+    found = found.join(extra, source.eqNullSafe(F.col(f"{own}s2")) & (F.col(f"{own}x") == F.col(f"{own}x2")), "left")
+    found = found.withColumn(f"{own}n", F.col(f"{own}copies") + F.coalesce(f"{own}extra", F.lit(0)))
     every = F.explode(F.sequence(F.lit(1), F.col(f"{own}n")))
     return found.where(F.col(f"{own}n") > 0).withColumn(f"{own}k", every).select(*[F.col(f"`{c}`") for c in docs.columns])
 
@@ -143,7 +175,7 @@ def mix_sql(weights=(5, 2, 1), percent: int = 150, most: int = 2, seed: str = "m
     """The same for DuckDB, over the view ``documents``."""
     of_rank = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(weights))
     return f"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
          CAST('0x' || substr(md5('{seed}|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS x
   FROM documents),
@@ -157,15 +189,23 @@ s4 AS (SELECT *, CAST({percent} * sum(source_size) OVER () - {100 * most} * coal
 s5 AS (SELECT *, level > full_at AS filled, coalesce((SELECT arg_min(level, (full_at, rank)) FROM s4 WHERE level <= full_at), 0.0) AS lvl FROM s4),
 s6 AS (SELECT source, source_size, CASE WHEN filled THEN CAST({most} * source_size AS DOUBLE) ELSE lvl * weight END AS target FROM s5),
 s AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE least(CAST(floor(target / source_size) AS BIGINT), {most}) END AS copies FROM s6),
-r AS (SELECT source, x, sum(size) AS words FROM d GROUP BY source, x),
-q AS (SELECT r.source, x, words, target - copies * source_size AS rest,
-             sum(words) OVER (PARTITION BY r.source ORDER BY x) AS run
-      FROM r JOIN s ON r.source IS NOT DISTINCT FROM s.source),
-g AS (SELECT source, any_value(rest) - coalesce(max(run) FILTER (WHERE run <= rest), 0) AS gap FROM q GROUP BY source),
-c AS (SELECT q.source, arg_min(x, (abs(gap - words), x)) AS closing FROM q JOIN g ON q.source IS NOT DISTINCT FROM g.source
-      WHERE run > rest AND words > 0 AND abs(gap - words) < gap GROUP BY q.source)
-SELECT d.doc_id, d.size, s.source_size, s.target,
-       CAST(d.size * (s.copies + CASE WHEN q.rest > 0 AND (q.run <= q.rest OR d.x IS NOT DISTINCT FROM c.closing) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+r AS (SELECT d.source, x, CAST(sum(size) AS BIGINT) AS words, any_value(s.target - s.copies * s.source_size) AS rest
+      FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source WHERE s.target - s.copies * s.source_size > 0 GROUP BY d.source, x),
+h AS (SELECT source, sum(least(words, CAST(floor(rest / {EIGHTH}) AS BIGINT) + 1)) AS held FROM r GROUP BY source),
+v AS (SELECT r.source, x, words, rest, (x + 0.5) / {float(1 << 52)!r}::DOUBLE AS u,
+             least(rest / CAST(h.held AS DOUBLE), 0.999999::DOUBLE) * (least(words, CAST(floor(rest / {EIGHTH}) AS BIGINT) + 1)::DOUBLE / words) AS p
+      FROM r JOIN h ON r.source IS NOT DISTINCT FROM h.source WHERE words > 0),
+q AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY ((u / (1 - u)) / (p / (1 - p))) / (1 + (u / (1 - u)) / (p / (1 - p))), x) AS k FROM v),
+-- down the ranking, one unit after the other: what fits is taken
+w(source, k, gap, x, took) AS (
+  SELECT DISTINCT source, 0::BIGINT, rest, NULL::BIGINT, false FROM q
+  UNION ALL SELECT q.source, q.k, CASE WHEN q.words <= w.gap THEN w.gap - q.words ELSE w.gap END, q.x, q.words <= w.gap
+  FROM w JOIN q ON q.source IS NOT DISTINCT FROM w.source AND q.k = w.k + 1),
+g AS (SELECT source, arg_max(gap, k) AS gap, max(k) FILTER (took) AS until FROM w GROUP BY source),
+-- what didn't fit, behind the last that did, and goes beyond the target by less than is missing
+c AS (SELECT q.source, arg_min(q.x, (abs(g.gap - q.words), q.k)) AS x FROM q JOIN g ON q.source IS NOT DISTINCT FROM g.source
+      WHERE q.k > coalesce(g.until, 0) AND abs(g.gap - q.words) < g.gap GROUP BY q.source),
+e AS (SELECT source, x FROM w WHERE took UNION ALL SELECT source, x FROM c)
+SELECT d.doc_id, d.size, s.source_size, s.target, CAST(d.size * (s.copies + CASE WHEN e.x IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS taken
 FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source
-JOIN q ON d.source IS NOT DISTINCT FROM q.source AND d.x = q.x
-LEFT JOIN c ON d.source IS NOT DISTINCT FROM c.source"""
+LEFT JOIN e ON d.source IS NOT DISTINCT FROM e.source AND d.x = e.x"""
