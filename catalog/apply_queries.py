@@ -18,6 +18,7 @@ from catalog.fixtures import (
     LOG,
     LOG_TARGET,
     ORDER_COLS,
+    ORDER_LINES,
     ORDERS,
     ORDERS_NULL,
     ctes,
@@ -247,12 +248,14 @@ def apply_update_insert(spark, sf):
     return merge.apply_update_insert(frame(spark, sf, _SOFT_T), frame(spark, sf, _SOFT_CHANGES), KEY)
 
 
-_LINE_MIX = f"""SELECT l_orderkey, l_linenumber, l_quantity, op_type, is_deleted FROM ({LINE_FLAGS}) f
-UNION ALL SELECT l_orderkey, l_linenumber, max(l_quantity) + 1, 2, 0 FROM {{lineitem}} WHERE l_returnflag = 'N' GROUP BY l_orderkey, l_linenumber
-UNION ALL SELECT l_orderkey + 10000000, l_linenumber, min(l_quantity), 1, 0 FROM {{lineitem}} WHERE l_returnflag = 'A' GROUP BY l_orderkey, l_linenumber"""
+#: Deletes that name only the first key part, updates and inserts.
+_LINE_MIX = """SELECT DISTINCT o_custkey AS l_orderkey, CAST(NULL AS BIGINT) AS l_linenumber, CAST(NULL AS DOUBLE) AS l_quantity, 0 AS op_type, 1 AS is_deleted
+FROM {orders} WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW'
+UNION ALL SELECT o_custkey, o_orderkey, o_totalprice + 1, 2, 0 FROM {orders} WHERE o_orderstatus = 'O'
+UNION ALL SELECT o_custkey + 10000000, o_orderkey, o_totalprice, 1, 0 FROM {orders} WHERE o_orderstatus = 'P'"""
 
 
-@query("apply_update_insert_partial", ctes(t=LINES, b=_LINE_MIX) + """
+@query("apply_update_insert_partial", ctes(t=ORDER_LINES, b=_LINE_MIX) + """
 SELECT t.l_orderkey, t.l_linenumber, CASE WHEN u.l_orderkey IS NULL THEN t.l_quantity ELSE u.l_quantity END AS l_quantity,
        CASE WHEN f.l_orderkey IS NOT NULL THEN 1 WHEN u.l_orderkey IS NOT NULL THEN u.is_deleted ELSE t.is_deleted END AS is_deleted
 FROM t LEFT JOIN (SELECT * FROM b WHERE op_type > 0) u ON t.l_orderkey = u.l_orderkey AND t.l_linenumber = u.l_linenumber
@@ -261,7 +264,7 @@ UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, is_deleted FROM b WHERE o
   SELECT 1 FROM t WHERE t.l_orderkey = b.l_orderkey AND t.l_linenumber = b.l_linenumber)""")
 def apply_update_insert_partial(spark, sf):
     return merge.apply_update_insert(
-        frame(spark, sf, LINES), frame(spark, sf, _LINE_MIX), _LK, op_col="op_type", unused_keys=_LU
+        frame(spark, sf, ORDER_LINES), frame(spark, sf, _LINE_MIX), _LK, op_col="op_type", unused_keys=_LU
     )
 
 

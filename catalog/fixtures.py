@@ -72,13 +72,19 @@ SELECT DISTINCT l_orderkey, CAST(NULL AS INT) AS l_linenumber, CAST(NULL AS DOUB
 FROM {lineitem} WHERE l_returnflag = 'R' AND l_quantity > 45
 """
 
-#: A table without a key (rows repeat), and deletes and inserts for it.
-BAG = "SELECT l_orderkey, l_linenumber, l_quantity, 0 AS is_deleted FROM {lineitem}"
+#: Lines named after order columns: the customer is the first key part, the order the second.
+ORDER_LINES = "SELECT o_custkey AS l_orderkey, o_orderkey AS l_linenumber, o_totalprice AS l_quantity, 0 AS is_deleted FROM {orders}"
+
+#: A table without a key (urgent orders are in it twice), and deletes and inserts for it; high
+#: orders are inserted twice.
+BAG = f"{ORDER_LINES} UNION ALL {ORDER_LINES} WHERE o_orderpriority = '1-URGENT'"
 BAG_CHANGES = """
-SELECT l_orderkey, l_linenumber, min(l_quantity) AS l_quantity, 0 AS op_type, 1 AS is_deleted
-FROM {lineitem} WHERE l_returnflag = 'A' GROUP BY l_orderkey, l_linenumber
+SELECT o_custkey AS l_orderkey, o_orderkey AS l_linenumber, o_totalprice AS l_quantity, 0 AS op_type, 1 AS is_deleted
+FROM {orders} WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT o_custkey + 10000000, o_orderkey, o_totalprice, 1, 0 FROM {orders} WHERE o_orderstatus = 'O'
 UNION ALL
-SELECT l_orderkey + 10000000, l_linenumber, l_quantity, 1, 0 FROM {lineitem} WHERE l_returnflag = 'N'
+SELECT o_custkey + 10000000, o_orderkey, o_totalprice, 1, 0 FROM {orders} WHERE o_orderstatus = 'O' AND o_orderpriority = '2-HIGH'
 """
 
 #: The orders as a table whose key, the customer, repeats, and one change for each customer.

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from catalog.apply_queries import COLS, KEY, LCOLS, MERGE_HARD, MERGE_HARD_NULL, NULL_KEY, _LAST, _tb
@@ -364,22 +367,22 @@ def apply_stream_history(spark, sf):
     return target.read().select(*LCOLS.split(", "), "op_type", "row_seq")
 
 
-@query("apply_streams", ctes(t=LOG_TARGET, b=LOG) + _LAST + f"""
+@query("apply_streams", ctes(t=LOG_TARGET, b=LOG, c=CHANGES) + _LAST + f"""
 SELECT 'orders' AS tbl, {LCOLS} FROM t WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.o_orderkey = t.o_orderkey)
 UNION ALL SELECT 'orders', {LCOLS} FROM l WHERE op_type <> 0
-UNION ALL SELECT 'history', {LCOLS} FROM b""")
+UNION ALL SELECT 'history', {LCOLS} FROM c""")
 def apply_streams(spark, sf):
-    """Two tables fed from one staging root."""
+    """Two tables fed from one staging root, by a query each."""
     root = scratch(spark, "streams")
     spec = {"orders": ApplySpec(keys=("o_orderkey",), order=("file_seq", "row_seq")),
             "history": ApplySpec(keys=("o_orderkey",), style="history")}
-    sources, tables = {}, {}
-    for name in spec:
-        schema = _stage(spark, sf, LOG, f"{root}/staged/{name}")
-        sources[name] = cycles.staged_stream(spark, f"{root}/staged/{name}", schema)
+    sources, tables, schemas = {}, {}, {}
+    for name, rows in (("orders", LOG), ("history", CHANGES)):
+        schemas[name] = _stage(spark, sf, rows, f"{root}/staged/{name}")
+        sources[name] = cycles.staged_stream(spark, f"{root}/staged/{name}", schemas[name])
         tables[name] = SnapshotTable(spark, f"{root}/{name}")
     tables["orders"].commit(frame(spark, sf, LOG_TARGET))
-    tables["history"].commit(empty_target(spark, schema))
+    tables["history"].commit(empty_target(spark, schemas["history"]))
     for q in cycles.apply_streams(sources, tables, spec, f"{root}/checkpoint"):
         q.awaitTermination()
     cols = LCOLS.split(", ")
@@ -387,6 +390,31 @@ def apply_streams(spark, sf):
         tables["history"].read().select(F.lit("history"), *cols))
 
 
+N_TABLES = 50
+_DEALT = f"SELECT concat('t', CAST(o_custkey % {N_TABLES} AS VARCHAR(20))) AS tbl, x.* FROM ({CHANGES}) x"
+
+
+@query("apply_tables", ctes(b=_DEALT, t=ORDERS) + f"""
+SELECT tbl, {COLS} FROM b WHERE tbl NOT IN ('t0', 't1')
+UNION ALL SELECT concat('t', CAST(o_custkey % {N_TABLES} AS VARCHAR)), {COLS} FROM t WHERE o_custkey % {N_TABLES} < 2 AND NOT EXISTS (SELECT 1 FROM b WHERE b.o_orderkey = t.o_orderkey)
+UNION ALL SELECT tbl, {COLS} FROM b WHERE tbl IN ('t0', 't1') AND op_type <> 0""")
+def apply_tables(spark, sf):
+    """Fifty tables in one query: two are merged, the others are histories."""
+    root, cols = scratch(spark, "tables"), COLS.split(", ")
+    dealt = frame(spark, sf, _DEALT.replace("VARCHAR(20)", "STRING"))
+    dealt.repartition("tbl").write.partitionBy("tbl").parquet(f"{root}/staged")
+    schema = dealt.drop("tbl").schema
+    tables = {f"t{k}": SnapshotTable(spark, f"{root}/target/t{k}") for k in range(N_TABLES)}
+    with ThreadPoolExecutor(8) as pool:
+        first = [frame(spark, sf, ORDERS).filter(F.col("o_custkey") % N_TABLES == k) if k < 2 else empty_target(spark, schema) for k in range(N_TABLES)]
+        list(pool.map(lambda t, rows: t.commit(rows), tables.values(), first))
+    specs = {n: ApplySpec(keys=("o_orderkey",), style="replicate" if n in ("t0", "t1") else "history") for n in tables}
+    files = cycles.staged_files(spark, f"{root}/staged", "/tbl=([^/]+)/")
+    cycles.apply_tables(files, tables, specs, dict.fromkeys(tables, schema), f"{root}/checkpoint").awaitTermination()
+    out = [t.read().select(F.lit(n).alias("tbl"), *cols) for n, t in tables.items()]
+    return reduce(lambda a, b: a.unionAll(b), out)
+
+
 @query("publish_stream", plain("SELECT event_id, CAST(user_id AS VARCHAR) AS partition_key FROM {events}"))
 def publish_stream(spark, sf):
     from changemill.operators import messages

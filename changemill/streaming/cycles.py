@@ -7,8 +7,10 @@ files are done; a commit tag per query and batch makes a replayed batch harmless
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changemill.plans.integrate import integrate
@@ -68,18 +70,76 @@ def apply_stream(
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        tag = f"{name}-{batch_id}"
-        if table.is_committed(tag):
-            return
-        if spec.style == "history" and not spec.merge_history and apply_fn is integrate:
-            table.append(batch, tag, spec.new_columns)
-            return
-        fn = lambda t, b: apply_fn(t, b, spec)
-        (table.apply_touched if touched_only else table.apply)(fn, batch, tag)
+        _apply_batch(batch, table, spec, f"{name}-{batch_id}", apply_fn, touched_only)
 
     return _start(source, name, checkpoint, each, once)
 
 
+def _apply_batch(batch: DataFrame, table: SnapshotTable, spec: ApplySpec, tag: str, apply_fn, touched_only: bool) -> None:
+    if table.is_committed(tag):
+        return
+    if spec.style == "history" and not spec.merge_history and apply_fn is integrate:
+        table.append(batch, tag, spec.new_columns)
+        return
+    fn = lambda t, b: apply_fn(t, b, spec)
+    (table.apply_touched if touched_only else table.apply)(fn, batch, tag)
+
+
+def staged_files(spark: SparkSession, root: str, pattern: str, max_files: int = 1000) -> DataFrame:
+    """The files that arrive below ``root`` as a stream of ``tbl_name`` and ``path``, unread.
+
+    The table is the first group of ``pattern`` in the path. One listing and one offset log serve
+    all tables.
+    """
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    files = files.option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files).load(root)
+    return files.select(F.regexp_extract("path", pattern, 1).alias("tbl_name"), "path").filter("tbl_name <> ''")
+
+
+def apply_tables(
+    files: DataFrame,
+    tables: dict[str, SnapshotTable],
+    specs: dict[str, ApplySpec],
+    schemas: dict,
+    checkpoint: str,
+    fmt: str = "parquet",
+    name: str = "apply",
+    side_by_side: int = 8,
+    apply_fn: Callable[[DataFrame, DataFrame, ApplySpec], DataFrame] = integrate,
+    once: bool = True,
+) -> StreamingQuery:
+    """Many tables from one stream of staged files (``staged_files``): one cycle per micro-batch.
+
+    Only file names, at most the stream's files per trigger, pass the driver; each table's files
+    are read as one scan with the schema of ``schemas`` and applied under the table's own commit
+    tag, ``side_by_side`` tables at a time. If some tables fail the others are committed and the
+    batch fails; when it is replayed, the committed ones are left alone. Files of a table without
+    an entry in ``tables`` fail the batch before any table is touched.
+    """
+    spark = files.sparkSession
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        paths: dict[str, list[str]] = {}
+        for r in batch.select("tbl_name", "path").collect():
+            paths.setdefault(r["tbl_name"], []).append(r["path"])
+        strange = sorted(set(paths) - set(tables))
+        if strange:
+            raise ValueError(f"files of unknown tables: {strange[:5]}")
+
+        def one(t: str) -> None:
+            rows = spark.read.schema(schemas[t]).format(fmt).load(sorted(paths[t]))
+            _apply_batch(rows, tables[t], specs[t], f"{name}-{batch_id}", apply_fn, False)
+
+        with ThreadPoolExecutor(side_by_side) as pool:
+            done = {t: pool.submit(one, t) for t in sorted(paths)}
+        failed = {t: f.exception() for t, f in done.items() if f.exception() is not None}
+        if failed:
+            t, e = next(iter(failed.items()))
+            raise RuntimeError(f"{len(failed)} of {len(paths)} tables failed, {t}: {e}") from e
+
+    return _start(files, name, checkpoint, each, once)
+
+
 def apply_streams(
     sources: dict[str, DataFrame],
     tables: dict[str, SnapshotTable],

@@ -157,3 +157,38 @@ def test_manifest_without_files_is_an_empty_cycle(tmp_path):
     assert cycle_source.complete_until(store, cycle_source.NONE) == 4
     assert json.loads((tmp_path / "manifests" / "4.json").read_text()) == {"files": []}
     assert cycle_source.complete_until(Store(str(tmp_path / "none")), -1) == -1
+
+
+def test_many_tables_from_one_stream(spark, tmp_path):
+    """A failing table leaves the others committed; the replayed batch applies only what failed."""
+    from changemill.plans.refresh import empty_target
+    from changemill.sinks.snapshots import SnapshotTable
+    from changemill.spec import ApplySpec
+
+    rows = spark.range(60).select((F.col("id") % 6).cast("string").alias("tbl"), F.col("id").alias("k"), F.lit(1).alias("op_type"))
+    rows.write.partitionBy("tbl").parquet(str(tmp_path / "in"))
+    schema = "k long, op_type int"
+    tables = {str(t): SnapshotTable(spark, str(tmp_path / f"t{t}")) for t in range(6)}
+    for t in tables.values():
+        t.commit(empty_target(spark, rows.drop("tbl").schema))
+    specs = {t: ApplySpec(keys=("k",), new_columns="ignore") for t in tables}
+    broken = [True]
+
+    def apply_fn(t, b, spec):
+        if broken[0] and b.filter("k = 3").count():
+            raise RuntimeError("no space")
+        return t.unionByName(b)
+
+    def run(known):
+        files = cycles.staged_files(spark, str(tmp_path / "in"), "/tbl=([^/]+)/")
+        q = cycles.apply_tables(files, known, specs, dict.fromkeys(known, schema), str(tmp_path / "checkpoint"), apply_fn=apply_fn)
+        q.awaitTermination()
+
+    with pytest.raises(Exception, match="1 of 6 tables failed, 3: no space"):
+        run(tables)
+    assert {n: t.read().count() for n, t in tables.items()} == {n: 0 if n == "3" else 10 for n in tables}
+    broken[0] = False
+    with pytest.raises(Exception, match="unknown tables"):
+        run({n: t for n, t in tables.items() if n != "5"})
+    run(tables)
+    assert all(t.read().count() == 10 and t.version() == 2 for t in tables.values())
