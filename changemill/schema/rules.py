@@ -98,25 +98,36 @@ def _add(cols: Column, r: Column, left_out: list[str]) -> Column:
     return F.when(skip, cols).otherwise(F.concat(cols, F.array(new)))
 
 
+def _key(kind: str, text: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), text.alias("text"))
+
+
 def _with_rules(tables: DataFrame, rules_df: DataFrame, context: str | None) -> DataFrame:
     """Each table with the array of its rules in order.
 
-    The rule list is configuration; it reaches the tables as one scalar value, so there is
-    no join on a pattern.
+    Rules meet names by equality: a rule's key is the literal text its pattern begins with or,
+    where that is empty, the one it ends with; a name's keys are its beginnings and ends of the
+    lengths that occur among the rules. Only what meets is tested against the pattern. Rules
+    without literal text at either end, and those for all other names (``!``), meet every name.
     """
-    rule = F.struct(*[F.col(c) for c in RULE_FIELDS], wildcard(F.col("tbl_pattern")).alias("wildcard"))
-    every = rules_df.agg(F.array_sort(F.collect_list(rule)).alias("rules")).scalar()
-    return tables.withColumn("__mill_every", every).withColumn(
-        "__mill_rules",
-        F.filter("__mill_every", lambda r: _applies(r, F.col("tbl_name"), context)),
-    )
-
-
-def _applies(r: Column, table: Column, context: str | None) -> Column:
-    here = matches_wildcard(table, r["wildcard"])
-    if context is None:
-        return here
-    return here & (~_filled(r["context"]) | (r["context"] == context))
+    rules = rules_df if context is None else rules_df.filter(~_filled(F.col("context")) | (F.col("context") == context))
+    pattern = wildcard(F.col("tbl_pattern"))
+    rules = rules.select(F.struct(*[F.col(c) for c in RULE_FIELDS], pattern.alias("wildcard")).alias("r"))
+    ends_with = F.regexp_extract("r.tbl_pattern", r"[^*?\[\]]*$", 0)
+    literal = F.when(F.col("r.wildcard.negate"), _key("any", F.lit(""))).when(F.col("r.wildcard.prefix") != "", _key("begins", F.col("r.wildcard.prefix"))).when(
+        F.col("r.tbl_pattern").startswith("*") & (ends_with != ""), _key("ends", ends_with)).otherwise(_key("any", F.lit("")))
+    rules = rules.withColumn("key", literal)
+    # at most a few dozen lengths
+    lengths = rules.agg(F.collect_set(F.struct("key.kind", F.length("key.text").alias("n"))).alias("l")).scalar()
+    names = tables.select("tbl_name").distinct().withColumn("__mill_l", lengths)
+    name, fits = F.col("tbl_name"), F.filter("__mill_l", lambda x: x["n"] <= F.length(F.col("tbl_name")))
+    part = lambda x: F.when(x["kind"] == "ends", F.right(name, x["n"])).otherwise(F.left(name, x["n"]))
+    keys = names.select("tbl_name", F.explode(F.transform(fits, lambda x: F.struct(x["kind"].alias("kind"), part(x).alias("text")))).alias("k"))
+    met = keys.join(rules, F.col("k") == F.col("key")).filter(matches_wildcard(F.col("tbl_name"), F.col("r.wildcard")))
+    mine = met.groupBy(F.col("tbl_name").alias("__mill_t")).agg(F.array_sort(F.collect_list("r")).alias("__mill_rules"))
+    out = tables.join(mine, F.col("tbl_name") == F.col("__mill_t"), "left").drop("__mill_t")
+    none = F.array().cast(mine.schema["__mill_rules"].dataType)
+    return out.withColumn("__mill_rules", F.coalesce("__mill_rules", none))
 
 
 def rules_for(rules_df: DataFrame, tables: DataFrame, context: str | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Types, column rules and schema drift."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from changemill.operators import merge
 from changemill.schema import evolve, rules, types
@@ -119,3 +120,30 @@ def test_partition_spec():
     spec = {"*": ["z"], "o*": ["y"], "orders": ["x"]}
     assert [evolve.partition_columns(spec, t) for t in ("orders", "other", "lines")] == [["x"], ["y"], ["z"]]
     assert evolve.partition_columns({"!o*": ["n"]}, "lines") == ["n"] and evolve.partition_columns({}, "t") == []
+
+
+def _rules(spark, patterns):
+    rows = [(i, p) for i, p in enumerate(patterns)]
+    df = spark.createDataFrame(rows, "rule_seq int, tbl_pattern string")
+    types = {"extra": "boolean", "absent": "boolean", "nullable": "boolean", "is_key": "boolean", "precision": "int", "scale": "int"}
+    return df.select("*", *[F.lit(None).cast(types.get(c, "string")).alias(c) for c in rules.RULE_FIELDS if c not in df.columns])
+
+
+def test_rules_meet_tables_like_their_patterns(spark):
+    import fnmatch
+
+    patterns = ["*", "ord*", "orders", "*_hist", "!ord*", "!*_hist", "o?ders", "[a-c]*", "*mid*", "ord*_hist", "", "x[!a]z", "*s", "ord*"]
+    names = ["orders", "orders_hist", "cust", "amidb", "xbz", "xaz", "", "s", "ord"]
+    found = rules.rules_for(_rules(spark, patterns), spark.createDataFrame([(n,) for n in names], "tbl_name string"))
+    got = sorted((r["tbl_name"], r["rule_seq"]) for r in found.collect())
+    want = [(n, i) for n in names for i, p in enumerate(patterns) if (fnmatch.fnmatchcase(n, p[1:]) is False if p.startswith("!") else fnmatch.fnmatchcase(n, p))]
+    assert got == sorted(want)
+
+
+def test_many_rules_and_tables_meet_by_key(spark):
+    many = _rules(spark, [f"area{k}_*" for k in range(5_000)] + [f"*_end{k}" for k in range(5_000)])
+    tables = spark.range(100_000).select(F.format_string("area%d_t%d_end%d", F.col("id") % 20_000, F.col("id"), F.col("id") % 10_000).alias("tbl_name"))
+    out = rules.rules_for(many, tables)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert out.count() == 25_000 + 50_000
