@@ -34,6 +34,7 @@ from changemill.operators.ordering import CHUNK_BITS, ROW, checkpoint, sorted_ch
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _DEST, _SIZE = "__mill_dest", "__mill_size"
+ROWS = 1 << 20  # messages of a chunk
 
 _MAP = (
     "chunk long, grp long, first_dest string, last_dest string, uniform boolean, "
@@ -238,6 +239,9 @@ def pack_batches(
     gets a batch of its own; ``check_message_size`` rejects such messages beforehand. Only
     destination, order and size are sorted and checkpointed; the payload is joined to its
     batch number by destination and order.
+
+    A task holds the sizes of one chunk; there are as many chunks as keep it to about ROWS
+    messages, whatever their size and the session's number of shuffle partitions.
     """
     if max_bytes <= 0:
         raise ValueError("max_bytes must be positive")
@@ -245,12 +249,12 @@ def pack_batches(
     # a NULL payload has size 0; destinations compare as text, NULL apart from empty
     name = F.to_json(F.struct(*[col(d).alias(f"d{i}") for i, d in enumerate(dest)])) if dest else F.lit("")
     place = list(dict.fromkeys([*dest, *order]))
+    n = chunks or max(int(msgs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-msgs.count() // ROWS))
     rows = sorted_chunks(
         msgs.select(*[col(c) for c in place], F.coalesce(size, F.lit(0)).alias(_SIZE), name.alias(_DEST)),
         place,
-        chunks,
+        n,
     )
-    n = chunks or int(msgs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fan = max(1, math.isqrt(n))
     maps = checkpoint(rows.select(ROW, _DEST, _SIZE).mapInPandas(_describe(max_bytes, fan), _MAP))
     groups = maps.groupBy("grp").applyInPandas(_combine(max_bytes), _MAP)

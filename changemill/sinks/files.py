@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changemill.functions.columns import col
-from changemill.operators.joins import touched
+from changemill.operators.joins import key_side, key_test, spread, touched
+from changemill.operators.ordering import with_position
 
 
 def convert_copy(df: DataFrame, name: str, suffix: str = "_orc", fmt: str = "orc", path: str | None = None) -> str:
@@ -91,12 +92,19 @@ def journal(msgs: DataFrame, path: str, channel: str, location: str, batch_id: i
     """Keep the messages of a batch: one folder per channel, location, cycle and partition.
 
     Rows have their place in the order of sending in ``sequence``, from 0 in each folder, and
-    stand in that order. ``order`` sorts the messages of a batch. A repeated batch replaces
-    its own journal.
+    stand in that order in its files. ``order`` sorts the messages of a batch. Places come from a
+    range sort, so a large folder is numbered and written by several tasks. A repeated batch
+    replaces its own journal.
     """
     target = f"{path}/{channel}/{location}/cycle={batch_id:08d}"
-    sort = [col(c) for c in (["batch_no"] if "batch_no" in msgs.columns else []) + [c for c in order if c != "batch_no"]] or [col(value_col)]
-    place = F.row_number().over(Window.partitionBy(*[col(c) for c in by]).orderBy(*sort)) - 1
-    keep = [col(c) for c in by] + [F.col("batch_no")] * ("batch_no" in msgs.columns)
-    rows = msgs.select(*keep, place.cast("long").alias("sequence"), col(value_col))
+    by, taken = list(by), {"batch_no"} & set(msgs.columns)
+    sort = [*taken, *[c for c in order if c not in taken]] or [value_col]
+    rows = msgs.select(*[col(c) for c in dict.fromkeys([*by, *sort, value_col])])
+    rows = with_position(rows, list(dict.fromkeys([*by, *sort])), "__mill_place")
+    first = rows.groupBy(*key_side(rows, by)).agg(F.min("__mill_place").alias("__mill_first"))
+    # a row for each folder; the messages are the side that Spark may split
+    rows = rows.join(spread(first), key_test(by, True), "left")
+    place = (F.col("__mill_place") - F.col("__mill_first")).alias("sequence")
+    keep = [col(c) for c in by] + [F.col("batch_no")] * (bool(taken) and "batch_no" not in by)
+    rows = rows.select(*keep, place, col(value_col))
     rows.sortWithinPartitions(*[col(c) for c in by], "sequence").write.mode("overwrite").partitionBy(*by).json(target)

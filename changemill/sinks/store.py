@@ -11,6 +11,25 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def located(path: str):
+    """The file system of a path as Spark names it, and the path in it; names aren't URL-encoded."""
+    scheme, found, rest = path.partition("://")
+    if path.startswith("file:") or not found:
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path
+    authority, _, name = rest.partition("/")
+    store, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return store, f"{base.rstrip('/')}/{name}"
+
+
+def is_known(path: str) -> bool:
+    """Can Python open this path, or only Spark?"""
+    try:
+        located(path)
+    except (ValueError, OSError, NotImplementedError):
+        return False
+    return True
+
+
 class Store:
     """A folder of a file system that pyarrow knows (local, HDFS, S3, GCS)."""
 
@@ -24,8 +43,8 @@ class Store:
     @property
     def fs(self):
         if self._fs is None:
-            known = "://" in self.path or self.path.startswith("file:")
-            self._fs = fs.SubTreeFileSystem(*reversed(fs.FileSystem.from_uri(self.path))) if known else fs.SubTreeFileSystem(self.path, fs.LocalFileSystem())
+            store, name = located(self.path)
+            self._fs = fs.SubTreeFileSystem(name, store)
         return self._fs
 
     def names(self, folder: str) -> list[str]:

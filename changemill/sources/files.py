@@ -4,14 +4,25 @@ it is asked to, and column pruning and filters reach the scan where the format a
 from __future__ import annotations
 
 import csv
+import sys
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changemill.functions.columns import cast_to, col
+from changemill.operators.ordering import checkpoint
+from changemill.sinks.store import is_known, located
 from changemill.spec import FLAG_COL, OP_COL
 
+# functions that run in tasks travel as they are: workers need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+HEAD = 1 << 16  # bytes of a file that are read at a time to find its first line
+
 
 def _paths(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
@@ -56,14 +67,46 @@ def read_csv_strict(spark: SparkSession, paths, schema=None, sep: str = ",") ->
     return r.csv(_paths(paths))
 
 
+def _first_lines(sep: bytes):
+    """Paths → path and first line that isn't empty; reads no further than that line's block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = []
+            for path in batch.column(0).to_pylist():
+                store, name = located(path)
+                with store.open_input_file(name) as f:
+                    held = b""
+                    while True:
+                        block = f.read(HEAD)
+                        held = (held + block).lstrip(sep + b"\r\n")
+                        if not block or sep in held or (sep == b"\n" and b"\r" in held):
+                            break
+                line = held.split(sep, 1)[0]
+                lines.append((line.splitlines() or [b""])[0].decode() if sep == b"\n" else line.decode())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.string())], names=["path", "header"])
+
+    return run
+
+
 def _headers(spark: SparkSession, paths: list[str], sep: str, line_sep: str | None) -> dict[tuple[str, ...], list[str]]:
-    """Column names → files that have this header, by one job over all files."""
-    r = spark.read.option("lineSep", line_sep) if line_sep else spark.read
-    lines = r.text(paths).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
-        F.monotonically_increasing_id().alias("row"), "value",
-    ).filter("at = 0 AND length(value) > 0")
-    first = lines.groupBy("path").agg(F.min_by("value", "row").alias("header"))
+    """Column names → files that have this header, by one job over all files.
+
+    Spark lists the files; tasks open each and read its first block. In a store that only Spark
+    can open, Spark's text reader is used instead, which reads the files to their ends.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path")
+    some = listed.head(1)
+    if some and is_known(some[0][0]):
+        first = listed.repartition(spark.sparkContext.defaultParallelism * 2).mapInArrow(_first_lines((line_sep or "\n").encode()), "path string, header string")
+        first = first.filter("length(header) > 0")
+    else:
+        r = spark.read.option("lineSep", line_sep) if line_sep else spark.read
+        lines = r.option("recursiveFileLookup", True).text(paths).select(
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+            F.monotonically_increasing_id().alias("row"), "value",
+        ).filter("at = 0 AND length(value) > 0")
+        first = lines.groupBy("path").agg(F.min_by("value", "row").alias("header"))
     out: dict[tuple[str, ...], list[str]] = {}
     for r in first.orderBy("path").collect():  # one row per file; the reader needs their names
         names = next(csv.reader([r["header"].removeprefix("\ufeff")], delimiter=sep))
@@ -140,32 +183,56 @@ def read_whole_files(spark: SparkSession, paths) -> DataFrame:
     )
 
 
+def _listed(pattern: str):
+    """Folders → what lies in each, folders included; hidden names are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from fnmatch import fnmatchcase
+
+        from pyarrow import fs
+
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                store, name = located(folder)
+                found = [f for f in store.get_file_info(fs.FileSelector(name)) if f.base_name[0] not in "._"]
+                found = [f for f in found if f.type == fs.FileType.Directory or fnmatchcase(f.base_name, pattern)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([f"{folder.rstrip('/')}/{f.base_name}" for f in found], pa.string()), pa.array([f.base_name for f in found], pa.string()),
+                    pa.array([f.size if f.type == fs.FileType.File else None for f in found], pa.int64())], names=["file_path", "file_name", "size_bytes"])
+
+    return run
+
+
+_LISTING = "file_path string, file_name string, size_bytes long"
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*", include_empty: bool = True) -> DataFrame:
     """Listing of a staging folder without reading it: ``file_path, file_name, size_bytes``.
 
-    Spark's own listing runs on the cluster but leaves out files without content; with
-    ``include_empty`` the names of empty files are added from the file system's listing.
+    Tasks list the folders, a level of the tree after the other; only the question whether there
+    are more of them reaches the driver. ``include_empty=False`` leaves out files without content, as
+    Spark's own listing does, which also serves stores that only Spark can open (there the driver
+    adds the empty files).
     """
-    df = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .load(folder)
-        .select(
-            F.col("path").alias("file_path"),
-            F.element_at(F.split("path", "/"), -1).alias("file_name"),
-            F.col("length").alias("size_bytes"),
-        )
-    )
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    root = store.makeQualified(at).toString()
+    if include_empty and is_known(root):
+        level, out = spark.createDataFrame([(root,)], "path string"), None
+        while True:
+            found = checkpoint(level.repartition(spark.sparkContext.defaultParallelism).mapInArrow(_listed(pattern), _LISTING))
+            files, level = found.filter("size_bytes IS NOT NULL"), found.filter("size_bytes IS NULL").select("file_path")
+            out = files if out is None else out.unionAll(files)
+            if level.isEmpty():
+                return out
+    df = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
+    df = df.select(F.col("path").alias("file_path"), F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("size_bytes"))
     if not include_empty:
         return df
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found, empty = fs.listFiles(path, True), []
-    glob = jvm.org.apache.hadoop.fs.GlobFilter(pattern)
-    while found.hasNext():
-        status = found.next()
+    listed, empty = store.listFiles(at, True), []
+    glob = spark._jvm.org.apache.hadoop.fs.GlobFilter(pattern)
+    while listed.hasNext():
+        status = listed.next()
         name = status.getPath().getName()
         if status.getLen() == 0 and name[0] not in "._" and glob.accept(status.getPath()):
             empty.append((status.getPath().toString(), name, 0))

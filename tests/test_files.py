@@ -199,3 +199,62 @@ def test_missing_files_are_reported_or_fail(spark, tmp_path, rows):
         files.read_or_quarantine(spark, paths, "k int")[0].collect()
     with pytest.raises(ValueError):
         files.read_or_quarantine(spark, paths, "k int", on_missing="skip")
+
+
+def test_headers_read_only_the_heads_of_files(spark, tmp_path, rows):
+    """Empty lines first, a header longer than a block, other line ends, odd names; no file is read to its end."""
+    (tmp_path / "sub dir=1").mkdir()
+    (tmp_path / "a b%20c.csv").write_text("\n\nk,v\n1,x\n")
+    (tmp_path / "sub dir=1" / "b.csv").write_bytes(b"\xef\xbb\xbfv,k\r\ny,2\r\n")
+    long = [f"c{i:05}" for i in range(12_000)]
+    (tmp_path / "c.csv").write_text(",".join(["k", "v", *long]) + "\n" + ",".join(["3", "z"] + ["" for _ in long]) + "\n")
+    (tmp_path / "empty.csv").write_text("")
+    found = files._headers(spark, [str(tmp_path)], ",", None)
+    assert sorted((len(n), n[:2], len(p)) for n, p in found.items()) == [(2, ("k", "v"), 1), (2, ("v", "k"), 1), (12_002, ("k", "v"), 1)]
+
+    big = tmp_path / "big.csv"
+    big.write_text("k,v\n" + "1,x\n" * 300_000)
+    import pyarrow as pa
+
+    reads = []
+    real = files.located
+
+    class Seen:
+        def __init__(self, f):
+            self.f = f
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            self.f.close()
+
+        def read(self, n):
+            out = self.f.read(n)
+            reads.append(len(out))
+            return out
+
+    class Opened:
+        def __init__(self, store):
+            self.store = store
+
+        def open_input_file(self, name):
+            return Seen(self.store.open_input_file(name))
+
+    files.located = lambda p: (Opened(real(p)[0]), real(p)[1])
+    try:
+        got = next(files._first_lines(b"\n")(iter([pa.RecordBatch.from_pydict({"path": [f"file:{big}"]})])))
+    finally:
+        files.located = real
+    assert got.column(1).to_pylist() == ["k,v"] and sum(reads) == files.HEAD < big.stat().st_size
+
+
+def test_listing_by_tasks(spark, tmp_path, rows):
+    for name, size in (("a.txt", 3), ("x y/e.txt", 0), ("x y/deep/er/f.txt", 1), ("x y/deep/g.csv", 2), ("_hid/h.txt", 4), (".i.txt", 5)):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("z" * size)
+    (tmp_path / "none").mkdir()
+    out = files.list_files(spark, str(tmp_path), "*.txt")
+    assert rows(out, "file_name", "size_bytes") == [("a.txt", 3), ("e.txt", 0), ("f.txt", 1)]
+    same = files.list_files(spark, str(tmp_path), "*.txt", include_empty=False)
+    assert rows(same, "file_path") == [r for r in rows(out, "file_path") if "e.txt" not in r[0]]

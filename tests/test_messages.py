@@ -222,6 +222,17 @@ def test_packing_without_destination_and_with_nulls(spark):
     assert [r["batch_no"] for r in out.orderBy("i").collect()] == [0, 0, 1, 1]
 
 
+def test_packing_bounds_the_messages_of_a_task(spark, monkeypatch):
+    """Messages of one byte: the number of chunks follows from the rows."""
+    monkeypatch.setattr(packing, "ROWS", 300)
+    held, real = [], packing.sorted_chunks
+    monkeypatch.setattr(packing, "sorted_chunks", lambda df, order, n: (held.append(n), real(df, order, n))[1])
+    df = spark.range(9000).select("id", F.lit(1).alias("n"))
+    out = packing.pack_batches(df, ["id"], max_bytes=1000, size_col="n")
+    assert [r["batch_no"] for r in out.orderBy("id").collect()] == [i // 1000 for i in range(9000)]
+    assert held == [30]
+
+
 def test_packing_small_arrow_batches(spark):
     """State carries over from one Arrow batch to the next."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
