@@ -8,11 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changemill.functions.columns import col
-from changemill.operators.ordering import with_position
+from changemill.operators.ordering import with_neighbour
 from changemill.spec import OP_COL, Op
 
-POS = "__mill_pos"
-
 
 def with_previous(
     df: DataFrame,
@@ -26,14 +24,14 @@ def with_previous(
     """Add ``prefix + c`` of the row directly before, within ``group``; ``prefix + 'hit'``
     tells whether there is one (and, with ``only``, whether it satisfies the condition).
 
-    Rows meet their predecessor by an equi join on the position, so every key of the
-    shuffle occurs once and no group has to fit in a task. ``pos_col`` names a gap-free
-    position within the group if the source has one; otherwise one is made from ``order``.
+    No group has to fit in a task. ``pos_col`` names a gap-free position within the group if the
+    source has one: rows then meet their predecessor by an equi join on it, every key of which
+    occurs once. Otherwise they are sorted by ``order`` and look at their neighbour
+    (``ordering.with_neighbour``).
     """
     if pos_col is None:
-        df, at, drop = with_position(df, [*group, *order], POS), POS, True
-    else:
-        at, drop = pos_col, False
+        return with_neighbour(df, {prefix + c: c for c in cols}, order, group, only=only, hit=prefix + "hit")
+    at = pos_col
     left = df if only is None else df.filter(only)
     side = left.select(
         *[col(g).alias(f"__mill_g{i}") for i, g in enumerate(group)],
@@ -46,8 +44,7 @@ def with_previous(
     out = df.join(side, reduce(lambda a, b: a & b, on), "left").drop(
         "__mill_at", *[f"__mill_g{i}" for i in range(len(group))]
     )
-    out = out.withColumn(prefix + "hit", F.coalesce(F.col(prefix + "hit"), F.lit(False)))
-    return out.drop(POS) if drop else out
+    return out.withColumn(prefix + "hit", F.coalesce(F.col(prefix + "hit"), F.lit(False)))
 
 
 def collapse_updates(
@@ -119,18 +116,17 @@ def check_pairs(
     if op_col not in df.columns:
         raise ValueError(f"column {op_col!r} is needed to pair images")
     if pos_col is None:
-        df, at = with_position(df, [*group, *order], POS), POS
+        out = with_neighbour(df, {"next_op": op_col}, order, group, ahead=True).filter(col(op_col) == Op.BEFORE)
     else:
-        at = pos_col
-    side = df.select(
-        *[col(g).alias(f"__mill_g{i}") for i, g in enumerate(group)],
-        (col(at) - 1).alias("__mill_at"),
-        col(op_col).alias("next_op"),
-    )
-    on = [col(at) == F.col("__mill_at")]
-    on += [col(g).eqNullSafe(F.col(f"__mill_g{i}")) for i, g in enumerate(group)]
-    out = df.filter(col(op_col) == Op.BEFORE).join(side, reduce(lambda a, b: a & b, on), "left")
-    out = out.drop("__mill_at", POS, *[f"__mill_g{i}" for i in range(len(group))])
+        side = df.select(
+            *[col(g).alias(f"__mill_g{i}") for i, g in enumerate(group)],
+            (col(pos_col) - 1).alias("__mill_at"),
+            col(op_col).alias("next_op"),
+        )
+        on = [col(pos_col) == F.col("__mill_at")]
+        on += [col(g).eqNullSafe(F.col(f"__mill_g{i}")) for i, g in enumerate(group)]
+        out = df.filter(col(op_col) == Op.BEFORE).join(side, reduce(lambda a, b: a & b, on), "left")
+        out = out.drop("__mill_at", *[f"__mill_g{i}" for i in range(len(group))])
     out = out.filter(~F.col("next_op").eqNullSafe(F.lit(Op.UPDATE)))
     if not strict:
         out = out.filter(F.col("next_op").isNotNull() & (F.col("next_op") != Op.BEFORE))

@@ -265,3 +265,36 @@ print("BATCHES", [r.batch_no for r in pack_batches(s.range(4), ["id"], max_bytes
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(), env=env, capture_output=True, text=True, timeout=300)
     assert "BATCHES [0, 0, 1, 2]" in out.stdout, out.stderr[-2000:]
+
+
+@pytest.mark.parametrize("ahead", [False, True])
+def test_neighbours_across_chunks(spark, ahead):
+    """Groups longer than a chunk, groups of one row, NULL groups, empty chunks."""
+    from changemill.operators.ordering import with_neighbour
+
+    rnd = random.Random(7)
+    data = [("hot", i) for i in range(700)] + [(f"g{k}", i) for k in range(60) for i in range(rnd.choice([1, 2, 5]))] + [(None, i) for i in range(9)]
+    rnd.shuffle(data)
+    df = spark.createDataFrame([(*d, None if d[1] % 3 else f"{d[0]}{d[1]}") for d in data], "g string, i int, t string")
+    out = with_neighbour(df, {"near": "i", "far": "t"}, ["i"], ["g"], ahead, hit="there")
+    got = {(r["g"], r["i"]): (r["near"], r["far"]) for r in out.collect()}
+    assert all(r["there"] == (r["near"] is not None) for r in out.collect())
+    have, step = set(data), 1 if ahead else -1
+    want = {}
+    for g, i in data:
+        near = i + step if (g, i + step) in have else None
+        want[(g, i)] = (near, None if near is None or near % 3 else f"{g}{near}")
+    assert got == want and len(got) == len(data)
+    one = with_neighbour(df.limit(1), {"near": "i"}, ["i"], ["g"], ahead).collect()
+    assert [r["near"] for r in one] == [None]
+    assert with_neighbour(df.limit(0), {"near": "i"}, ["i"], ["g"], ahead).count() == 0
+
+
+def test_collapsing_joins_no_data_with_itself(spark):
+    """Only the borders of the chunks are joined: the join's left side is filtered to them."""
+    df = spark.range(400).select((F.col("id") % 3).alias("g"), "id", F.when(F.col("id") % 2 == 0, 4).otherwise(2).alias("op_type"), F.lit("x").alias("v"))
+    out = images.with_previous(df, ["v"], ["id"], ["g"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) == 2 and plan.count("Window ") == 1
+    assert out.filter("prev_hit").count() == 397
