@@ -1,4 +1,4 @@
-"""The registered queries: contract, and a cross-section against their SQL."""
+"""The registered queries: contract, and every one with SQL against it."""
 
 import os
 import sys
@@ -11,13 +11,9 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
 import compare  # noqa: E402
+from catalog.registry import ORACLES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-SAMPLE = [
-    "merge_hard", "merge_key_change", "merge_soft", "multi_delete_flag", "apply_update_insert_partial", "upsert_partial",
-    "coalesce_with_barriers", "integrate_partial_deletes", "collapse_changed", "discard_keeps_tx_end", "tx_partition",
-    "pack_batches", "reconcile", "apply_rules", "map_types", "snapshot_touched", "apply_streams",
-]
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +29,7 @@ def test_contract(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", SAMPLE)
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
     verdict, _, note = compare.compare(spark, con, SF, name, entry.queries()[name], entry.oracle_sql()[name])
     assert verdict == "ok", note
