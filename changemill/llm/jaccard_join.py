@@ -40,7 +40,7 @@ SMALL_BAND = 4      # below: every segment is marked
 MARKED = 16         # above: one segment in so many is
 SLACK = 1.2         # segments over those that must be probed
 FEW = 24            # sets of one signature whose pairs are all listed at once
-FLUSH = 2_500_000   # signatures a task gathers before it packs them
+FLUSH = 1_500_000   # signatures a task gathers before it packs them
 SKETCH = 32         # 64-bit words of a parity sketch
 CHUNKS = 1024       # parts into which a hub's partners are dealt when they are verified
 
