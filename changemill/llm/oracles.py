@@ -1,4 +1,4 @@
-"""DuckDB SQL for the rows of op11, op12 and op13, written apart from the operators."""
+"""DuckDB SQL for the rows of op9, op11, op12 and op13, written apart from the operators."""
 
 from __future__ import annotations
 
@@ -152,3 +152,27 @@ bad AS (SELECT c, count(*) AS illegal FROM pairs WHERE p NOT IN ('su', 'ua', 'au
 SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
   done.v.cost::BIGINT AS cost, done.v.audit AS audit, sha256(coalesce(whole.t, '')) AS repaired_sha256
 FROM ids JOIN done USING (c) LEFT JOIN counts USING (c) LEFT JOIN bad USING (c) LEFT JOIN whole USING (c)"""
+
+
+def repetition_sql(limits: tuple, line_limit: float) -> str:
+    """op9: shares of characters in repeated n-grams (``limits``: n and the largest share kept)."""
+    grams = " UNION ALL ".join(
+        f"SELECT r, {n} AS n, i, array_to_string(w[i:i + {n - 1}], ' ') AS k FROM (SELECT r, w, unnest(range(1, len(w) - {n} + 2)) AS i FROM d WHERE len(w) >= {n}) x" for n, _ in limits)
+    share = lambda n: f"CASE WHEN word_chars > 0 THEN coalesce(c{n}, 0)::DOUBLE / word_chars ELSE 0.0 END"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+g AS ({grams}),
+twice AS (SELECT r, n, i FROM (SELECT r, n, i, count(*) OVER (PARTITION BY r, n, k) AS c FROM g) x WHERE c > 1),
+inside AS (SELECT DISTINCT r, n, unnest(range(i, i + n)) AS j FROM twice),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d),
+c AS (SELECT r, n, sum(length(word)) AS chars, count(*) AS words FROM inside JOIN words USING (r, j) GROUP BY r, n),
+lines AS (SELECT r, line, row_number() OVER (PARTITION BY r, line) > 1 AS again FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d) x WHERE regexp_matches(line, '{WORD}')),
+l AS (SELECT r, count(*) FILTER (again) AS n_dup_lines, coalesce(sum(strlen(line)) FILTER (again), 0)::DOUBLE / sum(strlen(line)) AS line_share FROM lines GROUP BY r),
+base AS (SELECT d.r, d.doc_id, len(w)::BIGINT AS n_words, coalesce(wc.chars, 0)::BIGINT AS word_chars,
+  len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(l.n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(l.line_share, 0.0) AS line_share
+  FROM d LEFT JOIN l USING (r) LEFT JOIN (SELECT r, sum(length(word)) AS chars FROM words GROUP BY r) wc USING (r)),
+p AS (SELECT r, max(words) FILTER (n = 5) AS w5, {', '.join(f'max(chars) FILTER (n = {n}) AS c{n}' for n, _ in limits)} FROM c GROUP BY r),
+s AS (SELECT base.*, coalesce(w5, 0)::BIGINT AS n_repeat_words, {', '.join(f'{share(n)} AS share_{n}' for n, _ in limits)} FROM base LEFT JOIN p USING (r)),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, line_share, {', '.join(f'share_{n}' for n, _ in limits)},
+  NOT base_failed AND line_share <= {line_limit} AND {' AND '.join(f'share_{n} <= {most}' for n, most in limits)} AS kept FROM f"""

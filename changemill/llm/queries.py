@@ -98,7 +98,7 @@ def op8_curve_packing(spark, sf_dir):
     return curve_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-@query("op9_repetition")
+@query("op9_repetition", oracles.repetition_sql(repetition.LIMITS, repetition.LINE_LIMIT))
 def op9_repetition(spark, sf_dir):
     return repetition.repetition(table(spark, sf_dir, "documents"))
 
