@@ -1,9 +1,9 @@
 """A gated recurrent language model over words, trained and applied in Spark tasks.
 
 Corpus counts come first: every token of every training document is counted. The most
-frequent words have symbols of their own; all others fall into suffix classes, inside which a
+frequent words have symbols of their own; all others share suffix symbols, inside which a
 word has its smoothed share of the counts. The network is a GRU whose output softmax is
-factored: first the class (of frequent words, or a suffix class), then the word in its class.
+factored: first the class, then the frequent word or the suffix symbol in its class.
 
 Training runs in rounds over all training documents. In a round every task starts from the
 common weights and trains on its documents by truncated backpropagation, state carried from
@@ -32,7 +32,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 END = b"\n"            # the end token; no word holds white space
 HIDDEN = 16
 OWN = 1024             # frequent words with symbols of their own
-SUFFIX = 64            # classes of the others
+SUFFIX = 64            # symbols of the others, by the hash of their endings
+GROUP = 16             # of them in a class
 WORD_CLASSES = 16      # classes of the frequent words
 DICTIONARY = 200_000   # words whose counts every task knows; the counts of others are joined
 WORD_BYTES = 64        # longest word of the dictionary, so that its size is bounded
@@ -59,25 +60,27 @@ class Vocabulary(dict):
 
 
 def layout(counts: np.ndarray) -> dict:
-    """Classes of the frequent words: runs of equal mass in the square roots of their counts."""
+    """Classes of the symbols. Those of the frequent words are runs of equal mass in the square roots of
+    their counts; GROUP suffix symbols each make one more."""
     n = len(counts)
     mass = np.cumsum(np.sqrt(counts + 1.0))
     k = np.minimum((mass / mass[-1] * WORD_CLASSES * 0.9999).astype(np.int64), WORD_CLASSES - 1) if n else np.zeros(0, np.int64)
     k = np.unique(k, return_inverse=True)[1].astype(np.int64)
-    n_classes = int(k.max()) + 1 if n else 0
-    starts = np.searchsorted(k, np.arange(n_classes + 1))
-    return {"class_of": np.concatenate([k, n_classes + np.arange(SUFFIX)]).astype(np.int16), "starts": starts, "n_own": n, "n_classes": n_classes}
+    of_words = int(k.max()) + 1 if n else 0
+    starts = np.concatenate([np.searchsorted(k, np.arange(of_words)), n + np.arange(0, SUFFIX + 1, GROUP)])
+    class_of = np.concatenate([k, of_words + np.arange(SUFFIX) // GROUP]).astype(np.int16)
+    return {"class_of": class_of, "starts": starts, "n_own": n, "n_classes": of_words + SUFFIX // GROUP}
 
 
 def new_weights(shape: dict, counts: np.ndarray, suffix_mass: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
     """Small random weights; biases start at the unigram distribution."""
-    rng, n, c = np.random.default_rng(seed), shape["n_own"], shape["n_classes"] + SUFFIX
-    symbols = n + SUFFIX
-    class_mass = np.bincount(shape["class_of"], np.concatenate([counts + 1.0, suffix_mass + 1.0]), minlength=c)
+    rng, n, c = np.random.default_rng(seed), shape["n_own"], shape["n_classes"]
+    symbols, mass = n + SUFFIX, np.concatenate([counts + 1.0, suffix_mass + 1.0])
+    class_mass = np.bincount(shape["class_of"], mass, minlength=c)
     w = {
         "x": rng.normal(0, 0.1, (symbols, 3 * HIDDEN)), "h": rng.normal(0, 0.2, (HIDDEN, 3 * HIDDEN)), "b": np.zeros(3 * HIDDEN),
         "c": rng.normal(0, 0.05, (HIDDEN, c)), "cb": np.log(class_mass / class_mass.sum()),
-        "w": rng.normal(0, 0.05, (n, HIDDEN)), "wb": np.log(counts + 1.0),
+        "w": rng.normal(0, 0.05, (symbols, HIDDEN)), "wb": np.log(mass),
     }
     return {k: v.astype(np.float32) for k, v in w.items()}
 
@@ -138,7 +141,7 @@ def softmax(h: np.ndarray, w: np.ndarray, b: np.ndarray, rows: np.ndarray, targe
 def outputs(w: dict, shape: dict, h: np.ndarray, target: np.ndarray, learn: bool = False, room: Room | None = None):
     """Natural logs of the targets' probabilities; with ``learn`` gradients as well.
 
-    Of a suffix class only the class is predicted here.
+    Of a word outside the frequent ones its suffix symbol is predicted here.
     """
     room = Room() if room is None else room
     k = shape["class_of"][target]
