@@ -65,9 +65,11 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), percent
     return s.withColumn("rest", F.col("target") - F.col("copies") * F.col("source_size")).select("source", "source_size", "target", "copies", "rest")
 
 
-def small(by_source: DataFrame, most: int = 20_000) -> DataFrame:
+def small(by_source: DataFrame, most_bytes: int = 8 << 20) -> DataFrame:
     """A table with a row per source, broadcast if its checked size allows; else joins shuffle."""
-    return F.broadcast(by_source) if by_source.count() <= most else by_source
+    names = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in by_source.schema.fields if f.dataType.simpleString() == "string"]
+    held = by_source.agg(F.sum(sum(names, F.lit(64)))).first()[0] or 0
+    return F.broadcast(by_source) if held <= most_bytes else by_source
 
 
 def ranked(rows: DataFrame, targets: DataFrame) -> DataFrame:
