@@ -23,23 +23,25 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, training
     texts count once. A label is 0 or 1: rows with another or no label, without an identifier, or
     with both labels for one identifier are left out; equal rows count once. The number of texts
     says which share of hash values is needed: only lengths of that share, and then the chosen
-    texts, are sent to the driver.
+    texts, are sent to the driver. Labels meet hashes and lengths; a text isn't shuffled unless chosen.
     """
     known = docs.select(F.col(id_col).alias("__doc"), text_of(text_col).alias("__t")).where(training("__doc")).withColumn("__h", F.xxhash64("__t"))
     of_id = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col("doc_id").alias("__id")).agg(F.min(label_col).alias("lo"), F.max(label_col).alias("hi"))
+    of_id = of_id.where("lo = hi").select("__id", F.col("lo").alias("__y"))
+    pairs = known.select("__doc", "__h", F.octet_length("__t").alias("__n")).join(of_id, F.col("__doc") == F.col("__id"))
+    n = {r[0]: r[1] for r in pairs.groupBy("__y").agg(F.approx_count_distinct("__h")).collect()}
     out = []
     for value in (0, 1):
-        of_label = of_id.where((F.col("lo") == value) & (F.col("hi") == value)).select("__id")
-        mine = F.col("__doc") == F.col("__id")
-        n = known.select("__doc", "__h").join(of_label, mine, "left_semi").agg(F.approx_count_distinct("__h")).first()[0]
-        share = known.where(F.pmod("__h", F.lit(max(1, n // per_class))) == 0).join(of_label, mine, "left_semi")
-        sizes = share.groupBy("__h").agg(F.min(F.octet_length("__t")).alias("n")).orderBy("__h").limit(per_class).collect()
-        chosen, left = [], most_bytes
-        for h, size in sizes:
+        share = pairs.where((F.col("__y") == value) & (F.pmod("__h", F.lit(max(1, n.get(value, 0) // per_class))) == 0))
+        sizes = share.groupBy("__h").agg(F.min("__n"), F.min("__doc")).orderBy("__h").limit(per_class).collect() if value in n else []
+        chosen, ids, left = [], [], most_bytes
+        for h, size, doc in sizes:
             if size <= left:
                 chosen.append(h)
+                ids.append(doc)
                 left -= size
-        rows = share.where(F.col("__h").isin(chosen)).dropDuplicates(["__h"]).select("__h", "__t").collect() if chosen else []
+        # one document stands for all copies of its text
+        rows = known.where(F.col("__doc").isin(ids) & F.col("__h").isin(chosen)).dropDuplicates(["__h"]).select("__h", "__t").collect() if chosen else []
         out += [(t, value) for _, t in sorted((r[0], r[1]) for r in rows)]
     return out
 

@@ -98,3 +98,13 @@ def test_pipeline_on_empty_and_null_input(spark, tmp_path, given):
         docs = spark.read.parquet(str(tmp_path / name))
     assert {r["doc_id"] for r in docs.collect()} <= {r[0] for r in given}
     corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+
+def test_labels_are_joined_without_the_texts(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"t{i} " * 50, "en", "s", None) for i in range(60)] + [(70, "t1 " * 50, "en", "s", None), (3, "other", "en", "s", None)], SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)] + [(70, 1)], "doc_id long, toxic int")
+    joined, join = [], type(docs).join
+    monkeypatch.setattr(type(docs), "join", lambda self, *a, **k: (joined.append(self.columns), join(self, *a, **k))[1])
+    got = fitting.labelled_sample(docs, labels, "toxic", lambda i: fitting.F.lit(True), 100, 1 << 20)
+    assert Counter(got) == Counter([(f"t{i} " * 50, i % 2) for i in range(50)] + [("other", 1)])
+    assert joined and all("__t" not in columns for columns in joined)
