@@ -11,9 +11,11 @@ reruns agree.
 
 The cut in the ranking is found without sorting a source in one task: words are summed by
 source and rank bucket, and only the bucket in which the target is crossed is sorted. A document
-that doesn't fit is passed over and filling goes on behind it, in rounds over what still fits, so
-that less is missing in the end than the shortest document behind the cut holds. Where one more
-document comes nearer to the target by going beyond it, it is taken last.
+that doesn't fit is passed over and filling goes on behind it over what still fits, so that less
+is missing in the end than the shortest document behind the cut holds. Where one more document
+comes nearer to the target by going beyond it, it is taken last. What is missing at the cut is less
+than one document, so of each length only the first few documents behind it can be taken: these
+are folded in rank order, one short list a source, instead of a round of jobs for each that fits.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from changemill.llm.common import WORD, settled, text_of
 
 BUCKETS = 4096  # of ranks, in which words are summed
 EIGHTH = 8      # a document's expected part of a rest is at most one in so many
+FIRST = 64      # documents of a length that one fold looks at; another goes on where these don't do
 
 
 def n_words(text_col: str):
@@ -65,42 +68,46 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), percent
     return s.withColumn("rest", F.col("target") - F.col("copies") * F.col("source_size")).select("source", "source_size", "target", "copies", "rest")
 
 
-def small(by_source: DataFrame, most_bytes: int = 8 << 20) -> DataFrame:
-    """A table with a row per source, broadcast if its checked size allows; else joins shuffle."""
+def few(by_source: DataFrame, most_bytes: int = 8 << 20) -> bool:
+    """Is a table with a row per source, and so any other of these sources, small enough to be broadcast?"""
     names = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in by_source.schema.fields if f.dataType.simpleString() == "string"]
-    held = by_source.agg(F.sum(sum(names, F.lit(64)))).first()[0] or 0
-    return F.broadcast(by_source) if held <= most_bytes else by_source
+    return (by_source.agg(F.sum(sum(names, F.lit(64)))).first()[0] or 0) <= most_bytes
 
 
-def ranked(rows: DataFrame, targets: DataFrame) -> DataFrame:
+def small(by_source: DataFrame, is_few: bool) -> DataFrame:
+    """A table with a row per source, broadcast if ``few`` found it small; else joins shuffle."""
+    return F.broadcast(by_source) if is_few else by_source
+
+
+def ranked(rows: DataFrame, targets: DataFrame, is_few: bool = False) -> DataFrame:
     """(source, x, rank, words): units that are drawn together, with their place in the ranking.
 
     Rows that share source and identifier are a unit: they have one random number x.
     """
     units = rows.groupBy("source", "x").agg(F.sum("size").alias("words"))
     of = targets.where("rest > 0").select(F.col("source").alias("s"), "rest", (F.floor(F.col("rest") / EIGHTH) + 1).alias("long"))
-    units = units.join(small(of), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    units = units.join(small(of, is_few), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     shares = units.groupBy(F.col("source").alias("s")).agg(F.sum(F.least("words", "long")).alias("held"))
-    units = units.join(small(settled(shares, "shares")), F.col("source").eqNullSafe(F.col("s"))).where("words > 0")
+    units = units.join(small(settled(shares, "shares"), is_few), F.col("source").eqNullSafe(F.col("s"))).where("words > 0")
     p = F.least(F.col("rest") / F.col("held"), F.lit(0.999999)) * (F.least("words", "long") / F.col("words"))
     u = (F.col("x") + 0.5) / F.lit(float(1 << 52))
     odds = (u / (1 - u)) / (p / (1 - p))
     return units.select("source", "x", "words", (odds / (1 + odds)).alias("rank"))
 
 
-def filled(units: DataFrame, rests: DataFrame) -> DataFrame:
+def filled(units: DataFrame, rests: DataFrame, is_few: bool) -> DataFrame:
     """(source, cut, cut_x, rest): the place up to which whole units in rank order fit into their
     source's ``rest``, and what is left of it. A source in which all units fit has a cut beyond any."""
     rests = rests.select(F.col("source").alias("s"), "rest")
     bucket = F.floor(F.col("rank") * BUCKETS).alias("b")
     words = units.groupBy("source", bucket).agg(F.sum("words").alias("words"))
-    sums = words.withColumn("upto", F.sum("words").over(Window.partitionBy("source").orderBy("b"))).join(small(rests), F.col("source").eqNullSafe(F.col("s")))
+    sums = words.withColumn("upto", F.sum("words").over(Window.partitionBy("source").orderBy("b"))).join(small(rests, is_few), F.col("source").eqNullSafe(F.col("s")))
     crossed = sums.groupBy("source").agg(
         F.min(F.when(F.col("upto") > F.col("rest"), F.struct("b", (F.col("upto") - F.col("words")).alias("start")))).alias("c"),
         F.max("upto").alias("every"), F.first("rest").alias("rest"))
     crossed = settled(crossed.select(F.col("source").alias("s"), F.col("c.b").alias("b"), F.coalesce("c.start", "every").alias("start"), "rest"), "crossed")
     # only units of the crossing bucket are sorted
-    near = units.join(small(crossed.where("b IS NOT NULL")), F.col("source").eqNullSafe(F.col("s")) & (F.floor(F.col("rank") * BUCKETS) == F.col("b")))
+    near = units.join(small(crossed.where("b IS NOT NULL"), is_few), F.col("source").eqNullSafe(F.col("s")) & (F.floor(F.col("rank") * BUCKETS) == F.col("b")))
     run = F.col("start") + F.sum("words").over(Window.partitionBy("source").orderBy("rank", "x"))
     fits = F.col("run") <= F.col("rest")
     inside = near.withColumn("run", run).groupBy(F.col("source").alias("t")).agg(
@@ -111,26 +118,55 @@ def filled(units: DataFrame, rests: DataFrame) -> DataFrame:
                       (F.col("rest") - F.coalesce("run", "start")).alias("rest"))
 
 
-def drawn(rows: DataFrame, targets: DataFrame) -> DataFrame:
+def folded(behind: DataFrame) -> DataFrame:
+    """(source, rest, until, at, stopped, taken, last): units behind the cut taken in rank order where they fit.
+
+    ``behind``: units shorter than two of their source's ``rest``. What fits is taken. One that doesn't
+    ends a run: units longer than what is left then have no part in what follows, except that after the
+    last run the one that comes nearest to the target is ``last``. Of a length w, no more than rest / w
+    can be taken and one be the last, so only so many are gathered, and at most FIRST: where one more
+    would be needed the fold is ``stopped``, behind ``at`` and with units up to ``until`` words left.
+    """
+    nth = F.row_number().over(Window.partitionBy("source", "words").orderBy("rank", "x"))
+    some = behind.withColumn("nth", nth).where(F.col("nth") <= FIRST).where(F.col("nth") <= F.floor(F.col("rest") / F.col("words")) + 1)
+    one = F.struct("rank", "x", F.col("words").cast("double").alias("words"), (F.col("nth") == FIRST).alias("end"))
+    lists = some.groupBy("source").agg(F.array_sort(F.collect_list(one)).alias("units"), F.first("rest").cast("double").alias("rest"))
+    state = "struct<rest:double,until:double,before:double,took:boolean,at:struct<rank:double,x:bigint>,stopped:boolean,taken:array<bigint>>"
+    of = lambda *c: F.struct(*[v.alias(n) for n, v in zip(("rest", "until", "before", "took", "at", "stopped", "taken"), c, strict=True)]).cast(state)
+    start = of(F.col("rest"), F.col("rest"), F.lit(float("inf")), F.lit(False), F.struct(F.lit(-1.0), F.lit(-1)), F.lit(False), F.array())
+
+    def step(s, u):
+        at, left = F.struct(u["rank"], u["x"]), s["rest"] - u["words"]
+        took = of(left, s["until"], s["before"], F.lit(True), at, u["end"] & (u["words"] <= left), F.concat(s["taken"], F.array(u["x"])))
+        ended = of(s["rest"], s["rest"], s["until"], F.lit(False), at, F.lit(False), s["taken"])
+        return F.when(s["stopped"] | (u["words"] > s["until"]), s).when(u["words"] <= s["rest"], took).otherwise(ended)
+
+    done = lists.select("source", "units", F.aggregate("units", start, step).alias("s")).select("source", "units", "s.*")
+    near = F.filter("units", lambda u: (F.struct(u["rank"], u["x"]) >= F.col("at")) & (u["words"] > F.col("rest")) & (u["words"] <= F.col("before")) & (u["words"] < 2 * F.col("rest")))
+    nearest = F.array_min(F.transform(near, lambda u: F.struct((u["words"] - F.col("rest")).alias("off"), u["rank"].alias("rank"), u["x"].alias("x"))))["x"]
+    return done.select("source", "rest", "until", "at", "stopped", "taken", F.when(~F.col("took") & ~F.col("stopped"), nearest).alias("last"))
+
+
+def drawn(rows: DataFrame, targets: DataFrame, is_few: bool) -> DataFrame:
     """(source, x) of the units that get an extra copy."""
-    units = settled(ranked(rows, targets), "ranked")
+    units = settled(ranked(rows, targets, is_few), "ranked")
     rests, found = targets.where("rest > 0").select("source", "rest"), None
     while True:
-        cut = settled(filled(units, rests), "cuts").select(F.col("source").alias("s"), "cut", "cut_x", "rest")
-        known = units.join(small(cut), F.col("source").eqNullSafe(F.col("s")))
+        cut = settled(filled(units, rests, is_few), "cuts").select(F.col("source").alias("s"), "cut", "cut_x", "rest")
+        known = units.join(small(cut, is_few), F.col("source").eqNullSafe(F.col("s")))
         before = (F.col("rank") < F.col("cut")) | ((F.col("rank") == F.col("cut")) & (F.col("x") <= F.col("cut_x")))
-        taken = known.where(before).select("source", "x")
-        found = taken if found is None else found.unionAll(taken)
         # a unit too long to be the last one either has no part in what follows
-        behind = settled(known.where(~before & (F.col("words") < 2 * F.col("rest"))).select("source", "x", "words", "rank", "rest"), "behind")
-        units = behind.where(F.col("words") <= F.col("rest")).select("source", "x", "words", "rank")
-        closing = behind.withColumn("off", F.abs(F.col("rest") - F.col("words"))).where(F.col("off") < F.col("rest"))
-        last = closing.groupBy("source").agg(F.min(F.struct("off", "rank", "x"))["x"].alias("x"), F.max((F.col("words") <= F.col("rest")).cast("int")).alias("more"))
-        # sources in which nothing fits any more are done, but for a unit that overshoots by less than is missing
-        found = found.unionAll(last.where("more = 0").select("source", "x"))
-        rests = cut.select(F.col("s").alias("source"), "rest")
-        if units.isEmpty():
+        behind = known.where(~before & (F.col("words") < 2 * F.col("rest"))).select("source", "x", "words", "rank", "rest")
+        ends = settled(folded(behind), "ends")
+        more = ends.select("source", F.explode(F.concat("taken", F.array_compact(F.array("last")))).alias("x"))
+        taken = known.where(before).select("source", "x").unionAll(more)
+        found = taken if found is None else found.unionAll(taken)
+        stopped = ends.where("stopped").select(F.col("source").alias("s"), "rest", "until", "at")
+        if stopped.isEmpty():
             return settled(found, "drawn")
+        left = units.join(small(stopped, is_few), F.col("source").eqNullSafe(F.col("s")))
+        units = settled(left.where((F.struct("rank", "x") > F.col("at")) & (F.col("words") <= F.col("until"))).select("source", "x", "words", "rank"), "left")
+        rests = stopped.select(F.col("s").alias("source"), "rest")
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -142,8 +178,9 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         "mix",
     )
     targets = settled(source_targets(rows, weights, percent, most), "targets")
-    extra = drawn(rows, targets).select(F.col("source").alias("s2"), F.col("x").alias("x2"), F.lit(1).alias("extra"))
-    return rows, small(targets.withColumnRenamed("source", "s")), extra
+    is_few = few(targets)
+    extra = drawn(rows, targets, is_few).select(F.col("source").alias("s2"), F.col("x").alias("x2"), F.lit(1).alias("extra"))
+    return rows, small(targets.withColumnRenamed("source", "s"), is_few), extra
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:

@@ -117,3 +117,33 @@ def _rows_and_targets(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     sized = df.select("doc_id", "source", mixing.n_words("text").alias("size"), mixing.random52("doc_id", "mix").alias("x"))
     return sized, mixing.source_targets(sized)
+
+
+def test_few_jobs_find_the_documents_of_the_sequential_filling(spark, monkeypatch):
+    """What greedy filling in rank order takes, in jobs whose number doesn't follow the documents that fit."""
+    rows = [(i, "a " * (1 + (i * i) % 211 if i % 5 < 4 else 2 + i % 3), f"s{i % 5}") for i in range(1500)]
+    units, wanted = _rows_and_targets(spark, rows), set()
+    rest = {r["source"]: r["rest"] for r in units[1].collect() if r["rest"] > 0}
+    listed = sorted(mixing.ranked(*units).collect(), key=lambda r: (r["rank"], r["x"]))
+    for source, left in rest.items():
+        within, run, cut = [r for r in listed if r["source"] == source], None, []
+        while within:  # a run ends at a unit that doesn't fit; behind it are only units that still do
+            run, within = within, []
+            for k, r in enumerate(run):
+                if r["words"] > left:
+                    cut, within = run[k:], [u for u in run[k:] if u["words"] <= left]
+                    break
+                wanted.add((source, r["x"]))
+                left -= r["words"]
+            else:
+                cut = []
+        over = [(abs(left - r["words"]), r["rank"], r["x"]) for r in cut if abs(left - r["words"]) < left]
+        wanted |= {(source, min(over)[2])} if over else set()
+    tracker = spark.sparkContext.statusTracker()
+    for first, most_jobs in ((64, 45), (1, None)):
+        monkeypatch.setattr(mixing, "FIRST", first)
+        spark.sparkContext.setJobGroup(f"few-{first}", "")
+        got = mixing.drawn(*units, True)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert {(r["source"], r["x"]) for r in got.collect()} == wanted and got.count() == len(wanted)
+        assert most_jobs is None or len(tracker.getJobIdsForGroup(f"few-{first}")) <= most_jobs, len(tracker.getJobIdsForGroup(f"few-{first}"))
