@@ -68,6 +68,13 @@ def integrate(t: DataFrame, b: DataFrame, spec: ApplySpec) -> DataFrame:
     return merge.merge_key_change(t, net, keys, op, spec.null_safe, spec.unique_keys)
 
 
+def plain_changes(spec: ApplySpec, changed: list[str], target: list[str]) -> bool:
+    """Is ``integrate`` a merge that replaces whole rows by key (``merge_key_change`` on unique keys)?"""
+    other = spec.order or spec.truncate or spec.unused_keys or spec.keyless or spec.split_inserts or not spec.unique_keys
+    fresh = new_columns(changed, target, spec.order, (spec.op_col, spec.flag_col))
+    return spec.style == "replicate" and not other and set(target) <= set(changed) and not (fresh and spec.new_columns != "ignore")
+
+
 def integrate_touched(t: DataFrame, b: DataFrame, spec: ApplySpec) -> DataFrame:
     """``integrate`` for the partitions that occur in ``b``: their new rows, nothing of the others.
 

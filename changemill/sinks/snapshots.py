@@ -5,6 +5,11 @@ a fresh folder ``_v=<n>``; a small commit file then names, for every partition,
 that holds it. Readers see the last commit, so a failed write is never visible. A change
 set rewrites only the partitions it touches; the others are carried over by name.
 
+A cycle of plain changes (``apply_changes``) rewrites nothing: its rows are written as they are, the
+commit names them after the content that they replace keys of, and a reader lays the last row of
+each key over it. Once they outweigh that content, the next cycle writes it anew, so that what is
+written grows with the changes and not with cycles times the table.
+
 One writer per table is meant. Of two that write the same version one fails: the commit
 file has the version's name alone and is created only if it is not there. A commit file that
 is not complete (its writer died) counts as a version that was never visible.
@@ -23,8 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changemill.functions.columns import col
-from changemill.operators.joins import align
-from changemill.spec import FLAG_COL, OP_COL
+from changemill.operators.changes import row_changes
+from changemill.operators.joins import align, key_side, key_test, without
+from changemill.spec import FLAG_COL, OP_COL, Op
+
+_GONE, _CYCLE, _LAST = "__mill_gone", "__mill_cycle", "__mill_last"
+MOST_CHANGES = 256  # change sets that a reader lays over the content
 
 _NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
@@ -88,14 +97,14 @@ class SnapshotTable:
         """A fresh data folder: two writers of one version never share it."""
         return f"_v={version}-{uuid.uuid4().hex[:12]}"
 
-    def _commit(self, version: int, tag: str, schema: T.StructType, parts: dict[str, str]) -> int:
+    def _commit(self, version: int, tag: str, schema: T.StructType, parts: dict[str, str], changes: dict | None = None) -> int:
         state = self._state()
         if self.version() >= version:
             raise RuntimeError(f"version {version} of {self.root} was committed by another writer")
         name, number = self._tag(tag)
         tags = {**(state or {}).get("tags", {})}
         tags[name] = max(number, tags.get(name, -1))
-        body = json.dumps({"version": version, "tag": tag, "tags": tags, "schema": schema.jsonValue(), "parts": parts})
+        body = json.dumps({"version": version, "tag": tag, "tags": tags, "schema": schema.jsonValue(), "parts": parts, **({"changes": changes} if changes else {})})
         try:
             out = self._fs.create(self._path(self.root, "_commits", f"{version:08d}.json"), False)
         except Exception as ex:
@@ -132,7 +141,8 @@ class SnapshotTable:
             raise ValueError("the last version cannot be expired")
         commits = self._commits()
         old, stay = commits[:-keep], commits[-keep:]
-        used = {folder.split("/")[0] for v, _ in stay for folder in (self._state(v) or {"parts": {}})["parts"].values()}
+        states = [self._state(v) or {"parts": {}} for v, _ in stay]
+        used = {folder.split("/")[0] for s in states for folder in [*s["parts"].values(), *s.get("changes", {}).get("folders", {}).values()]}
         for _, name in old:
             self._fs.delete(self._path(self.root, "_commits", name), False)
         last = commits[-1][0] if commits else 0
@@ -175,7 +185,21 @@ class SnapshotTable:
         state = self._state(version)
         if state is None:
             raise ValueError(f"{self.root} has no committed version")
-        return self._read_parts(T.StructType.fromJson(state["schema"]), state["parts"])
+        schema = T.StructType.fromJson(state["schema"])
+        rows = self._read_parts(schema, state["parts"])
+        return self._changed(rows, schema, state["changes"]) if state.get("changes") else rows
+
+    def _changed(self, rows: DataFrame, schema: T.StructType, changes: dict) -> DataFrame:
+        """``rows`` without the keys of the change sets, plus each key's live rows of the last set that has it."""
+        keys, null_safe = changes["keys"], changes["null_safe"]
+        paths = [f"{self.root}/{folder}/{_CYCLE}={n}" for n, folder in changes["folders"].items()]
+        every = T.StructType([*schema.fields, T.StructField(_GONE, T.BooleanType()), T.StructField(_CYCLE, T.LongType())])
+        sets = self.spark.read.format(self.fmt).schema(every).option("basePath", self.root).load(paths)
+        live = sets.filter(~F.col(_GONE))
+        if len(paths) > 1:
+            last = sets.groupBy(*key_side(sets, keys)).agg(F.max(_CYCLE).alias(_LAST))
+            live = live.join(last, key_test(keys, null_safe), "left").filter(F.col(_LAST).isNull() | (F.col(_LAST) == F.col(_CYCLE)))
+        return without(rows, sets, keys, null_safe).unionAll(live.select(*[col(f.name) for f in schema.fields]))
 
     # ---- writing
 
@@ -213,7 +237,7 @@ class SnapshotTable:
         Columns the table lacks fail, are added (rows already there read as NULL) or are
         left out.
         """
-        state = self._state()
+        state = self._whole()
         if state is None:
             return self.commit(df, tag)
         schema = T.StructType.fromJson(state["schema"])
@@ -234,6 +258,47 @@ class SnapshotTable:
         """``fn(target, b)`` becomes the new content."""
         return self.commit(fn(self.read(), b), tag)
 
+    def _whole(self) -> dict | None:
+        """The last commit; pending change sets are written into the content first."""
+        if (self._state() or {}).get("changes"):
+            self.compact()
+        return self._state()
+
+    def _bytes(self, *paths: str) -> int:
+        return sum(self._fs.getContentSummary(self._path(self.root, p)).getLength() for p in paths)
+
+    def apply_changes(self, fn, b: DataFrame, keys: list[str], op_col: str = OP_COL, null_safe: bool = True, tag: str = "apply") -> int:
+        """``fn(target, b)`` becomes the new content, where ``fn`` is ``merge_key_change`` with unique keys.
+
+        ``b`` is written and the content carried over. The content is written anew where pending
+        change sets outweigh it or are many, have other keys, or ``b`` lacks a column of the table, and
+        for a partitioned table, whose readers look for their partitions.
+        """
+        from changemill.operators.merge import _ambiguity, _known
+
+        state = self._state()
+        if state is None:
+            raise ValueError(f"{self.root} has no committed version")
+        schema, held = T.StructType.fromJson(state["schema"]), state.get("changes") or {"keys": keys, "null_safe": null_safe, "folders": {}}
+        like = set(b.columns) >= set(schema.fieldNames()) and (held["keys"], held["null_safe"]) == (keys, null_safe) and not self.partition_by
+        like = like and type(self) is SnapshotTable and len(held["folders"]) < MOST_CHANGES
+        if not like or self._bytes(*held["folders"].values()) > self._bytes(*[f"{f}/{p}".rstrip("/") for p, f in state["parts"].items()]):
+            return self.apply(fn, b, tag)
+        rows = row_changes(b, op_col).filter(col(op_col).isNotNull())
+        gone = col(op_col) == Op.DELETE
+        if not rows.groupBy(*[col(k) for k in keys]).count().filter("count > 1").isEmpty():
+            # as in merge_key_change: the target is only asked for keys that repeat in the change set
+            facts = _ambiguity(self.read(), rows, keys, op_col, null_safe).first()["facts"]
+            if facts["clash"]:
+                raise ValueError("several change rows match one target row")
+            if null_safe and facts["ambiguous"]:
+                rows = rows.filter(~gone | _known(keys))
+        version = self.version() + 1
+        folder = self._folder(version)
+        out = rows.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], gone.alias(_GONE))
+        out.write.format(self.fmt).mode("overwrite").save(f"{self.root}/{folder}/{_CYCLE}={version}")
+        return self._commit(version, tag, schema, state["parts"], {**held, "folders": {**held["folders"], str(version): folder}})
+
     def apply_touched(self, fn, b: DataFrame, tag: str = "apply") -> int:
         """Like ``apply``, but read and write only the partitions that occur in ``b``.
 
@@ -243,7 +308,7 @@ class SnapshotTable:
         """
         if not self.partition_by:
             return self.apply(fn, b, tag)
-        state = self._state()
+        state = self._whole()
         if state is None:
             raise ValueError(f"{self.root} has no committed version")
         schema = T.StructType.fromJson(state["schema"])

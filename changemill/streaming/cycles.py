@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from changemill.plans.integrate import integrate
+from changemill.plans.integrate import integrate, plain_changes
 from changemill.sinks.message_log import FORMAT as MESSAGES
 from changemill.sinks.message_log import MessageLog
 from changemill.sinks.snapshots import SnapshotTable
@@ -66,7 +66,8 @@ def apply_stream(
 
     ``apply_fn(target, changes, spec)`` gives the new target. A history that takes all rows
     is appended to; nothing is rewritten. ``touched_only`` rewrites only the partitions that
-    occur in the batch.
+    occur in the batch. Plain changes are merged by readers until they outweigh the table
+    (``SnapshotTable.apply_changes``).
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -82,6 +83,9 @@ def _apply_batch(batch: DataFrame, table: SnapshotTable, spec: ApplySpec, tag: s
         table.append(batch, tag, spec.new_columns)
         return
     fn = lambda t, b: apply_fn(t, b, spec)
+    if apply_fn is integrate and not touched_only and table.exists() and plain_changes(spec, batch.columns, table.schema().fieldNames()):
+        table.apply_changes(fn, batch, spec.merge_keys, spec.op_col, spec.null_safe, tag)
+        return
     (table.apply_touched if touched_only else table.apply)(fn, batch, tag)
 
 
